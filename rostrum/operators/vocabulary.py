@@ -7,7 +7,7 @@ same job.
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -15,10 +15,21 @@ from pyspark.sql import functions as F
 from ..functions import text as T
 from .ids import dense_ids, string_bucket
 
+Words = Sequence[str] | Mapping[str, Sequence[str]]
 
-def with_tokens(docs: DataFrame, pattern: str, words: Sequence[str] = (), out: str = "tokens") -> DataFrame:
-    """Token array of each text; the words of a stop list are taken out before n-grams form."""
-    return docs.withColumn(out, T.without_words(T.token_array(F.col("text"), pattern), words))
+
+def with_tokens(docs: DataFrame, pattern: str, words: Words = (), out: str = "tokens", by: str = "chamber") -> DataFrame:
+    """Token array of each text; the words of a stop list are taken out before n-grams form.
+
+    ``words`` is one list, or a list per value of the ``by`` column.
+    """
+    docs = docs.withColumn(out, T.token_array(F.col("text"), pattern))
+    if not isinstance(words, Mapping):
+        return docs.withColumn(out, T.without_words(F.col(out), words))
+    kept = F.col(out)
+    for value, w in words.items():
+        kept = F.when(F.col(by) == value, T.without_words(F.col(out), w)).otherwise(kept)
+    return docs.withColumn(out, kept)
 
 
 def with_ngrams(df: DataFrame, n_max: int, sep: str = " ", tokens: str = "tokens", out: str = "grams") -> DataFrame:
@@ -41,7 +52,7 @@ def explode_grams(df: DataFrame, keep: Sequence[str], distinct: bool = False, gr
     return df.select(*keep, F.explode(F.array_compact(a)).alias("term"))
 
 
-def first_pass(docs: DataFrame, stopwords: Sequence[str] = (), n_max: int = 3, pattern: str = T.FIRST_PASS_PATTERN) -> DataFrame:
+def first_pass(docs: DataFrame, stopwords: Words = (), n_max: int = 3, pattern: str = T.FIRST_PASS_PATTERN) -> DataFrame:
     """Vocabulary-building analyser: stopwords go first, so n-grams bridge removed words."""
     return with_ngrams(with_tokens(docs, pattern, stopwords), n_max).drop("tokens")
 
@@ -113,7 +124,7 @@ def select_vocabulary(stats: DataFrame, group: Sequence[str] = ()) -> DataFrame:
     return dense_ids(v, "term", string_bucket("term"), "term_id", group)
 
 
-def build_stats(docs: DataFrame, stopwords: Sequence[str], n_max: int, pattern: str, min_df: float,
+def build_stats(docs: DataFrame, stopwords: Words, n_max: int, pattern: str, min_df: float,
                 min_authors: int, group: Sequence[str] = (), stage: Callable[[DataFrame, str], DataFrame] | None = None) -> DataFrame:
     """Term statistics of every term that can pass ``min_df`` and ``min_authors``.
 
