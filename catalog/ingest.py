@@ -172,7 +172,7 @@ def run_discovery(spark, sf):
 _MESSY = """CASE WHEN lang = 'es' THEN ' None ' WHEN lang = 'de' THEN concat(chr(160), source, chr(8195))
  WHEN lang = 'fr' AND n_chars < 2000 THEN concat(' ', chr(9)) ELSE concat(chr(28), text, chr(10), chr(133)) END"""
 # Spark's chr() works on bytes, so the fixture spells wide characters out.
-_MESSY_SPARK = (_MESSY.replace("chr(160)", "' '").replace("chr(8195)", "' '").replace("chr(133)", "'\u0085'"))
+_MESSY_SPARK = _MESSY.replace("chr(160)", "'\u00a0'").replace("chr(8195)", "'\u2003'").replace("chr(133)", "'\u0085'")
 
 
 @query("safe_str", f"SELECT doc_id, {sql_safe('v')} AS value FROM (SELECT doc_id, {_MESSY} AS v FROM documents)")
@@ -182,7 +182,7 @@ def safe_str(spark, sf):
 
 @query("normalize_ws", f"SELECT doc_id, {sql_ws('v')} AS value FROM (SELECT doc_id, replace({_MESSY}, ' ', chr(8195)) AS v FROM documents)")
 def normalize_ws(spark, sf):
-    v = F.replace(F.expr(_MESSY_SPARK), F.lit(" "), F.lit(" "))
+    v = F.replace(F.expr(_MESSY_SPARK), F.lit(" "), F.lit("\u2003"))
     return table(spark, sf, "documents").select("doc_id", T.normalize_ws(v).alias("value"))
 
 
@@ -197,9 +197,9 @@ def parse_month(spark, sf):
 
 
 @query("header_date", f"""SELECT doc_id, CASE WHEN m IS NOT NULL AND y IS NOT NULL THEN printf('%04d-%02d-%02d', y, m, d) END AS value FROM
- (SELECT doc_id, {_MONTH_NUM} AS m, y, d FROM (SELECT doc_id, {_MONTH} AS m, CASE WHEN lang <> 'fr' THEN n_chars END AS y, doc_id % 60 AS d FROM documents))""")
+ (SELECT doc_id, {_MONTH_NUM} AS m, y, d FROM (SELECT doc_id, {_MONTH} AS m, CASE WHEN lang <> 'fr' THEN n_chars END AS y, CASE WHEN n_chars > 3000 THEN 45 ELSE 9 END AS d FROM documents))""")
 def header_date(spark, sf):
-    d = table(spark, sf, "documents").selectExpr("doc_id", f"{_MONTH} AS m", "CASE WHEN lang <> 'fr' THEN n_chars END AS y", "doc_id % 60 AS d")
+    d = table(spark, sf, "documents").selectExpr("doc_id", f"{_MONTH} AS m", "CASE WHEN lang <> 'fr' THEN n_chars END AS y", "CASE WHEN n_chars > 3000 THEN 45 ELSE 9 END AS d")
     return d.select("doc_id", T.header_date(F.col("y"), T.parse_month(F.col("m")), F.col("d")).alias("value"))
 
 
