@@ -18,9 +18,9 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
-def docs(spark: SparkSession, sf: str) -> DataFrame:
-    """``doc_id, speaker, text``; every source is a speaker."""
-    return spread(table(spark, sf, "documents").select("doc_id", F.col("source").alias("speaker"), "text"), "doc_id")
+def docs(spark: SparkSession, sf: str, write: bool = False) -> DataFrame:
+    """``doc_id, speaker, text``; every source is a speaker. ``write`` suits plans of several scans."""
+    return spread(table(spark, sf, "documents").select("doc_id", F.col("source").alias("speaker"), "text"), "doc_id", write)
 
 
 DOCS = "docs AS (SELECT doc_id, source AS speaker, text FROM documents)"

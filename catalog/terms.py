@@ -42,9 +42,8 @@ def ngrams_underscore(spark, sf):
 
 # --- vocabulary --------------------------------------------------------------------------------
 
-def vocabulary(spark, sf, staged=False):
+def vocabulary(d, staged=False):
     """Vocabulary of the documents under the catalog's thresholds."""
-    d = docs(spark, sf)
     stats = V.build_stats(d, STOP, 3, T.FIRST_PASS_PATTERN, MIN_DF, MIN_AUTHORS, stage=stage)
     chosen = V.author_spread(V.df_band(stats, V.doc_total(d), MIN_DF, MAX_DF), MIN_AUTHORS)
     v = V.select_vocabulary(chosen)
@@ -75,30 +74,31 @@ def author_spread(spark, sf):
 
 @query("vocab_ids", with_ctes(*VOCAB, select="SELECT term_id, term, CAST(n AS INT) AS n FROM vocab"))
 def vocab_ids(spark, sf):
-    return vocabulary(spark, sf).select("term_id", "term", "n")
+    return vocabulary(docs(spark, sf, write=True)).select("term_id", "term", "n")
 
 
 @query("vocab_json", with_ctes(*VOCAB, select="""SELECT '{' || string_agg('"' || term || '":' || term_id, ',' ORDER BY term_id) || '}' AS vocab_json FROM vocab"""))
 def vocab_json(spark, sf):
-    return V.vocab_json(vocabulary(spark, sf))
+    return V.vocab_json(vocabulary(docs(spark, sf, write=True)))
 
 
 @query("overlap_map", with_ctes(*VOCAB, OVERLAP, select="SELECT term_id, CAST(n AS INT) AS n, sub_id, CAST(sub_n AS INT) AS sub_n, before FROM overlap"))
 def overlap_map(spark, sf):
-    return C.overlap_map(vocabulary(spark, sf, staged=True)).select("term_id", "n", "sub_id", "sub_n", "before")
+    return C.overlap_map(vocabulary(docs(spark, sf, write=True), staged=True)).select("term_id", "n", "sub_id", "sub_n", "before")
 
 
 # --- counts ------------------------------------------------------------------------------------
 
 @query("dtm_counts", with_ctes(*COUNTS, select="SELECT doc_id, term_id, cnt FROM dtm"))
 def dtm_counts(spark, sf):
-    return C.document_term_counts(docs(spark, sf), vocabulary(spark, sf, staged=True)).select("doc_id", "term_id", "cnt")
+    d = docs(spark, sf, write=True)
+    return C.document_term_counts(d, vocabulary(d, staged=True)).select("doc_id", "term_id", "cnt")
 
 
-def final_counts(spark, sf):
-    v = vocabulary(spark, sf, staged=True)
+def final_counts(d):
+    v = vocabulary(d, staged=True)
     packed = stage(C.pack_overlaps(C.overlap_map(v)), "overlaps")
-    return C.deoverlap(C.document_term_counts(docs(spark, sf), v), packed)
+    return C.deoverlap(C.document_term_counts(d, v), packed)
 
 
 FINAL = [*COUNTS, OVERLAP, sql_deoverlap("dtm", "overlap", "final")]
@@ -106,18 +106,18 @@ FINAL = [*COUNTS, OVERLAP, sql_deoverlap("dtm", "overlap", "final")]
 
 @query("deoverlap", with_ctes(*FINAL, select="SELECT doc_id, term_id, cnt FROM final"))
 def deoverlap(spark, sf):
-    return final_counts(spark, sf).select("doc_id", "term_id", "cnt")
+    return final_counts(docs(spark, sf, write=True)).select("doc_id", "term_id", "cnt")
 
 
 @query("nonempty_docs", with_ctes(*FINAL, select="SELECT doc_id, CAST(sum(cnt) AS BIGINT) AS total FROM final GROUP BY doc_id"))
 def nonempty_docs(spark, sf):
-    return C.nonempty_docs(final_counts(spark, sf)).select("doc_id", "total")
+    return C.nonempty_docs(final_counts(docs(spark, sf, write=True))).select("doc_id", "total")
 
 
 @query("packed_docs", with_ctes(*FINAL, select="""SELECT doc_id, count(*) AS n_terms, string_agg(term_id || ':' || cnt, ' ' ORDER BY term_id) AS packed FROM final GROUP BY doc_id"""))
 def packed_docs(spark, sf):
     pairs = F.zip_with("idx", "val", lambda i, v: F.concat_ws(":", i, v.cast("bigint")))
-    return C.packed_docs(final_counts(spark, sf)).select("doc_id", F.size("idx").cast("bigint").alias("n_terms"),
+    return C.packed_docs(final_counts(docs(spark, sf, write=True))).select("doc_id", F.size("idx").cast("bigint").alias("n_terms"),
                                                         F.array_join(pairs, " ").alias("packed"))
 
 
@@ -125,14 +125,14 @@ def packed_docs(spark, sf):
                                    select="""SELECT doc_id, speaker, author_id, replace(text, chr(10), ' ') AS text FROM docs JOIN a USING (speaker)
  WHERE doc_id IN (SELECT doc_id FROM final)"""))
 def finalized_docs(spark, sf):
-    d = docs(spark, sf)
-    kept = d.join(C.nonempty_docs(final_counts(spark, sf)), "doc_id", "left_semi")
+    d = docs(spark, sf, write=True)
+    kept = d.join(C.nonempty_docs(final_counts(d)), "doc_id", "left_semi")
     return ids.author_ids(kept, ids.author_dimension(d)).select("doc_id", "speaker", "author_id", T.flatten_newlines(F.col("text")).alias("text"))
 
 
 @query("doc_export_ids", with_ctes(*FINAL, select="SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS row_id FROM (SELECT DISTINCT doc_id FROM final)"))
 def doc_export_ids(spark, sf):
-    return ids.export_ids(C.nonempty_docs(final_counts(spark, sf)).select("doc_id")).select("doc_id", "row_id")
+    return ids.export_ids(C.nonempty_docs(final_counts(docs(spark, sf, write=True))).select("doc_id")).select("doc_id", "row_id")
 
 
 # --- boilerplate -------------------------------------------------------------------------------

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import string
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -11,15 +12,31 @@ from ..functions import text as T
 from .vocabulary import doc_total, with_ngrams
 
 
-def candidates(docs: DataFrame) -> DataFrame:
-    """Documents of three or more words and more than 15 characters, with ``simple`` text."""
-    s = docs.withColumn("simple", T.simplify_text(F.col("text")))
-    blanks = F.length("simple") - F.length(F.translate("simple", " ", ""))
-    return s.filter((F.length("simple") > 15) & (blanks > 1))
+# Characters that never count towards the simplified length.
+_DROPPED = string.punctuation + " \t\n\r"
+
+
+def candidates(docs: DataFrame, max_chars: int | None = None) -> DataFrame:
+    """Documents of three or more words and more than 15 characters, with ``simple`` text.
+
+    The text goes through one array chain, so it is simplified once per row, and only where the
+    characters that remain in any case stay below ``max_chars``. A plain filter on ``simple`` would be
+    pushed down and repeat the expression for each of its conditions.
+    """
+    one = F.array("text")
+    if max_chars is not None:
+        one = F.filter(one, lambda t: F.length(F.translate(t, _DROPPED, "")) < max_chars)
+
+    def fits(s: Column) -> Column:
+        ok = (F.length(s) > 15) & (F.length(s) - F.length(F.translate(s, " ", "")) > 1)
+        return ok & (F.length(s) < max_chars) if max_chars is not None else ok
+
+    return docs.select("*", F.explode(F.filter(F.transform(one, T.simplify_text), fits)).alias("simple"))
 
 
 def short_candidates(docs: DataFrame, max_chars: int = 400) -> DataFrame:
-    return candidates(docs).filter(F.length("simple") < max_chars)
+    """Candidates of fewer than ``max_chars`` simplified characters."""
+    return candidates(docs, max_chars)
 
 
 def underscored_ngrams(short: DataFrame, n_max: int = 3) -> DataFrame:

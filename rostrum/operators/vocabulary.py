@@ -97,15 +97,20 @@ def term_stats(grams: DataFrame, group: Sequence[str] = ()) -> DataFrame:
     return _stats(explode_grams(grams, [*group, "speaker"], distinct=True), group)
 
 
-def doc_total(docs: DataFrame, group: Sequence[str] = ()) -> Column:
-    """Number of documents (of the row's group) as a scalar subquery, usable in any expression."""
+def total_of(sizes: DataFrame, group: Sequence[str] = (), column: str = "n") -> Column:
+    """Sum of ``column`` (per value of ``group``) as a scalar subquery, usable in any expression."""
     if not group:
-        return docs.agg(F.count(F.lit(1)).alias("n")).scalar()
+        return sizes.agg(F.sum(column).alias("n")).scalar()
     key = F.concat_ws("\u0001", *group)
-    per = docs.groupBy(key.alias("k")).agg(F.count(F.lit(1)).alias("n"))
+    per = sizes.groupBy(key.alias("k")).agg(F.sum(column).alias("n"))
     return F.try_element_at(per.agg(F.map_from_entries(F.collect_list(F.struct("k", "n"))).alias("m")).scalar(), key)
 
 
+def doc_total(docs: DataFrame, group: Sequence[str] = ()) -> Column:
+    """Number of documents (of the row's group)."""
+    return total_of(docs.select(*group, F.lit(1).alias("n")), group)
+
+
 def df_band(stats: DataFrame, total: Column, min_df: float, max_df: float) -> DataFrame:
     """Terms with min_df*N <= df <= max_df*N, both ends included."""
     if max_df < min_df:
@@ -125,7 +130,8 @@ def select_vocabulary(stats: DataFrame, group: Sequence[str] = ()) -> DataFrame:
 
 
 def build_stats(docs: DataFrame, stopwords: Words, n_max: int, pattern: str, min_df: float,
-                min_authors: int, group: Sequence[str] = (), stage: Callable[[DataFrame, str], DataFrame] | None = None) -> DataFrame:
+                min_authors: int, group: Sequence[str] = (), stage: Callable[[DataFrame, str], DataFrame] | None = None,
+                total: Column | None = None) -> DataFrame:
     """Term statistics of every term that can pass ``min_df`` and ``min_authors``.
 
     Without ``stage`` it is one pass over all n-grams. With ``stage`` (a function that writes a small
@@ -136,7 +142,7 @@ def build_stats(docs: DataFrame, stopwords: Words, n_max: int, pattern: str, min
     """
     if stage is None or " " in "".join(re.findall(pattern, "a b")):
         return term_stats(first_pass(docs, stopwords, n_max, pattern), group)
-    total = doc_total(docs, group)
+    total = doc_total(docs, group) if total is None else total
     keep = lambda s: author_spread(df_band(s, total, min_df, float("inf")), min_authors)
     df = with_tokens(docs.select(*group, "speaker", "text"), pattern, stopwords).drop("text")
     keys = [*group, "speaker"]

@@ -33,6 +33,7 @@ class PrepareConfig:
     short_speech_max_chars: int = 400
     incidence_threshold: float = 0.1
     level_wise: bool = True
+    stage_corpus: bool = True
 
 
 @dataclass
@@ -66,10 +67,12 @@ def corpus_from_rows(rows: DataFrame, csv_na: bool = True) -> DataFrame:
 def corpus_tables(docs: DataFrame, stopwords: V.Words, cfg: PrepareConfig) -> CorpusTables:
     """Vocabulary, counts and kept documents of ``docs (chamber, doc_id, speaker, text)``."""
     g = list(GROUP)
-    authors = stage(ids.author_dimension(docs, g), "authors")
+    speakers = stage(speeches.speaker_counts(docs, g), "speakers")
+    authors = stage(ids.author_dimension(speakers, g), "authors")
+    total = V.total_of(speakers, g, "n_speeches")
     stats = V.build_stats(docs, stopwords, cfg.ngram_max, cfg.token_pattern, cfg.min_df, cfg.min_authors_per_word, g,
-                          stage if cfg.level_wise else None)
-    chosen = V.author_spread(V.df_band(stats, V.doc_total(docs, g), cfg.min_df, cfg.max_df), cfg.min_authors_per_word)
+                          stage if cfg.level_wise else None, total)
+    chosen = V.author_spread(V.df_band(stats, total, cfg.min_df, cfg.max_df), cfg.min_authors_per_word)
     vocab = stage(V.select_vocabulary(chosen, g), "vocab")
     overlaps = stage(C.pack_overlaps(C.overlap_map(vocab, g), g), "overlaps")
     counts = stage(C.deoverlap(C.document_term_counts(docs, vocab, cfg.ngram_max, g), overlaps, g), "counts")
@@ -94,14 +97,19 @@ def _per_chamber(base: Sequence[str], extra: DataFrame) -> Mapping[str, list[str
 def prepare(corpus: DataFrame, stopwords: Sequence[str], model: DataFrame, bias: Column, cfg: PrepareConfig = PrepareConfig()) -> Prepared:
     """Both passes over ``corpus (chamber, doc_id, speaker, text)``.
 
+    The corpus is scanned about ten times; ``stage_corpus`` writes its cleaned rows once, so that
+    parsing and cleaning are not repeated. Set it off where ``corpus`` already is a plain table scan.
+
     ``model (term, weight)`` and ``bias`` are the boilerplate classifier. The second pass counts
     document frequencies over the documents it keeps and takes speaker labels as they are.
     """
     g = list(GROUP)
     active = stage(speeches.active_speaker_list(corpus, cfg.min_speeches_per_speaker, g), "active")
     filled = speeches.fill_nulls(speeches.active_speakers(corpus, cfg.min_speeches_per_speaker, g, active))
-    labelled = filled.withColumn("raw_speaker", F.col("speaker"))
-    first = corpus_tables(speeches.clean_speakers(labelled), stopwords, cfg)
+    labelled = speeches.clean_speakers(filled.withColumn("raw_speaker", F.col("speaker")))
+    if cfg.stage_corpus:
+        labelled = stage(labelled, "corpus")
+    first = corpus_tables(labelled, stopwords, cfg)
     raw = first.docs.select(*g, "doc_id", F.col("raw_speaker").alias("speaker"), T.flatten_newlines(F.col("text")).alias("text"))
     short = procedural.short_candidates(raw, cfg.short_speech_max_chars)
     proc = stage(procedural.procedural_docs(procedural.score(short, model, bias, cfg.ngram_max, g)), "procedural")

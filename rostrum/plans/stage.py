@@ -35,7 +35,13 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Hash rows over the cores when the scan has fewer splits than cores; larger inputs pass through."""
+def spread(df: DataFrame, key: str, write: bool = False) -> DataFrame:
+    """Hash rows over the cores when the scan has fewer splits than cores; larger inputs pass through.
+
+    ``write=True`` writes such a small input out once, for plans that scan it several times.
+    """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    even = df.repartition(cores, key)
+    return stage(even, "spread") if write else even

@@ -86,14 +86,13 @@ def speech_rows(raw: DataFrame) -> DataFrame:
     items = head.select("file_path", "Date", "Legislative Body",
                         F.posexplode(_leaf(doc, "$.content", "array<variant>")).alias("pos", "item"))
     item = F.col("item")
-    rows = (items.filter(T.safe_str(_leaf(item, "$.kind")) == "speech")
-            .withColumn("Text", T.safe_str(_leaf(item, "$.text")))
-            .filter(F.length("Text") > 0))
+    text = _leaf(item, "$.text")
+    rows = items.filter((T.trim_ws(_leaf(item, "$.kind")) == "speech") & ~text.rlike(f"^{T.WS}*(?i:none)?{T.WS}*$"))
     return rows.select(
         "file_path", "pos",
         T.safe_str(_leaf(item, "$.speaker_bioguide")).alias("Speaker_Bioguide_ID"),
         T.safe_str(_leaf(item, "$.speaker")).alias("Speaker_Name"),
-        T.normalize_ws(F.col("Text")).alias("Text"), "Date", "Legislative Body")
+        T.normalize_ws(text).alias("Text"), "Date", "Legislative Body")
 
 
 def with_doc_id(rows: DataFrame) -> DataFrame:
