@@ -10,7 +10,7 @@ from rostrum.plans.stage import stage
 
 from .fixtures import HASH, table
 from .registry import query, r, with_ctes
-from .topics import UNI, WEIGHTS, uni_counts, uni_vocab, weights
+from .topics import UNI, WEIGHTS, uni_tables, weights
 
 K, SEEDS = 3, [22, 194]
 S0 = PF.prior_shape(K)
@@ -55,16 +55,20 @@ def _long(state, key):
 
 
 def state(spark, sf):
-    """Counts with the initial document and topic factors."""
-    v = uni_vocab(spark, sf)
-    counts = uni_counts(spark, sf, v)
+    """Vocabulary, counts and the initial document and topic factors."""
+    v, counts = uni_tables(spark, sf)
+    theta, beta = _initial(v, counts)
+    return v, counts, theta, beta
+
+
+def _initial(v, counts):
     theta = PF.init_state(counts.select("doc_id").distinct(), "doc_id", "document", SEEDS, K)
     beta = PF.init_state(v.select("term_id"), "term_id", "topic", SEEDS, K)
-    return counts, stage(theta, "theta"), stage(beta, "beta")
+    return stage(theta, "theta"), stage(beta, "beta")
 
 
 def one_step(spark, sf):
-    counts, theta, beta = state(spark, sf)
+    _, counts, theta, beta = state(spark, sf)
     nz = stage(PF.with_normalizer(counts, theta, beta), "normalized")
     new_theta = stage(PF.doc_step(nz, theta, beta, K), "theta1")
     return nz, new_theta, PF.topic_step(nz, beta, new_theta, K)
@@ -73,19 +77,19 @@ def one_step(spark, sf):
 @query("pf_init", with_ctes(*STATE, select="SELECT seed, doc_id AS id, 'document' AS side, k, round(shape, 6) AS shape, round(rate, 6) AS rate, round(prior_rate, 6) AS prior_rate FROM th"
                                            " UNION ALL SELECT seed, term_id, 'topic', k, round(shape, 6), round(rate, 6), round(prior_rate, 6) FROM be"))
 def pf_init(spark, sf):
-    _, theta, beta = state(spark, sf)
+    _, _, theta, beta = state(spark, sf)
     side = lambda df, key, name: _long(df, key).select("seed", F.col(key).alias("id"), F.lit(name).alias("side"), "k", "shape", "rate", "prior_rate")
     return side(theta, "doc_id", "document").unionByName(side(beta, "term_id", "topic"))
 
 
 @query("pf_normalizer", with_ctes(*STEP[:-7], select="SELECT seed, doc_id, term_id, round(normalizer, 6) AS normalizer FROM nz"))
 def pf_normalizer(spark, sf):
-    return PF.with_normalizer(*state(spark, sf)).select("seed", "doc_id", "term_id", r(F.col("normalizer")).alias("normalizer"))
+    return PF.with_normalizer(*state(spark, sf)[1:]).select("seed", "doc_id", "term_id", r(F.col("normalizer")).alias("normalizer"))
 
 
 @query("pf_doc_step", with_ctes(*STEP[:-4], select=_LONG_SQL.format("doc_id", "nth")))
 def pf_doc_step(spark, sf):
-    counts, theta, beta = state(spark, sf)
+    _, counts, theta, beta = state(spark, sf)
     return _long(PF.doc_step(PF.with_normalizer(counts, theta, beta), theta, beta, K), "doc_id")
 
 
@@ -128,7 +132,7 @@ def _both(fn):
 
 
 def _sides(fn, spark, sf):
-    _, theta, beta = state(spark, sf)
+    _, _, theta, beta = state(spark, sf)
     side = lambda df, name: fn(df, K).select(F.lit(name).alias("side"), "seed", r(F.col("value"), 4).alias("value"))
     return side(theta, "document").unionByName(side(beta, "topic"))
 
@@ -150,13 +154,13 @@ def pf_gamma_entropy(spark, sf):
 
 @query("pf_data_term", with_ctes(*STATE, select=f"SELECT seed, round(v, 4) AS value FROM ({_data_sql('th', 'be')})"))
 def pf_data_term(spark, sf):
-    _, theta, beta = state(spark, sf)
+    _, _, theta, beta = state(spark, sf)
     return PF.data_term(theta, beta, K).select("seed", r(F.col("value"), 4).alias("value"))
 
 
 @query("pf_aux_entropy", with_ctes(*STEP[:-7], select=f"SELECT seed, round(v, 4) AS value FROM ({_AUX})"))
 def pf_aux_entropy(spark, sf):
-    return PF.aux_entropy(PF.with_normalizer(*state(spark, sf))).select("seed", r(F.col("value"), 4).alias("value"))
+    return PF.aux_entropy(PF.with_normalizer(*state(spark, sf)[1:])).select("seed", r(F.col("value"), 4).alias("value"))
 
 
 _PARTS = " UNION ALL ".join([_log_prior_sql("nth", "doc_id"), _log_prior_sql("nbe", "term_id"), _log_cond_sql("nth", "doc_id"), _log_cond_sql("nbe", "term_id"),
@@ -173,17 +177,17 @@ def pf_elbo(spark, sf):
 
 @query("pf_fit")
 def pf_fit(spark, sf):
-    v = uni_vocab(spark, sf)
+    v, counts = uni_tables(spark, sf)
     n = v.agg(F.count(F.lit(1)).alias("n")).first().n
-    return PF.fit(uni_counts(spark, sf, v), n, 10, [22], steps=20, elbo_every=10).beta.select("seed", "term_id", F.posexplode(
+    return PF.fit(counts, n, 10, [22], steps=20, elbo_every=10).beta.select("seed", "term_id", F.posexplode(
         special.gamma_mean(F.col("shape"), F.col("rate"))).alias("topic_id", "weight"))
 
 
 @query("pf_multi_seed")
 def pf_multi_seed(spark, sf):
-    v = uni_vocab(spark, sf)
+    v, counts = uni_tables(spark, sf)
     n = v.agg(F.count(F.lit(1)).alias("n")).first().n
-    return PF.fit(uni_counts(spark, sf, v), n, K, [22, 194, 164], steps=10, elbo_every=5).bounds
+    return PF.fit(counts, n, K, [22, 194, 164], steps=10, elbo_every=5).bounds
 
 
 # --- special functions and rescaling -------------------------------------------------------------
@@ -210,7 +214,7 @@ FACTORS = [*STATE, "bm AS (SELECT avg(s) AS bm FROM (SELECT sum(shape / rate) AS
 
 @query("scale_factors", with_ctes(*FACTORS, select="SELECT round(bm, 6) AS bm, round(tm, 6) AS tm FROM bm, tm"))
 def scale_factors(spark, sf):
-    _, theta, beta = state(spark, sf)
+    _, _, theta, beta = state(spark, sf)
     return scaling.scale_factors(theta, beta).select(r(F.col("bm")).alias("bm"), r(F.col("tm")).alias("tm"))
 
 
@@ -220,8 +224,7 @@ _WEIGHT_CTE = WEIGHTS[-1]
 @query("scaled_beta", with_ctes(*FACTORS, _WEIGHT_CTE, select="""SELECT topic_id, term_id, round(weight * bm, 5) AS weight,
  CASE WHEN term_id < (SELECT count(*) FROM uvocab) - 1 THEN round(weight * bm + 1e-6, 5) END AS topic_word FROM weights, bm"""))
 def scaled_beta(spark, sf):
-    v = uni_vocab(spark, sf)
-    _, theta, beta = state(spark, sf)
+    v, _, theta, beta = state(spark, sf)
     n = v.agg(F.count(F.lit(1)).alias("n")).scalar()
     scaled = scaling.scaled_beta(weights(v).drop("term"), stage(scaling.scale_factors(theta, beta), "means"), n)
     out = scaling.topic_word(scaled, n).withColumnRenamed("weight", "topic_word")
@@ -231,7 +234,7 @@ def scaled_beta(spark, sf):
 
 @query("scaled_theta", with_ctes(*FACTORS, select="SELECT seed, doc_id, k, round(shape * tm, 5) AS weight FROM th, tm"))
 def scaled_theta(spark, sf):
-    _, theta, beta = state(spark, sf)
+    _, _, theta, beta = state(spark, sf)
     means = stage(scaling.scale_factors(theta, beta), "means")
     return scaling.scaled_theta(theta.select("seed", "doc_id", F.col("shape").alias("theta")), means).select(
         "seed", "doc_id", F.posexplode("theta").alias("k", "w")).select("seed", "doc_id", "k", r(F.col("w"), 5).alias("weight"))

@@ -18,8 +18,8 @@ _DIGEST_SQL = "SELECT doc_id, count(*) AS n_grams, count(DISTINCT term) AS n_dis
 
 
 def _digest(df):
-    g = F.array_compact("grams")
-    return df.select("doc_id", g.alias("g")).filter(F.size("g") > 0).select(
+    some = F.filter(F.array(F.array_compact("grams")), lambda g: F.size(g) > 0)
+    return df.select("doc_id", F.explode(some).alias("g")).select(
         "doc_id", F.size("g").cast("bigint").alias("n_grams"), F.size(F.array_distinct("g")).cast("bigint").alias("n_distinct"),
         F.md5(F.array_join("g", "|").cast("binary")).alias("digest"))
 
@@ -206,5 +206,5 @@ def ordered_subset(spark, sf):
     d = docs(spark, sf)
     kept = P.without_procedural(d, scored(spark, sf))
     # The filtered list has its own positions, as lines of a second file have.
-    lines = ids.export_ids(kept.select("doc_id", "text")).select(F.col("row_id").alias("pos"), "text")
+    lines = stage(ids.export_ids(kept.select("doc_id", "text")).select(F.col("row_id").alias("pos"), "text"), "lines")
     return align.ordered_subset(d.select(F.col("doc_id").alias("pos"), "text"), lines)

@@ -23,15 +23,17 @@ UNI = [DOCS, sql_tokens("tok1", "docs", PASS1, "doc_id, speaker"),
        "uc AS (SELECT doc_id, term_id, count(*) AS cnt FROM tok2 JOIN uvocab ON tok = term GROUP BY ALL)"]
 
 
-def uni_vocab(spark, sf):
-    d = docs(spark, sf)
+def uni_vocab(spark, sf, d=None):
+    d = docs(spark, sf) if d is None else d
     chosen = V.author_spread(V.df_band(V.term_stats(V.first_pass(d, STOP, 1)), V.doc_total(d), 0.05, 0.75), 5)
     return stage(V.select_vocabulary(chosen), "vocab")
 
 
-def uni_counts(spark, sf, vocab):
-    """Written counts, as the preparation leaves them for the models."""
-    return stage(C.document_term_counts(docs(spark, sf), vocab, 1), "counts")
+def uni_tables(spark, sf):
+    """Vocabulary and written counts, as the preparation leaves them for the models."""
+    d = docs(spark, sf, write=True)
+    v = uni_vocab(spark, sf, d)
+    return v, stage(C.document_term_counts(d, v, 1), "counts")
 
 
 # --- topic lists ---------------------------------------------------------------------------------
@@ -123,8 +125,8 @@ _NPMI = """npmi AS (SELECT topic_id, avg(CASE WHEN c_ij = 0 THEN 0.0::DOUBLE WHE
 
 @query("pair_cooccurrence", with_ctes(*TOPICS, _PAIRS, select="SELECT topic_id, rank_i, rank_j, term_i, term_j, c_i, c_j, c_ij FROM cooc"))
 def pair_cooccurrence(spark, sf):
-    v = uni_vocab(spark, sf)
-    return M.pair_cooccurrence(C.incidence(uni_counts(spark, sf, v)), topic_list(v), N)
+    v, counts = uni_tables(spark, sf)
+    return M.pair_cooccurrence(C.incidence(counts), topic_list(v), N)
 
 
 def _n_docs(spark, sf):
@@ -133,8 +135,8 @@ def _n_docs(spark, sf):
 
 @query("npmi", with_ctes(*TOPICS, _PAIRS, _NPMI, select="SELECT topic_id, round(npmi, 6) + 0.0::DOUBLE AS npmi FROM npmi"))
 def npmi(spark, sf):
-    v = uni_vocab(spark, sf)
-    pairs = M.pair_cooccurrence(C.incidence(uni_counts(spark, sf, v)), topic_list(v), N)
+    v, counts = uni_tables(spark, sf)
+    pairs = M.pair_cooccurrence(C.incidence(counts), topic_list(v), N)
     return M.npmi(pairs, _n_docs(spark, sf)).withColumn("npmi", r(F.col("npmi")))
 
 
@@ -142,8 +144,8 @@ def npmi(spark, sf):
        f"\nSELECT (SELECT round(avg(npmi), 6) + 0.0::DOUBLE FROM npmi) AS npmi_mean, (SELECT round(sum(1.0::DOUBLE / h) / {N * K}, 6) FROM held) AS tu_mean,"
        f" {_SCORE} AS \"to\", count(*) FILTER (size = {N}) AS entire_overlaps FROM walk")
 def topic_metrics(spark, sf):
-    v = uni_vocab(spark, sf)
-    m = M.topic_metrics(C.incidence(uni_counts(spark, sf, v)), topic_list(v), _n_docs(spark, sf), K, N)
+    v, counts = uni_tables(spark, sf)
+    m = M.topic_metrics(C.incidence(counts), topic_list(v), _n_docs(spark, sf), K, N)
     return m.select(*[r(F.col(c)).alias(c) for c in ("npmi_mean", "tu_mean", "to")], "entire_overlaps")
 
 
@@ -176,9 +178,9 @@ def eval_split(spark, sf):
 # --- LDA -----------------------------------------------------------------------------------------
 
 def _features(spark, sf):
-    v = uni_vocab(spark, sf)
+    v, counts = uni_tables(spark, sf)
     n = v.agg(F.count(F.lit(1)).alias("n")).first().n
-    return lda.vectors(uni_counts(spark, sf, v), n), n, v
+    return lda.vectors(counts, n), n, v
 
 
 def _top(model, n, vocab):

@@ -39,22 +39,25 @@ def scan_json(spark: SparkSession, root: str, pattern: str = "*.json", limit: in
             .select(F.col("_metadata.file_path").alias("file_path"), F.col("value").alias("raw")))
 
 
-def decode(raw: DataFrame) -> DataFrame:
-    """Add ``doc`` (VARIANT) and ``is_good``: the text parses and its top level is an object."""
-    doc = F.try_parse_json("raw")
-    return (raw.withColumn("doc", doc)
-            .withColumn("is_good", F.coalesce(F.schema_of_variant("doc").startswith("OBJECT"), F.lit(False))))
+def _is_object(doc: Column) -> Column:
+    return F.coalesce(F.schema_of_variant(doc).startswith("OBJECT"), F.lit(False))
 
 
 def good_records(raw: DataFrame) -> DataFrame:
-    return decode(raw).filter("is_good").drop("is_good")
+    """Records whose text parses to an object, with ``doc`` (VARIANT).
+
+    The parsed value is tested inside a one-element array, so each text is parsed once; a filter on
+    ``doc`` would be pushed below the projection and parse again.
+    """
+    return raw.select("*", F.explode(F.filter(F.array(F.try_parse_json("raw")), _is_object)).alias("doc"))
 
 
 def bad_records(raw: DataFrame) -> DataFrame:
     """Records for the failure list: broken text, or a top level that is not an object."""
-    d = decode(raw).filter(~F.col("is_good"))
-    reason = F.when(F.col("doc").isNull(), F.lit("not valid JSON")).otherwise(F.lit("top level is not an object"))
-    return d.select("file_path", reason.alias("reason"))
+    why = lambda doc: F.when(doc.isNull(), F.lit("not valid JSON")).when(
+        ~_is_object(doc), F.lit("top level is not an object"))
+    reason = F.array_compact(F.transform(F.array(F.try_parse_json("raw")), why))
+    return raw.select("file_path", F.explode(reason).alias("reason"))
 
 
 def _leaf(doc: Column, path: str, kind: str = "string") -> Column:
