@@ -60,13 +60,20 @@ def fit_em(features: DataFrame, num_topics: int, seed: int = 42, iterations: int
 
 
 def topic_weights(model: LDAModel, vocab_size: int) -> DataFrame:
-    """``(topic_id, term_id, weight)`` with each topic's weights summing to one."""
+    """``(topic_id, term_id, weight)`` for every topic and term; each topic's weights sum to one.
+
+    Terms without any count get weight 0 where the optimiser leaves them out.
+    """
     d = model.describeTopics(vocab_size)
     rows = d.select(F.col("topic").cast("int").alias("topic_id"),
                     F.explode(F.arrays_zip("termIndices", "termWeights")).alias("x"))
     w = rows.select("topic_id", F.col("x.termIndices").cast("bigint").alias("term_id"), F.col("x.termWeights").alias("w"))
     total = w.groupBy("topic_id").agg(F.sum("w").alias("s"))
-    return w.join(total, "topic_id").select("topic_id", "term_id", (F.col("w") / F.col("s")).alias("weight"))
+    share = w.join(total, "topic_id").select("topic_id", "term_id", (F.col("w") / F.col("s")).alias("weight"))
+    every = (d.sparkSession.range(vocab_size).withColumnRenamed("id", "term_id")
+             .withColumn("topic_id", F.explode(F.sequence(F.lit(0), F.lit(model.getK() - 1)))))
+    return every.join(share, ["topic_id", "term_id"], "left").select(
+        "topic_id", "term_id", F.coalesce("weight", F.lit(0.0)).alias("weight"))
 
 
 def doc_topics(model: LDAModel, features: DataFrame) -> DataFrame:

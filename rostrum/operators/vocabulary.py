@@ -74,7 +74,7 @@ def ngrams_from_rows(tokens: DataFrame, n_max: int, sep: str = " ") -> DataFrame
     cols: list[Column] = [F.col("token")]
     for n in range(1, n_max):
         cols.append(F.concat(cols[-1], F.lit(sep), F.lead("token", n).over(w)))
-    return tokens.select("doc_id", F.explode(F.array_compact(F.array(*cols))).alias("term"))
+    return explode_grams(tokens.select("doc_id", F.array(*cols).alias("grams")), ["doc_id"])
 
 
 def author_term_counts(grams: DataFrame, group: Sequence[str] = ()) -> DataFrame:
