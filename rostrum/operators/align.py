@@ -16,8 +16,9 @@ def ordered_subset(original: DataFrame, filtered: DataFrame) -> DataFrame:
     list is no such subset.
     """
     texts = filtered.select("text").distinct()
-    kept = dense_ids(original.select("pos", "text").join(texts, "text", "left_semi"), "pos", number_bucket("pos"), "rank")
-    given = dense_ids(filtered.select("pos", F.col("text").alias("given")), "pos", number_bucket("pos"), "rank").drop("pos")
+    rank = lambda df, by: dense_ids(df, "pos", number_bucket(by, "pos"), "rank")
+    kept = rank(original.select("pos", "text").join(texts, "text", "left_semi"), original)
+    given = rank(filtered.select("pos", F.col("text").alias("given")), filtered).drop("pos")
     both = kept.join(given, "rank", "full")
     ok = F.col("text").eqNullSafe(F.col("given"))
     stop = F.raise_error(F.lit("the filtered list is not an ordered subset of the original"))

@@ -26,13 +26,16 @@ def dense_ids(df: DataFrame, key: str, bucket: Column, out: str, group: Sequence
             .drop(b, "__off", "__rn"))
 
 
-def string_bucket(key: str, length: int = 3) -> Column:
+def string_bucket(key: str, length: int = 4) -> Column:
     """Leading characters: they order like the string itself."""
     return F.substring(key, 1, length)
 
 
-def number_bucket(key: str, width: int = 1_000_000) -> Column:
-    return F.floor(F.col(key) / F.lit(width))
+def number_bucket(df: DataFrame, key: str, buckets: int = 10_000) -> Column:
+    """Equal slices of the key's range, for sequential or hashed ids of any magnitude."""
+    span = df.agg(F.struct(F.min(key).cast("double").alias("lo"), F.max(key).cast("double").alias("hi")).alias("s")).scalar()
+    width = F.greatest(span["hi"] - span["lo"], F.lit(1.0))
+    return F.floor((F.col(key).cast("double") - span["lo"]) / width * F.lit(buckets))
 
 
 def author_dimension(docs: DataFrame, group: Sequence[str] = ()) -> DataFrame:
@@ -47,4 +50,4 @@ def author_ids(docs: DataFrame, authors: DataFrame, group: Sequence[str] = ()) -
 
 def export_ids(docs: DataFrame, group: Sequence[str] = ()) -> DataFrame:
     """0-based row number in document order, for positional exports."""
-    return dense_ids(docs, "doc_id", number_bucket("doc_id"), "row_id", group)
+    return dense_ids(docs, "doc_id", number_bucket(docs, "doc_id"), "row_id", group)

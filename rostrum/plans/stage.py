@@ -24,8 +24,18 @@ def work_dir(spark: SparkSession) -> str:
     return path
 
 
+def _root(spark: SparkSession) -> str:
+    return f"{work_dir(spark).rstrip('/')}/staged-{spark.sparkContext.applicationId}"
+
+
 def new_path(spark: SparkSession, name: str) -> str:
-    return f"{work_dir(spark).rstrip('/')}/staged-{uuid.uuid4().hex}/{name}"
+    return f"{_root(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def drop_staged(spark: SparkSession) -> None:
+    """Remove this application's staged tables, once its results are written elsewhere."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_root(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:

@@ -108,6 +108,10 @@ def test_dense_ids_follow_code_points(spark):
         assert [got[g, n] for n in sorted(names)] == list(range(len(names)))
     nums = spark.createDataFrame([(v,) for v in (-5, 3, 2_500_000, 999_999, 1_000_000)], "doc_id bigint")
     assert [r.row_id for r in ids.export_ids(nums).orderBy("doc_id").collect()] == [0, 1, 2, 3, 4]
+    hashed = spark.range(500).select(F.xxhash64("id").alias("doc_id")).unionByName(
+        spark.createDataFrame([(-2**63,), (2**63 - 1,), (2**63 - 2,)], "doc_id bigint"))
+    got = ids.export_ids(hashed).orderBy("doc_id").collect()
+    assert [r.row_id for r in got] == list(range(503))
 
 
 @pytest.mark.parametrize("size, kept", [(24, False), (25, True), (26, True)])

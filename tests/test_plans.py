@@ -28,9 +28,10 @@ def corpus(spark):
         words = [rng.choice(themes[i % 2]) for _ in range(rng.randint(5, 40))]
         text = " ".join(words) if i % 8 else "Mr Speaker I yield the floor to the gentleman"
         docs.append({"header": {"year": 2024, "month": "May", "day": 3, "chamber": ["House", " SENATE "][(i // 2) % 2]},
-                     "content": [{"kind": "speech", "speaker": "x", "speaker_bioguide": None if i % 7 == 0 else f"S{i % 5} ", "text": text}]})
+                     "content": [{"kind": "speech", "speaker": "x", "speaker_bioguide": None if i % 7 == 0 else f"S{i % 5}", "text": text}]})
     raw = spark.createDataFrame([(f"f{i}", json.dumps(d)) for i, d in enumerate(docs)], "file_path string, raw string")
-    return stage(corpus_from_rows(transcripts.with_doc_id(transcripts.speech_rows(raw))), "corpus")
+    rows = corpus_from_rows(transcripts.with_doc_id(transcripts.speech_rows(raw)))
+    return stage(rows.withColumn("speaker", F.concat("speaker", F.lit(" "))), "corpus")
 
 
 @pytest.fixture(scope="module")
