@@ -41,6 +41,18 @@ def factor_elbo(shape, rate, prior_rate, a, hyper_shape, hyper_rate, prior_shape
     return float(prior + cond) + gamma_entropy(np.full_like(prior_rate, prior_shape), prior_rate) + gamma_entropy(shape, rate)
 
 
+def slices(batches, width, cells=4_000_000):
+    """Cut batches so that one slice's non-zeros times ``width`` stays near ``cells`` numbers."""
+    for batch in batches:
+        if batch.num_rows == 0:
+            continue
+        lens = batch.column("idx").value_lengths().to_numpy(zero_copy_only=False)
+        part = (np.cumsum(lens) * width) // cells
+        cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
+        for lo, hi in zip(cuts, cuts[1:]):
+            yield batch.slice(lo, hi - lo)
+
+
 def doc_update(batches, geo, topic_sum, seed_slot, k, a, hyper, prior_shape, out_schema, with_elbo):
     """One document step over the batches of a partition.
 
@@ -56,9 +68,7 @@ def doc_update(batches, geo, topic_sum, seed_slot, k, a, hyper, prior_shape, out
         n = len(flat) // width
         return pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * width), pa.array(flat))
 
-    for batch in batches:
-        if batch.num_rows == 0:
-            continue
+    for batch in slices(batches, k):
         seeds = batch.column("seed").to_numpy(zero_copy_only=False)
         slot = np.array([seed_slot[s] for s in seeds.tolist()])
         idx_col, val_col = batch.column("idx"), batch.column("val")

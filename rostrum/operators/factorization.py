@@ -34,7 +34,7 @@ cloudpickle.register_pickle_by_value(kernels)
 
 PRIOR = 0.3  # shape of the factors' gamma prior, and shape and rate of its hyperprior
 DEFAULT_SEEDS = (22, 194, 164, 98, 210, 10, 128, 42, 105, 101)  # fixed values
-BROADCAST_LIMIT = 256 * 1024 * 1024
+BROADCAST_LIMIT = 64 * 1024 * 1024  # bytes; a Python worker holds about twice this
 
 
 def prior_shape(num_topics: int) -> float:

@@ -95,6 +95,26 @@ def test_seed_groups_under_a_small_limit(spark, counts):
                 np.testing.assert_allclose(a, b, rtol=1e-12)
 
 
+def test_slices_do_not_change_the_kernel():
+    import pyarrow as pa
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    rng = np.random.RandomState(1)
+    schema = to_arrow_schema(PF._STATE)
+    idx = [sorted(rng.choice(V, size=n, replace=False).tolist()) for n in (3, 0, 5, 2, 6)]
+    n = len(idx)
+    batch = pa.RecordBatch.from_arrays([
+        pa.array([0] * n, pa.int8()), pa.array([7, 7, 9, 9, 7], pa.int32()), pa.array(range(n), pa.int64()), pa.array(idx, pa.list_(pa.int32())),
+        pa.array([[1.0] * len(x) for x in idx], pa.list_(pa.float64())), pa.array(np.exp(rng.randn(n, K)).tolist()),
+        pa.array(np.exp(rng.randn(n, K)).tolist()), pa.array(np.exp(rng.randn(n)))], schema=schema)
+    geo, topic_sum = np.exp(rng.randn(2 * V, K)), np.exp(rng.randn(2, K))
+    run = lambda parts: pa.Table.from_batches(list(kernels.doc_update(
+        parts, geo, topic_sum, {7: 0, 9: 1}, K, A, A, A + K * A, schema, True))).to_pylist()
+    for a, b in zip(run([batch]), run([batch.slice(i, 1) for i in range(n)]), strict=True):
+        assert (a["kind"], a["seed"], a["id"]) == (b["kind"], b["seed"], b["id"])
+        np.testing.assert_allclose(a["shape"], b["shape"], rtol=1e-10)
+
+
 def test_special_functions(spark):
     xs = [0.05, 0.3, 1.0, 2.5, 7.0, 40.0]
     df = spark.createDataFrame([(x,) for x in xs], "x double")
@@ -105,3 +125,13 @@ def test_special_functions(spark):
     np.testing.assert_allclose(kernels.gammaln(np.array(xs)), [math.lgamma(x) for x in xs], rtol=1e-10, atol=1e-11)
     one = spark.createDataFrame([([1000.0, 1000.0],)], "a array<double>")
     assert abs(one.select(special.logsumexp(F.col("a"))).first()[0] - (1000 + math.log(2))) < 1e-9
+
+
+def test_batches_are_cut_by_size():
+    import pyarrow as pa
+
+    idx = pa.array([[1] * n for n in (3, 0, 5, 2, 9, 1)], pa.list_(pa.int32()))
+    batch = pa.RecordBatch.from_arrays([idx], names=["idx"])
+    parts = list(kernels.slices([batch, batch.slice(0, 0)], 2, cells=10))
+    assert sum(p.num_rows for p in parts) == 6 and len(parts) > 2
+    assert pa.concat_arrays([p.column("idx") for p in parts]).equals(idx)
