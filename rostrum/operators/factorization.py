@@ -26,7 +26,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from ..functions import kernels
 from ..functions.special import array_sum, digamma, dot, gamma_geo_mean, gamma_mean, gammaln
-from ..plans.stage import work_dir
+from ..plans.stage import by_key, work_dir
 from .counts import packed_docs
 
 # Workers get the helpers inside the task closure, so the package need not be installed on them.
@@ -197,7 +197,7 @@ def fit(counts: DataFrame, num_terms: int, num_topics: int = 50, seeds: Sequence
     if per_seed > broadcast_limit:
         return _fit_relational(counts, num_terms, num_topics, seeds, steps, elbo_every, checkpoint_every)
     width = max(1, broadcast_limit // per_seed)
-    packed = packed_docs(counts).persist(StorageLevel.MEMORY_AND_DISK)
+    packed = packed_docs(by_key(counts, "doc_id")).persist(StorageLevel.MEMORY_AND_DISK)
     fits = [_fit_packed(spark, packed, num_terms, num_topics, list(seeds[i:i + width]), steps, elbo_every, checkpoint_every)
             for i in range(0, len(seeds), width)]
     packed.unpersist()

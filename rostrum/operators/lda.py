@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..plans.stage import new_path
+from ..plans.stage import by_key, new_path
 from .counts import packed_docs
 
 
@@ -24,7 +24,7 @@ def vectors(counts: DataFrame, num_terms: int) -> DataFrame:
     layout = F.struct(F.lit(0).cast("tinyint").alias("type"), F.lit(num_terms).cast("int").alias("size"),
                       F.col("idx").alias("indices"), F.col("val").alias("values"))
     path = new_path(spark, "features")
-    packed_docs(counts).select("doc_id", layout.alias("features")).write.parquet(path)
+    packed_docs(by_key(counts, "doc_id")).select("doc_id", layout.alias("features")).write.parquet(path)
     schema = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("features", VectorUDT())])
     return spark.read.schema(schema).parquet(path)
 

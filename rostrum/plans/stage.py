@@ -55,3 +55,14 @@ def spread(df: DataFrame, key: str, write: bool = False) -> DataFrame:
         return df
     even = df.repartition(cores, key)
     return stage(even, "spread") if write else even
+
+
+def by_key(df: DataFrame, key: str) -> DataFrame:
+    """Place rows by ``key`` in the session's full number of shuffle partitions.
+
+    For iterative work that computes much per byte: adaptive coalescing would leave small tables in
+    one or two partitions.
+    """
+    spark = df.sparkSession
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    return df.repartition(n, key)
