@@ -203,8 +203,8 @@ def without_procedural(spark, sf):
 @query("ordered_subset", with_ctes(*SCORED, "kept AS (SELECT doc_id, text FROM docs WHERE doc_id NOT IN (SELECT doc_id FROM scored WHERE score > 0))",
                                    select="SELECT row_number() OVER (ORDER BY doc_id) - 1 AS rank, doc_id AS pos, text FROM kept"))
 def ordered_subset(spark, sf):
-    d = docs(spark, sf)
-    kept = P.without_procedural(d, scored(spark, sf))
+    d = docs(spark, sf, write=True)
+    kept = stage(P.without_procedural(d, scored(spark, sf)), "kept")
     # The filtered list has its own positions, as lines of a second file have.
     lines = stage(ids.export_ids(kept.select("doc_id", "text")).select(F.col("row_id").alias("pos"), "text"), "lines")
     return align.ordered_subset(d.select(F.col("doc_id").alias("pos"), "text"), lines)

@@ -12,7 +12,8 @@ def dense_ids(df: DataFrame, key: str, bucket: Column, out: str, group: Sequence
     """Add ``out`` = 0-based rank of the unique ``key`` within ``group``.
 
     ``bucket`` must rise with ``key`` (a prefix of a string, the high part of a number). Rows are
-    ranked inside each bucket; the offsets come from a running sum over one row per bucket.
+    ranked inside each bucket; the offsets come from a running sum over one row per bucket. ``df`` is
+    read for the sizes and for the ranks, so stage it first when it is costly.
     """
     g = list(group)
     b = "__bucket"
