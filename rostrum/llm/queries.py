@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import quality
+from . import quality, simhash
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -27,3 +27,10 @@ def query(name: str, sql: str | None = None):
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return quality.with_verdict(docs, "q").select("doc_id", "q.*")
+
+
+@query("op10_simhash_vp_trees")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    digits = F.lpad(F.lower(F.hex("fp")), 16, "0")
+    return simhash.groups(docs).select("doc_id", digits.alias("fingerprint"), "component_id")
