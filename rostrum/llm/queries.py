@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import quality, simhash
+from . import decontaminate, quality, simhash
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -34,3 +34,26 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     digits = F.lpad(F.lower(F.hex("fp")), 16, "0")
     return simhash.groups(docs).select("doc_id", digits.alias("fingerprint"), "component_id")
+
+
+@query("op8_prefix_decontamination", r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''),
+       'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''),
+       'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+win AS (SELECT DISTINCT item_id, len(x) AS l, array_to_string(x, ' ') AS g FROM (
+       SELECT item_id, w[s:s + least(13, len(w)) - 1] AS x
+       FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 13, 0) + 2)) AS s FROM b WHERE len(w) > 0))),
+gram AS (SELECT r, p, l, array_to_string(w[p:p + l - 1], ' ') AS g
+       FROM (SELECT r, w, l, unnest(range(1, len(w) - l + 2)) AS p FROM d, (SELECT DISTINCT l FROM win) WHERE len(w) >= l)),
+hit AS (SELECT DISTINCT r, p, l, item_id FROM gram JOIN win USING (l, g)),
+n AS (SELECT r, count(*) AS n_hit FROM (SELECT DISTINCT r, unnest(range(p, p + l)) AS q FROM hit) GROUP BY r),
+i AS (SELECT r, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS id FROM hit) GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN n USING (r) LEFT JOIN i USING (r)""")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontaminate.with_hits(docs, table(spark, sf_dir, "benchmark"), "h")
+    return found.select("doc_id", "h.n_words", "h.n_hit", F.size("h.items").cast("long").alias("n_items"),
+                        decontaminate.items_digest(F.col("h.items")).alias("items_sha256"), "h.contaminated")
