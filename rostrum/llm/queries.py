@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, quality, simhash
+from . import decontaminate, mixing, quality, simhash
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -57,3 +57,25 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.with_hits(docs, table(spark, sf_dir, "benchmark"), "h")
     return found.select("doc_id", "h.n_words", "h.n_hit", F.size("h.items").cast("long").alias("n_items"),
                         decontaminate.items_digest(F.col("h.items")).alias("items_sha256"), "h.contaminated")
+
+
+@query("op9_fair_queueing", r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce('s' || source, 't') AS src,
+       CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
+       md5('17:' || coalesce(CAST(doc_id AS VARCHAR), '') || ':' || md5(coalesce(text, ''))) AS h FROM documents),
+s AS (SELECT src, CAST(sum(size) AS BIGINT) AS n, CAST([3, 1, 2][CAST((row_number() OVER (ORDER BY src) - 1) % 3 + 1 AS INT)] AS BIGINT) AS w
+      FROM d GROUP BY src),
+o AS (SELECT *, CAST(1.5 AS DOUBLE) * CAST(sum(n) OVER () AS DOUBLE) AS b,
+       CAST(sum(2 * n) OVER f AS BIGINT) - 2 * n AS c0, CAST(sum(w) OVER () AS BIGINT) - CAST(sum(w) OVER f AS BIGINT) + w AS w0 FROM s
+       WINDOW f AS (ORDER BY CAST(2 * n AS DOUBLE) / CAST(w AS DOUBLE), src ROWS UNBOUNDED PRECEDING)),
+c AS (SELECT *, 2 * n <= w * ((b - c0) / w0) AS capped FROM o),
+t AS (SELECT src, n, b, CASE WHEN capped THEN CAST(2 * n AS DOUBLE) ELSE w * ((b - CAST(sum(CASE WHEN capped THEN 2 * n ELSE 0 END) OVER () AS DOUBLE))
+       / CAST(sum(CASE WHEN NOT capped THEN w END) OVER () AS DOUBLE)) END AS target FROM c),
+q AS (SELECT d.*, n, b, target, CAST(sum(size) OVER (PARTITION BY src ORDER BY h ROWS UNBOUNDED PRECEDING) AS BIGINT) AS cum FROM d JOIN t USING (src)),
+e AS (SELECT r, src, size, b, cum + k * n AS pos, CAST(cum + k * n AS DOUBLE) / target AS f FROM q, (VALUES (0), (1)) AS v(k) WHERE size > 0),
+g AS (SELECT r, CASE WHEN sum(size) OVER (ORDER BY f, src, pos ROWS UNBOUNDED PRECEDING) <= b THEN size ELSE 0 END AS took FROM e),
+u AS (SELECT r, CAST(sum(took) AS BIGINT) AS taken FROM g GROUP BY r)
+SELECT doc_id, size, n AS source_size, target, coalesce(taken, 0) AS taken FROM q LEFT JOIN u USING (r)""")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return mixing.plan(docs).select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("takes")).alias("taken"))
