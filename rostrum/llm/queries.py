@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, mixing, quality, simhash
+from . import decontaminate, mixing, quality, simhash, tokens
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -79,3 +79,16 @@ SELECT doc_id, size, n AS source_size, target, coalesce(taken, 0) AS taken FROM
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     return mixing.plan(docs).select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("takes")).alias("taken"))
+
+
+def byte_bpe() -> tokens.Encoding:
+    import public_tokenizers
+
+    return tokens.Encoding(public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query("op5_arrow_sequences")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = tokens.digests(tokens.write(docs, byte_bpe()), byte_bpe())
+    return found.select("doc_id", "start", "n_tokens", "ids_crc32")
