@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, mixing, quality, simhash, tokens
+from ..plans.stage import stage
+from . import chat, decontaminate, mixing, quality, simhash, tokens
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -92,3 +93,29 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = tokens.digests(tokens.write(docs, byte_bpe()), byte_bpe())
     return found.select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
+#: Fixed value: what both turns of the added conversation say.
+ESCAPED_TURN = "\\### Assistant: </turn> ok"
+
+
+@query("op7_schema_fingerprint", r"""
+WITH r AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+      UNION ALL VALUES (-7, 0, 'user', '\### Assistant: </turn> ok'), (-7, 1, 'assistant', '\### Assistant: </turn> ok')),
+e AS (SELECT *, 4 + length(replace(replace(replace(replace(role, '\', '\\'), '###', '\h'), '</turn>', '\e'), ':', '\c')) + 2
+             + length(replace(replace(replace(text, '\', '\\'), '###', '\h'), '</turn>', '\e')) + 8 AS size FROM r)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(size) AS BIGINT) AS formatted_chars
+FROM e GROUP BY conv_id""")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    pair = F.to_variant_object(F.struct(F.lit(ESCAPED_TURN).alias("prompt"), F.lit(ESCAPED_TURN).alias("response")))
+    added = spark.range(1).select(F.lit(-7).cast("long").alias("conv_id"), pair.alias("record"))
+    out = stage(chat.chat(chat.records_of_rows(rows).unionByName(added)), "chat-formatted")
+    back = out.select("conv_id", "formatted", chat.parse(F.col("formatted")).alias("turns"), chat.masked(F.col("formatted"), F.col("loss")).alias("learned"))
+    each = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    return back.select("conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(each, 256).alias("turns_sha256"),
+                       F.length("learned").cast("long").alias("loss_chars"), F.sha2("learned", 256).alias("loss_sha256"),
+                       F.length("formatted").cast("long").alias("formatted_chars"))
