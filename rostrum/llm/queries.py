@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans.stage import stage
-from . import chat, decontaminate, mixing, quality, simhash, tokens
+from . import chat, decontaminate, mixing, quality, simhash, tokens, toxicity
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -119,3 +119,11 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select("conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(each, 256).alias("turns_sha256"),
                        F.length("learned").cast("long").alias("loss_chars"), F.sha2("learned", 256).alias("loss_sha256"),
                        F.length("formatted").cast("long").alias("formatted_chars"))
+
+
+@query("op4_ngram_toxicity")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels").select("doc_id", "toxic"))
+    return docs.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), toxicity.score(F.col("text"), model, spark).alias("score")) \
+        .withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
