@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans.stage import stage
-from . import chat, decontaminate, mixing, quality, simhash, tokens, toxicity
+from . import chat, decontaminate, mixing, quality, simhash, sitetree, tokens, toxicity
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -127,3 +127,9 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = toxicity.fit(docs, table(spark, sf_dir, "labels").select("doc_id", "toxic"))
     return docs.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), toxicity.score(F.col("text"), model, spark).alias("score")) \
         .withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
+@query("op3_site_style_tree")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return sitetree.with_text(pages, "t").select("page_id", "url", F.col("t").alias("text"), F.length("t").cast("long").alias("n_chars"))
