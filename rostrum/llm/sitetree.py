@@ -131,12 +131,18 @@ def events(html: str, closed: Callable[[Element], None] = lambda e: None) -> Ite
             continue
         tag = tag.lower()
         if m["end"]:
+            block = tag in BLOCK
             for i in range(len(stack) - 1, 0, -1):
                 if stack[i].tag == tag:
-                    yield stack, None
+                    if block:
+                        yield stack, None
                     close_from(i)
                     break
+                if not block and stack[i].tag in BLOCK:  # a stray end tag closes nothing around it
+                    break
             continue
+        if tag == "br":
+            yield stack, " "
         if tag in BLOCK:
             yield stack, None
         ends = CLOSES.get(tag, ())
