@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans.stage import stage
-from . import chat, decontaminate, mixing, quality, simhash, sitetree, tokens, toxicity
+from . import chat, decontaminate, fuzzylines, mixing, quality, simhash, sitetree, tokens, toxicity
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -133,3 +133,16 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
     return sitetree.with_text(pages, "t").select("page_id", "url", F.col("t").alias("text"), F.length("t").cast("long").alias("n_chars"))
+
+
+@query("op2_fuzzy_lines")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    lines = fuzzylines.classes(docs)
+    per = lines.groupBy("doc_id").agg(
+        F.count("*").alias("n_lines"), F.sum((~fuzzylines.is_kept()).cast("long")).alias("n_removed"),
+        F.array_sort(F.collect_set(F.when(~fuzzylines.is_kept(), F.col("keep_doc")))).alias("keepers"))
+    ids = docs.select(F.col("doc_id").alias("id")).distinct()
+    return ids.join(per, F.col("id").eqNullSafe(F.col("doc_id")), "left").select(
+        F.col("id").alias("doc_id"), F.coalesce("n_lines", F.lit(0).cast("long")).alias("n_lines"),
+        F.coalesce("n_removed", F.lit(0).cast("long")).alias("n_removed"), F.coalesce("keepers", F.array().cast("array<long>")).alias("keepers"))
