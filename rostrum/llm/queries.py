@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans.stage import stage
-from . import chat, decontaminate, fuzzylines, mixing, quality, simhash, sitetree, tokens, toxicity
+from . import chat, decontaminate, fuzzylines, mixing, quality, simhash, sitetree, suffixdedup, tokens, toxicity
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -146,3 +146,10 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ids.join(per, F.col("id").eqNullSafe(F.col("doc_id")), "left").select(
         F.col("id").alias("doc_id"), F.coalesce("n_lines", F.lit(0).cast("long")).alias("n_lines"),
         F.coalesce("n_removed", F.lit(0).cast("long")).alias("n_removed"), F.coalesce("keepers", F.array().cast("array<long>")).alias("keepers"))
+
+
+@query("op6_suffix_levels")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = suffixdedup.remove_repeats(docs, digest=True)
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.lower(F.hex("kept")).alias("kept_sha256"))
