@@ -21,6 +21,7 @@ writes no file and gives an empty index. Texts of any length are encoded whole.
 
 from __future__ import annotations
 
+import os
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -59,35 +60,47 @@ class Encoder:
     """Ids of many texts at a time, as one flat array and the number of ids of each text."""
 
     def __init__(self, spec: Encoding):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark has a task for every core
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
 
         self.spec = spec
         self.tool = Tokenizer.from_file(spec.tokenizer)
         self.kind = np.uint16 if self.tool.get_vocab_size(with_added_tokens=True) <= 1 << 16 else np.uint32
         self.special = [t.content for t in self.tool.get_added_tokens_decoder().values()]
-        settings = type(self.tool.pre_tokenizer).__name__ if self.tool.pre_tokenizer else ""
-        self.by_piece = settings == "ByteLevel" and self.tool.normalizer is None
-        self.young: dict[str, np.ndarray] = {}
-        self.old: dict[str, np.ndarray] = {}
+        split = self.tool.pre_tokenizer
+        self.by_piece = type(split).__name__ == "ByteLevel" and split.use_regex and not split.add_prefix_space and self.tool.normalizer is None
+        if self.by_piece:
+            self.unsplit = Tokenizer.from_file(spec.tokenizer)  # for texts that are single pieces
+            self.unsplit.pre_tokenizer = ByteLevel(add_prefix_space=False, use_regex=False)
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
 
     def whole(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(self.tool.encode(t, add_special_tokens=False).ids, self.kind) for t in texts]
 
-    def pieces(self, values: list[str]) -> list[np.ndarray]:
+    def pieces(self, values: list[str]) -> list[bytes]:
         """Ids of distinct pieces, remembered in two generations of bounded size."""
         young, old = self.young, self.old
-        got = [young.get(v) for v in values]
-        lost = [i for i, x in enumerate(got) if x is None]
+        got = list(map(young.get, values))
         unknown = []
-        for i in lost:
-            x = old.get(values[i])
+        for i, x in enumerate(got):
             if x is None:
-                unknown.append(i)
-            else:
-                young[values[i]] = got[i] = x
-        if unknown:
-            for i, e in zip(unknown, self.tool.encode_batch_fast([values[i] for i in unknown], add_special_tokens=False)):
-                young[values[i]] = got[i] = np.array(e.ids, self.kind)
+                v = values[i]
+                x = old.get(v)
+                if x is None:
+                    unknown.append(i)
+                else:
+                    young[v] = got[i] = x
+        for k in range(0, len(unknown), 4096):
+            some = unknown[k:k + 4096]
+            found = self.unsplit.encode([values[i] for i in some], is_pretokenized=True, add_special_tokens=False)
+            flat, width = np.array(found.ids, self.kind).tobytes(), np.dtype(self.kind).itemsize
+            ends = (np.cumsum(np.bincount(found.word_ids, minlength=len(some))) * width).tolist()
+            start = 0
+            for i, end in zip(some, ends):
+                young[values[i]] = got[i] = flat[start:end]
+                start = end
         if len(young) > self.spec.remembered:
             self.old, self.young = young, {}
         return got
@@ -104,9 +117,9 @@ class Encoder:
         flat = lists.flatten().dictionary_encode()
         code = flat.indices.to_numpy(zero_copy_only=False)
         known = self.pieces(flat.dictionary.to_pylist())
-        sizes = np.fromiter(map(len, known), np.int64, len(known))
+        pool = np.frombuffer(b"".join(known), self.kind)
+        sizes = np.fromiter(map(len, known), np.int64, len(known)) // pool.itemsize
         starts = np.concatenate(([0], np.cumsum(sizes)))
-        pool = np.concatenate(known) if known else np.zeros(0, self.kind)
         each = sizes[code]
         ends = np.cumsum(each)
         at = np.repeat((starts[code] - (ends - each)).astype(np.int32), each)  # both sums stay far below 2**31
@@ -216,8 +229,8 @@ def write(df: DataFrame, spec: Encoding, folder: str | None = None, doc_id: str
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool, out, name = _encoder(spec), None, ""
         for batch in batches:
-            for i in range(0, batch.num_rows, 2048):
-                part = batch.slice(i, 2048)
+            for i in range(0, batch.num_rows, 1024):
+                part = batch.slice(i, 1024)
                 ids, sizes = tool.encode(part.column(2))
                 ends = np.cumsum(sizes)
                 ids = np.insert(ids, ends, spec.end_id)
