@@ -69,7 +69,7 @@ def targets(sizes: DataFrame, mix: Mix = Mix()) -> DataFrame:
     filled = everywhere.orderBy(F.col("cap") / F.col("weight"), "src").rowsBetween(Window.unboundedPreceding, 0)
     share = F.col("weight") * ((F.col("budget") - F.col("caps_before")) / F.col("weight_left"))
     capped, free = F.when(F.col("capped"), F.col("cap")).otherwise(0), F.when(~F.col("capped"), F.col("weight"))
-    rest = (F.col("budget") - F.sum(capped).over(everywhere)) / F.sum(free).over(everywhere)
+    rest = F.try_divide(F.col("budget") - F.sum(capped).over(everywhere), F.sum(free).over(everywhere))
     return (per.withColumn("weight", weight).withColumn("cap", cap)
             .withColumn("budget", F.lit(mix.budget) * F.sum("source_size").over(everywhere))
             .withColumn("caps_before", F.sum("cap").over(filled) - F.col("cap"))
@@ -102,7 +102,7 @@ def plan(df: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str
 
     ranges = max(64, math.ceil(mix.repeats * n / mix.bucket_rows))
     position = lambda k: F.col("cum") + F.lit(k) * F.col("source_size")
-    finish = lambda k: position(k) / F.col("target")
+    finish = lambda k: F.try_divide(position(k), F.col("target"))  # noqa: E731  (an empty source has target 0)
     at = lambda f: F.least(F.floor(f * ranges), F.lit(2 * ranges))
     served = queued.filter("size > 0").select("src", "size", F.explode(F.array(*[
         F.struct(finish(k).alias("f"), position(k).alias("pos")) for k in range(mix.repeats)])).alias("x")).select(
@@ -142,5 +142,5 @@ def take(df: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str
     own = F.floor(F.col(f"{t}.n_takes") / F.col(f"{t}.n_rows")) + (F.col(rank) <= F.pmod(F.col(f"{t}.n_takes"), F.col(f"{t}.n_rows"))).cast("int")
     out = both.withColumn(rank, own.cast("int")).filter(F.col(rank) > 0).withColumn(rank, F.explode(F.sequence(F.lit(0), F.col(rank) - 1)))
     if ordered:
-        out = out.orderBy(F.col(f"{t}.finish") + F.col(rank) * F.col(f"{t}.source_size") / F.col(f"{t}.target"), src, h)
+        out = out.orderBy(F.col(f"{t}.finish") + F.try_divide(F.col(rank) * F.col(f"{t}.source_size"), F.col(f"{t}.target")), src, h)
     return out.select(*[c(x) for x in df.columns])
