@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from rostrum.operators import speeches as S
-from rostrum.plans.prepare import PrepareConfig, prepare
-from rostrum.plans.stage import stage
+from rostrum.plans.prepare import PrepareConfig, corpus_from_rows, prepare
+from rostrum.plans.stage import new_path, stage
 from rostrum.plans.topic_init import TopicConfig, init_topics
+from rostrum.sources import transcripts
 
-from . import terms
-from .fixtures import BIAS, MIN_SPEECHES, MODEL, PASS1, PASS2, SPEECHES, STOP, speeches, sql_deoverlap, sql_grams, sql_simple, sql_tokens, sql_trim
+from . import fixtures, terms
+from .fixtures import BIAS, MIN_SPEECHES, MODEL, PASS1, PASS2, SPEECHES, STOP, speeches, sql_deoverlap, sql_grams, sql_safe, sql_simple, sql_tokens, sql_trim, sql_ws
 from .registry import query, r, with_ctes
 
 CFG = PrepareConfig(min_speeches_per_speaker=MIN_SPEECHES, min_df=0.02, max_df=0.75, min_authors_per_word=3)
@@ -69,6 +70,26 @@ def prepare_tables(spark, sf):
         "chamber", "doc_id", "author_id", "term_id", "term", "cnt")
 
 
+# Ingestion drops rows without text, trims labels and makes one blank of white space.
+_INGESTED = f"""spoken AS (SELECT doc_id, {fixtures._SPEAKER} AS s, {fixtures._BODY} AS body, {fixtures._TEXT} AS t FROM documents),
+speeches AS (SELECT doc_id, {sql_safe('s')} AS speaker, body, {sql_ws('t')} AS text FROM spoken WHERE {sql_safe('t')} IS NOT NULL)"""
+
+
+@query("ingest_prepare", with_ctes(_INGESTED, *PREPARED[1:], select="""SELECT chamber, term, count(DISTINCT doc_id) AS n_docs, CAST(sum(cnt) AS BIGINT) AS cnt
+ FROM b_final JOIN b_vocab USING (chamber, term_id) GROUP BY ALL"""))
+def ingest_prepare(spark, sf):
+    """From JSON lines with many documents to a file, through ids, to prepared counts."""
+    path = new_path(spark, "transcripts")
+    item = F.struct(F.lit("speech").alias("kind"), F.lit("x").alias("speaker"), F.col("speaker").alias("speaker_bioguide"), "text")
+    doc = F.struct(F.struct(F.lit(2000).alias("year"), F.lit("May").alias("month"), F.lit(3).alias("day"), F.col("body").alias("chamber")).alias("header"),
+                   F.array(item).alias("content"))
+    speeches(spark, sf).select(F.to_json(doc).alias("value")).write.text(path)
+    rows = transcripts.with_doc_id(transcripts.speech_rows(transcripts.scan_json(spark, path, "*.txt", lines=True)))
+    t = prepare(corpus_from_rows(rows), STOP, stage(terms.model(spark, sf), "model"), F.lit(BIAS), CFG).final
+    named = t.counts.join(t.vocab.select("chamber", "term_id", "term"), ["chamber", "term_id"])
+    return named.groupBy("chamber", "term").agg(F.count_distinct("doc_id").alias("n_docs"), F.sum("cnt").cast("bigint").alias("cnt"))
+
+
 @query("topic_init")
 def topic_init(spark, sf):
     t = prepared(spark, sf).final

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import string
 from collections.abc import Sequence
 
@@ -12,8 +13,9 @@ from ..functions import text as T
 from .vocabulary import doc_total, with_ngrams
 
 
-# Characters that never count towards the simplified length.
-_DROPPED = string.punctuation + " \t\n\r"
+# Characters that never count towards the simplified length: punctuation and every white-space character
+# (lower-casing only ever adds characters, so what is left is a lower bound).
+_DROPPED = string.punctuation + "".join(c for c in map(chr, range(0x3001)) if re.fullmatch(T.WS, c))
 
 
 def candidates(docs: DataFrame, max_chars: int | None = None) -> DataFrame:

@@ -180,6 +180,6 @@ def vocab_duplicates(words: DataFrame) -> DataFrame:
 def check_vocabulary(words: DataFrame, allow_duplicates: bool = False) -> None:
     row = words.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("word").alias("d")).first()
     if row.n == 0:
-        raise ValueError("Vocabulary is empty.")
+        raise ValueError("the vocabulary has no entries")
     if row.n > row.d and not allow_duplicates:
-        raise ValueError(f"Vocabulary contains {row.n - row.d} duplicate token(s).")
+        raise ValueError(f"{row.n - row.d} vocabulary entries repeat another one")

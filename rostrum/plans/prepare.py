@@ -74,6 +74,8 @@ def corpus_tables(docs: DataFrame, stopwords: V.Words, cfg: PrepareConfig) -> Co
                           stage if cfg.level_wise else None, total)
     chosen = V.author_spread(V.df_band(stats, total, cfg.min_df, cfg.max_df), cfg.min_authors_per_word)
     vocab = stage(V.select_vocabulary(chosen, g), "vocab")
+    if vocab.isEmpty():
+        raise ValueError("no term lies within the document-frequency and speaker bounds")
     overlaps = stage(C.pack_overlaps(C.overlap_map(vocab, g), g), "overlaps")
     counts = stage(C.deoverlap(C.document_term_counts(docs, vocab, cfg.ngram_max, g), overlaps, g), "counts")
     # Few documents end up empty: list those and leave the texts of all others where they are.
@@ -104,6 +106,9 @@ def prepare(corpus: DataFrame, stopwords: Sequence[str], model: DataFrame, bias:
     document frequencies over the documents it keeps and takes speaker labels as they are.
     """
     g = list(GROUP)
+    repeated = model.groupBy("term").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").count()
+    if repeated:
+        raise ValueError(f"the classifier model lists {repeated} term(s) more than once")
     active = stage(speeches.active_speaker_list(corpus, cfg.min_speeches_per_speaker, g), "active")
     filled = speeches.fill_nulls(speeches.active_speakers(corpus, cfg.min_speeches_per_speaker, g, active))
     labelled = speeches.clean_speakers(filled.withColumn("raw_speaker", F.col("speaker")))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, DataFrameWriter
 from pyspark.sql import functions as F
 
 from ..operators import vocabulary as V
@@ -10,6 +10,11 @@ from ..operators.ids import export_ids
 from .prepare import CorpusTables
 
 
+def _by(df: DataFrame, *columns: str) -> DataFrameWriter:
+    """Replaces the partitions that ``df`` holds, and no others."""
+    return df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*columns)
+
+
 def write_csv(df: DataFrame, path: str) -> None:
     """Header CSV; quotes inside a field are doubled and line breaks stay inside quotes."""
     df.write.mode("overwrite").option("header", True).option("quote", '"').option("escape", '"').csv(path)
@@ -23,16 +28,17 @@ def write_speeches(rows: DataFrame, path: str, csv: bool = False) -> None:
 
 
 def write_failures(bad: DataFrame, path: str) -> bool:
-    """One ``path: reason`` line per bad record; nothing is written when there is none."""
+    """One ``path#record: reason`` line per bad record; nothing is written when there is none."""
     if bad.isEmpty():
         return False
-    bad.select(F.concat_ws(": ", "file_path", "reason").alias("value")).write.mode("overwrite").text(path)
+    place = F.concat_ws("#", *[c for c in ("file_path", "record") if c in bad.columns])
+    bad.select(F.concat_ws(": ", place, "reason").alias("value")).write.mode("overwrite").text(path)
     return True
 
 
 def write_split(df: DataFrame, path: str, csv: bool = False) -> None:
-    """One folder per chamber."""
-    w = df.write.mode("overwrite").partitionBy("chamber")
+    """One folder per chamber; chambers that ``df`` does not hold keep what was written before."""
+    w = _by(df, "chamber")
     if csv:
         w.option("header", True).option("quote", '"').option("escape", '"').csv(path)
     else:
@@ -48,7 +54,7 @@ def write_texts(df: DataFrame, path: str, column: str = "text", order: tuple[str
 def write_corpus(t: CorpusTables, path: str) -> None:
     """Counts (float), author ids, vocabulary, author map, texts and kept rows, with positional row ids."""
     rows = export_ids(t.docs.select("chamber", "doc_id", "speaker", "author_id", "text"), ["chamber"])
-    by = lambda df, name: df.write.mode("overwrite").partitionBy("chamber").parquet(f"{path}/{name}")
+    by = lambda df, name: _by(df, "chamber").parquet(f"{path}/{name}")
     by(t.counts.withColumn("cnt", F.col("cnt").cast("float")), "counts")
     by(rows.select("chamber", "row_id", "doc_id", "author_id"), "author_indices")
     by(rows.select("chamber", "row_id", "doc_id", "speaker", "text"), "documents")
@@ -61,10 +67,13 @@ def write_vocab_json(vocab: DataFrame, path: str) -> None:
 
 
 def write_factors(theta: DataFrame, beta: DataFrame, num_topics: int, path: str) -> None:
-    """Factorisation state, one folder per number of topics and seed."""
+    """Factorisation state, one folder per table, number of topics and seed; other runs stay as they are.
+
+    ``sources.tables.read_runs`` lists them and ``read_factors`` reads one of the tables.
+    """
     for name, df in (("theta", theta), ("beta", beta)):
-        (df.withColumn("num_topics", F.lit(num_topics)).write.mode("overwrite")
-         .partitionBy("num_topics", "seed").parquet(f"{path}/{name}"))
+        run = df.withColumn("table_name", F.lit(name)).withColumn("num_topics", F.lit(num_topics))
+        _by(run, "table_name", "num_topics", "seed").parquet(path)
 
 
 def write_lda(weights: DataFrame, train_theta: DataFrame, path: str, eval_theta: DataFrame | None = None) -> None:

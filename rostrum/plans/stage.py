@@ -14,10 +14,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def work_dir(spark: SparkSession) -> str:
-    """The cluster's ``spark.checkpoint.dir``; a folder of our own only where none is set."""
+    """The cluster's ``spark.checkpoint.dir``; a folder of our own only where none is set and Spark is local."""
     sc = spark.sparkContext
     path = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not path:
+        if not (sc.master == "local" or sc.master.startswith("local[")):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         path = tempfile.mkdtemp(prefix="rostrum-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(path)

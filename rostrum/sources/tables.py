@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
@@ -15,7 +15,7 @@ def require_columns(df: DataFrame, required: Iterable[str] = SPEECH_COLUMNS) ->
     """Fail before any job runs when a needed column is missing."""
     missing = sorted(set(required) - set(df.columns))
     if missing:
-        raise ValueError(f"Missing required column(s): {', '.join(missing)}")
+        raise ValueError(f"the table lacks: {', '.join(missing)}")
 
 
 def require_paths(spark: SparkSession, *paths: str) -> None:
@@ -38,9 +38,21 @@ def read_csv(spark: SparkSession, path: str, schema: str | None = None) -> DataF
                        for c, t in df.dtypes])
 
 
+def _lines(spark: SparkSession, path: str) -> DataFrame:
+    """``(value, line_no)``: lines in the order of file names and of places within each file. Numbers rise
+    but leave gaps; the small table is one row per block read."""
+    place = F.monotonically_increasing_id()
+    at = F.struct(F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_block_start").alias("b"))
+    lines = spark.read.text(path).select("value", at.alias("at"), place.alias("place"))
+    blocks = lines.groupBy("at").agg(F.count(F.lit(1)).alias("n")).select(
+        F.col("at").alias("block"), (F.row_number().over(Window.partitionBy().orderBy(F.split("at.f", "/"), "at.b")) - 1).alias("k"))
+    number = F.shiftleft(F.col("k").cast("bigint"), 33) + F.col("place").bitwiseAND((1 << 33) - 1)
+    return lines.join(blocks, F.col("at") == F.col("block")).select("value", number.alias("line_no"))
+
+
 def read_words(spark: SparkSession, path: str, drop_blank: bool = True) -> DataFrame:
     """``(word, line_no)``: one trimmed entry per line, in file order. Also reads vocabularies."""
-    lines = spark.read.text(path).select("value", F.monotonically_increasing_id().alias("line_no"))
+    lines = _lines(spark, path)
     if not drop_blank:
         return lines.select(F.col("value").alias("word"), "line_no")
     return lines.select(T.trim_ws(F.col("value")).alias("word"), "line_no").filter(F.length("word") > 0)
@@ -59,10 +71,8 @@ def union_words(*lists: DataFrame) -> DataFrame:
 
 def read_weights(spark: SparkSession, path: str) -> DataFrame:
     """Classifier weights ``(line_no, term, weight)`` from a TSV with a header line."""
-    lines = (spark.read.text(path)
-             .select("value", F.monotonically_increasing_id().alias("line_no"))
-             .filter(F.length(T.trim_ws(F.col("value"))) > 0))
-    # The header is the first line that is not blank; file order is the order of the generated ids.
+    lines = _lines(spark, path).filter(F.length(T.trim_ws(F.col("value"))) > 0)
+    # The header is the first line that is not blank.
     header = lines.agg(F.min("line_no").alias("n")).scalar()
     parts = F.split("value", "\t")
     return (lines.filter((F.col("line_no") > header) & (F.size(parts) >= 2))
@@ -93,6 +103,19 @@ def parse_doc_topics(lines: DataFrame, column: str = "value") -> DataFrame:
     return lines.select(F.get(parts, F.lit(1)).alias("name"), theta.alias("theta"))
 
 
+def read_runs(spark: SparkSession, path: str) -> DataFrame:
+    """``(table_name, num_topics, seed)`` of every row that ``sinks.write_factors`` left below ``path``."""
+    return spark.read.parquet(path).select("table_name", "num_topics", "seed")
+
+
+def read_factors(spark: SparkSession, path: str, num_topics: int, seeds: list[int]) -> tuple[DataFrame, DataFrame]:
+    """``(theta, beta)`` of the given runs; raises unless all of them are complete."""
+    check_runs(discover_runs(read_runs(spark, path), num_topics, seeds), seeds)
+    read = lambda name: (spark.read.parquet(f"{path}/table_name={name}")
+                         .filter((F.col("num_topics") == num_topics) & F.col("seed").isin(seeds)).drop("num_topics"))
+    return read("theta"), read("beta")
+
+
 def discover_runs(factors: DataFrame, num_topics: int, seeds: list[int], tables: tuple[str, ...] = ("theta", "beta")) -> DataFrame:
     """Runs ``(num_topics, seed)`` found, in order, with a flag telling that every table is there.
 

@@ -94,9 +94,9 @@ def test_vocabulary_checks(spark):
     w = lambda *x: spark.createDataFrame([(v,) for v in x], "word string")
     V.check_vocabulary(w("a", "b"))
     V.check_vocabulary(w("a", "a"), allow_duplicates=True)
-    with pytest.raises(ValueError, match="1 duplicate"):
+    with pytest.raises(ValueError, match="1 vocabulary entries repeat"):
         V.check_vocabulary(w("a", "a"))
-    with pytest.raises(ValueError, match="empty"):
+    with pytest.raises(ValueError, match="no entries"):
         V.check_vocabulary(w())
 
 
@@ -149,3 +149,9 @@ def test_ordered_subset(spark):
     for wrong in (("a", "c", "a"), ("a", "a", "x"), ("a", "a", "c", "c")):
         with pytest.raises(Exception, match="ordered subset"):
             align.ordered_subset(full, lines(*wrong)).collect()
+
+
+def test_wide_blanks_do_not_count_towards_the_length(spark):
+    pad = "\x0c\x85\u2003\u00a0" * 100
+    docs = spark.createDataFrame([(1, f"one{pad}two three four five six"), (2, f"I{pad} yield{pad} the floor to all"), (3, "x" * 400 + " a b")], "doc_id int, text string")
+    assert {r.doc_id for r in P.short_candidates(docs, 100).collect()} == {1, 2}

@@ -13,7 +13,7 @@ from rostrum.plans import sinks
 from rostrum.plans.prepare import PrepareConfig, corpus_from_rows, prepare
 from rostrum.plans.stage import stage
 from rostrum.plans.topic_init import TopicConfig, init_topics
-from rostrum.sources import transcripts
+from rostrum.sources import tables, transcripts
 from rostrum.streaming import split
 
 CFG = PrepareConfig(min_speeches_per_speaker=5, min_df=0.02, max_df=0.9, min_authors_per_word=2, ngram_max=3)
@@ -98,7 +98,7 @@ def test_topic_init_and_skips(spark, prepared, tmp_path):
     sinks.write_scaled(out.beta_scaled, out.theta_scaled, out.topic_word, str(tmp_path / "scaled"))
     assert set(json.loads(spark.read.text(str(tmp_path / "metrics")).first().value)) == {"npmi_mean", "tu_mean", "to", "entire_overlaps"}
     stored = lambda p: spark.read.parquet(str(tmp_path / p))
-    again = init_topics(counts, vocab, cfg, (stored("pf/theta"), stored("pf/beta")), (stored("lda/beta"), stored("lda/train_theta")))
+    again = init_topics(counts, vocab, cfg, tables.read_factors(spark, str(tmp_path / "pf"), 2, [1, 2]), (stored("lda/beta"), stored("lda/train_theta")))
     a = {(r.topic_id, r.term_id): r.weight for r in out.beta_scaled.collect()}
     b = {(r.topic_id, r.term_id): r.weight for r in again.beta_scaled.collect()}
     assert a.keys() == b.keys() and all(abs(a[k] - b[k]) < 1e-9 for k in a)
@@ -123,7 +123,7 @@ def test_streaming_split_equals_batch(spark, tmp_path, fmt):
     assert got.count() == 20 and got.exceptAll(want).count() == 0
     totals = {r.chamber: r.rows for r in spark.read.parquet(str(tmp_path / "tot")).collect()}
     assert totals == {"house": 10, "senate": 10, "other": 20}
-    with pytest.raises(ValueError, match="Missing required"):
+    with pytest.raises(ValueError, match="the table lacks"):
         split.speech_stream(spark, src, schema.__class__(schema.fields[:2]), fmt)
 
 

@@ -5,7 +5,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from rostrum.plans import sinks
+from rostrum.plans import sinks, stage
 from rostrum.sources import tables, transcripts
 
 
@@ -119,3 +119,68 @@ def test_failure_list(spark, tmp_path):
     assert not (tmp_path / "none").exists()
     assert sinks.write_failures(transcripts.bad_records(raw(spark, ["["])), str(tmp_path / "f"))
     assert [r.value for r in spark.read.text(str(tmp_path / "f")).collect()] == ["f0: not valid JSON"]
+
+
+def test_records_of_json_lines_are_told_apart(spark, tmp_path):
+    doc = lambda i: json.dumps({"header": {}, "content": [{"kind": "speech", "text": f"text {i} {j}"} for j in range(3)]})
+    for name, docs in (("a.json", range(5)), ("b.json", range(5, 40)), ("c.json", range(40, 41))):
+        (tmp_path / name).write_text("\n".join(map(doc, docs)) + "\n[1]\n")
+    raw = transcripts.scan_json(spark, str(tmp_path), lines=True)
+    assert raw.select("file_path", "record").distinct().count() == 44
+    bad = transcripts.bad_records(raw).collect()
+    assert len(bad) == 3 and all(r.record for r in bad)
+    rows = transcripts.with_doc_id(transcripts.speech_rows(raw))
+    got = rows.orderBy("file_path", "record", "pos").select("Text", "doc_id", "file_path").collect()
+    assert [r.Text for r in got] == [f"text {i} {j}" for i in range(41) for j in range(3)]
+    assert sorted(r.doc_id for r in got) == list(range(123))
+    for name in "abc":  # in file order within each file
+        ids = [r.doc_id for r in got if r.file_path.endswith(f"{name}.json")]
+        assert ids == sorted(ids)
+    with pytest.raises(FileNotFoundError):
+        transcripts.scan_json(spark, str(tmp_path), "*.none", lines=True)
+
+
+def test_second_reading_of_odd_objects(spark):
+    item = '{"kind": "speech", "speaker": "S", "text": "words here", "score": NaN}'
+    raws = ['{"header": {"year": 1, "year": 1999, "month": "May", "day": 4}, "x": 1, "x": 2, "content": ["stray", 5, %s]}' % item,
+            '{"content": [%s], "y": Infinity}' % item, '{"content": [%s]' % item, "[NaN]",
+            '{"content": [{"kind": "speech", "text": "%s"}]}' % ("long " * 4_100_000)]
+    raw = spark.createDataFrame([(f"f{i}", t) for i, t in enumerate(raws)], "file_path string, raw string")
+    rows = {r.file_path: r for r in transcripts.speech_rows(raw).collect()}
+    assert set(rows) == {"f0", "f1", "f4"} and rows["f0"].Date == "1999-05-04" and rows["f0"].pos == 2
+    assert len(rows["f4"].Text) == 5 * 4_100_000 - 1
+    assert {r.file_path for r in transcripts.bad_records(raw).collect()} == {"f2", "f3"}
+
+
+def test_line_order_over_several_files(spark, tmp_path):
+    (tmp_path / "w").mkdir()
+    (tmp_path / "w" / "part-0").write_text("a\nb\n")
+    (tmp_path / "w" / "part-1").write_text("\n".join(f"word{i:04d}" for i in range(500)) + "\n")
+    (tmp_path / "w" / "part-2").write_text("z\n")
+    words = [r.word for r in tables.read_words(spark, str(tmp_path / "w")).orderBy("line_no").collect()]
+    assert words == ["a", "b", *(f"word{i:04d}" for i in range(500)), "z"]
+    (tmp_path / "m").mkdir()
+    (tmp_path / "m" / "part-0").write_text("h\tw\nbias\t-0.5\n")
+    (tmp_path / "m" / "part-1").write_text("".join(f"t{i}\t1.0\n" for i in range(300)))
+    terms, bias = tables.split_model(tables.read_weights(spark, str(tmp_path / "m")))
+    assert bias.first().bias == -0.5 and terms.count() == 300
+
+
+def test_run_store_keeps_earlier_runs(spark, tmp_path):
+    path = str(tmp_path / "runs")
+    make = lambda seed: spark.createDataFrame([(seed, i, [0.5]) for i in range(3)], "seed int, id int, shape array<double>")
+    for seed in (1, 2):
+        sinks.write_factors(make(seed), make(seed).drop("shape"), 7, path)
+    runs = tables.discover_runs(tables.read_runs(spark, path), 7, [1, 2, 3])
+    assert [(r.seed, r.complete) for r in runs.collect()] == [(1, True), (2, True)]
+    theta, beta = tables.read_factors(spark, path, 7, [1, 2])
+    assert theta.count() == 6 and beta.count() == 6 and "shape" in theta.columns
+    with pytest.raises(FileNotFoundError, match="3"):
+        tables.read_factors(spark, path, 7, [1, 3])
+
+
+def test_work_folder_must_be_shared_off_local(spark):
+    from types import SimpleNamespace as N
+    away = N(conf=N(get=lambda *a: None), sparkContext=N(getCheckpointDir=lambda: None, master="spark://host"))
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        stage.work_dir(away)
