@@ -106,6 +106,13 @@ def _ids(m: np.ndarray, shards: int) -> np.ndarray:
     return (((m >> np.uint64(32)) % np.uint64(shards)) << np.uint64(32)) | (m & np.uint64(0xFFFFFFFF))
 
 
+def _within(values: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Which values are in the ascending array ``known``."""
+    if not len(known):
+        return np.zeros(len(values), bool)
+    return known[np.minimum(np.searchsorted(known, values), len(known) - 1)] == values
+
+
 def _pack(values: np.ndarray) -> bytes:
     """Ascending numbers as compressed differences."""
     return zstandard.compress(np.diff(values, prepend=values.dtype.type(0)).tobytes(), 1)
@@ -147,13 +154,13 @@ class Slice:
             text = self.text[i].as_py()
             m, start, count = pieces(text, rules)
             ids = _ids(m, shards)
-            pick = np.flatnonzero(np.isin(ids, shared, kind="sort"))
+            pick = np.flatnonzero(_within(ids, shared))
             if not len(pick):
                 continue
             doc = NO_ID if doc is None else doc
             here = places.setdefault(i, [])
             route = (m[pick] % np.uint64(shards)).astype(np.int64)
-            rows = zip(start[pick].tolist(), count[pick].tolist(), route.tolist(), np.isin(ids[pick], hot).tolist() if len(hot) else [False] * len(pick))
+            rows = zip(start[pick].tolist(), count[pick].tolist(), route.tolist(), _within(ids[pick], hot).tolist())
             for s, n, r, many in rows:
                 for s, n in ([(s + k, 1) for k in range(n)] if many else [(s, n)]):
                     c = text[s:s + n - 1 + rules.length]
@@ -237,8 +244,8 @@ def _scan(merge_levels: set[int], keep: bool):
         if keep:
             both = [(key, owner)] + [x for level in merge_levels for x in arrays.get(level, [])]
             k, s = (np.concatenate(x) for x in zip(*both))
-            order = np.argsort(k, kind="stable")
             if len(k):
+                order = np.argsort(k, kind="stable")
                 rows.append((None, True, _pack(k[order]), zstandard.compress(s[order].tobytes(), 1)))
         name, indexed, keys, slices = zip(*rows) if rows else ((), (), (), ())
         return pa.table({"slice": pa.array(name, pa.int64()), "shard": pa.array([shard] * len(rows), pa.int32()), "indexed": pa.array(indexed, pa.bool_()),
@@ -401,7 +408,10 @@ def remove_repeats(df: DataFrame, doc_id: str = "doc_id", text: str = "text", ru
 
     family = IndexFamily(rules)
     number = F.pmod(F.xxhash64("slice"), F.lit(rules.batches))
-    many = own.count() > rules.hot_slices
+    n = own.count()
+    many = n > rules.hot_slices
+    # reports are few bytes but stand for a slice's work, so every slice gets a partition of its own
+    by_slice = lambda df: df.repartition(max(1, n), "slice").groupBy("slice")
     reports = [family.add(suffixes.filter(number == b), keep=many or b + 1 < rules.batches) for b in range(rules.batches)]
     hot = np.zeros(0, np.uint64)
     if many:
@@ -411,7 +421,7 @@ def remove_repeats(df: DataFrame, doc_id: str = "doc_id", text: str = "text", ru
     hot = spark.sparkContext.broadcast(np.sort(hot))
 
     told = union_all([own, *reports])
-    sent = told.groupBy("slice").applyInArrow(_send(folder, hot, shards, rules), "route int, slice long, sizes binary, docs binary, data binary")
+    sent = by_slice(told).applyInArrow(_send(folder, hot, shards, rules), "route int, slice long, sizes binary, docs binary, data binary")
     answers = sent.groupBy("route").applyInArrow(_answer(rules), "slice long, shard int, keys binary, masks binary")
     ready = told.withColumn("masks", F.lit(None).cast("binary")).unionByName(answers)
-    return ready.groupBy("slice").applyInArrow(_finish(folder, hot, shards, rules, digest), SCHEMA)
+    return by_slice(ready).applyInArrow(_finish(folder, hot, shards, rules, digest), SCHEMA)
