@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from rostrum.operators import speeches as S
 from rostrum.plans.prepare import PrepareConfig, corpus_from_rows, prepare
 from rostrum.plans.stage import new_path, stage
-from rostrum.plans.topic_init import TopicConfig, init_topics
+from rostrum.plans.topic_init import TopicConfig, init_topics_by_group
 from rostrum.sources import transcripts
 
 from . import fixtures, terms
@@ -90,11 +90,19 @@ def ingest_prepare(spark, sf):
     return named.groupBy("chamber", "term").agg(F.count_distinct("doc_id").alias("n_docs"), F.sum("cnt").cast("bigint").alias("cnt"))
 
 
-@query("topic_init")
+@query("topic_init", """SELECT chamber, topic_id, CAST(10 AS BIGINT) AS n_top, TRUE AS ranked, TRUE AS scaled
+ FROM (VALUES ('house'), ('senate')) AS c(chamber), range(5) AS t(topic_id)""")
 def topic_init(spark, sf):
+    """Both chambers; per topic its number of top terms, whether their weights fall, and whether scaling kept their order."""
     t = prepared(spark, sf).final
-    house = lambda df: df.filter("chamber = 'house'").drop("chamber")
-    cfg = TopicConfig(num_topics=5, seeds=(22, 194), pf_steps=10, lda_iterations=10)
-    out = init_topics(house(t.counts), house(t.vocab), cfg)
-    return out.topics.join(out.topic_word, ["topic_id", "term_id"], "left").select(
-        "topic_id", "rank", "term", F.col("weight").alias("scaled_weight"))
+    cfg = TopicConfig(num_topics=5, seeds=(22, 194), pf_steps=10, lda_iterations=10, drop_last_term=False)
+    rows = None
+    for chamber, out in init_topics_by_group(t.counts, t.vocab, S.CHAMBERS, cfg).items():
+        top = out.topics.join(out.weights.select("topic_id", "term_id", "weight"), ["topic_id", "term_id"]) \
+            .join(out.topic_word.select("topic_id", "term_id", F.col("weight").alias("scaled_weight")), ["topic_id", "term_id"])
+        part = top.select(F.lit(chamber).alias("chamber"), "topic_id", "rank", "weight", "scaled_weight")
+        rows = part if rows is None else rows.unionByName(part)
+    seq = lambda c: F.transform(F.array_sort(F.collect_list(F.struct("rank", c))), lambda x: x[c])
+    falls = lambda a: F.coalesce(a == F.reverse(F.array_sort(a)), F.lit(False))
+    got = rows.groupBy("chamber", "topic_id").agg(F.count("*").alias("n_top"), seq("weight").alias("w"), seq("scaled_weight").alias("s"))
+    return got.select("chamber", F.col("topic_id").cast("bigint").alias("topic_id"), "n_top", falls(F.col("w")).alias("ranked"), falls(F.col("s")).alias("scaled"))

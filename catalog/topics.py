@@ -110,6 +110,18 @@ def topic_overlap_score(spark, sf):
     return M.overlap_score(topic_list(uni_vocab(spark, sf)), K, N).withColumn("to", r(F.col("to")))
 
 
+# The same walk, with the shared terms looked up by position among the topic ids.
+_COMPAT = _EDGES.replace("SELECT a.p AS pi, b.p AS pj, o, words,", "SELECT a.p AS pi, b.p AS pj, ov.o AS o, coalesce(x.words, []) AS words,") \
+    .replace("(PARTITION BY a.p ORDER BY o DESC", "(PARTITION BY a.p ORDER BY ov.o DESC") \
+    .replace(" WHERE a.p < b.p)", " LEFT JOIN ov x ON x.i = a.p AND x.j = b.p WHERE a.p < b.p)")
+
+
+@query("topic_overlap_score_compat", "WITH RECURSIVE " + ",\n".join([*TOPICS, _COMPAT, _WALK]) +
+       f"\nSELECT {_SCORE} AS \"to\", count(*) FILTER (size = {N}) AS entire_overlaps FROM walk")
+def topic_overlap_score_compat(spark, sf):
+    return M.overlap_score(topic_list(uni_vocab(spark, sf)), K, N, compat=True).withColumn("to", r(F.col("to")))
+
+
 # --- coherence -----------------------------------------------------------------------------------
 
 _PAIRS = """seen AS (SELECT DISTINCT doc_id, term_id FROM uc WHERE term_id IN (SELECT term_id FROM topics)),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .ids import dense_ids, number_bucket
+from .ids import range_ids
 
 
 def ordered_subset(original: DataFrame, filtered: DataFrame) -> DataFrame:
@@ -16,9 +16,8 @@ def ordered_subset(original: DataFrame, filtered: DataFrame) -> DataFrame:
     list is no such subset.
     """
     texts = filtered.select("text").distinct()
-    rank = lambda df, by: dense_ids(df, "pos", number_bucket(by, "pos"), "rank")
-    kept = rank(original.select("pos", "text").join(texts, "text", "left_semi"), original)
-    given = rank(filtered.select("pos", F.col("text").alias("given")), filtered).drop("pos")
+    kept = range_ids(original.select("pos", "text").join(texts, "text", "left_semi"), "pos", "rank")
+    given = range_ids(filtered.select("pos", F.col("text").alias("given")), "pos", "rank").drop("pos")
     both = kept.join(given, "rank", "full")
     ok = F.col("text").eqNullSafe(F.col("given"))
     stop = F.raise_error(F.lit("the filtered list is not an ordered subset of the original"))

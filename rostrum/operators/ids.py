@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..plans.stage import stage
+
 
 def dense_ids(df: DataFrame, key: str, bucket: Column, out: str, group: Sequence[str] = ()) -> DataFrame:
     """Add ``out`` = 0-based rank of the unique ``key`` within ``group``.
@@ -32,11 +34,23 @@ def string_bucket(key: str, length: int = 4) -> Column:
     return F.substring(key, 1, length)
 
 
-def number_bucket(df: DataFrame, key: str, buckets: int = 10_000) -> Column:
-    """Equal slices of the key's range, for sequential or hashed ids of any magnitude."""
-    span = df.agg(F.struct(F.min(key).cast("double").alias("lo"), F.max(key).cast("double").alias("hi")).alias("s")).scalar()
-    width = F.greatest(span["hi"] - span["lo"], F.lit(1.0))
-    return F.floor((F.col(key).cast("double") - span["lo"]) / width * F.lit(buckets))
+def range_ids(df: DataFrame, key: str, out: str, group: Sequence[str] = ()) -> DataFrame:
+    """Add ``out`` = 0-based rank of the unique ``key`` within ``group``, for keys of any distribution.
+
+    Only the keys are sorted: into ranges that Spark samples, so outliers and dense spots fill no task.
+    They are written with their place in their task; running sums over one row per task (and per
+    group) give the ranks, which go back to the rows by key.
+    """
+    g, low = list(group), (1 << 33) - 1
+    keys = df.select(*g, key).repartitionByRange(*g, key).sortWithinPartitions(*g, key)
+    placed = stage(keys.withColumn("_place", F.monotonically_increasing_id()), "key-ranges").withColumn("_task", F.shiftright("_place", 33))
+    before = Window.partitionBy().orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
+    starts = placed.groupBy("_task").agg(F.count(F.lit(1)).alias("_n")).select("_task", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    ranked = placed.join(stage(starts, "range-starts"), "_task").select(*g, key, (F.col("_start") + F.col("_place").bitwiseAND(low)).alias(out))
+    if g:
+        firsts = stage(ranked.groupBy(*g).agg(F.min(out).alias("_first")), "group-starts")
+        ranked = ranked.join(firsts, g).withColumn(out, F.col(out) - F.col("_first")).drop("_first")
+    return df.join(ranked, [*g, key])
 
 
 def author_dimension(docs: DataFrame, group: Sequence[str] = ()) -> DataFrame:
@@ -51,4 +65,4 @@ def author_ids(docs: DataFrame, authors: DataFrame, group: Sequence[str] = ()) -
 
 def export_ids(docs: DataFrame, group: Sequence[str] = ()) -> DataFrame:
     """0-based row number in document order, for positional exports."""
-    return dense_ids(docs, "doc_id", number_bucket(docs, "doc_id"), "row_id", group)
+    return range_ids(docs, "doc_id", "row_id", group)

@@ -32,14 +32,20 @@ def vectors(counts: DataFrame, num_terms: int) -> DataFrame:
 def fit_online(features: DataFrame, num_topics: int, seed: int = 42, alpha: float | str = "symmetric",
                eta: float | str = "symmetric", decay: float = 0.5, passes: int = 1,
                subsampling_rate: float = 0.05) -> LDAModel:
-    """Online variational Bayes. ``symmetric`` priors are 1/K, ``auto`` lets alpha be learned.
+    """Online variational Bayes. Priors: a number, ``symmetric`` (1/K), for alpha also ``auto`` (learned)
+    and ``asymmetric`` (falling with the topic's number). The optimizer cannot learn eta.
 
-    One pass over the corpus is 1/subsampling_rate mini-batches.
+    One pass over the corpus is 1/subsampling_rate mini-batches; the inner iterations per document
+    follow the optimizer's own convergence rule.
     """
+    falling = [1.0 / (i + num_topics ** 0.5) for i in range(num_topics)]
+    named = {"symmetric": [1.0 / num_topics], "auto": [1.0 / num_topics], "asymmetric": [x / sum(falling) for x in falling]}
+    if isinstance(alpha, str) and alpha not in named or isinstance(eta, str) and eta != "symmetric":
+        raise ValueError(f"priors not supported: alpha={alpha!r}, eta={eta!r}")
     lda = (LDA(k=num_topics, seed=seed, optimizer="online", learningDecay=max(decay, 0.5 + 1e-9),
                subsamplingRate=subsampling_rate, maxIter=max(1, round(passes / subsampling_rate)))
            .setOptimizeDocConcentration(alpha == "auto")
-           .setDocConcentration([1.0 / num_topics if isinstance(alpha, str) else float(alpha)])
+           .setDocConcentration(named[alpha] if isinstance(alpha, str) else [float(alpha)])
            .setTopicConcentration(1.0 / num_topics if isinstance(eta, str) else float(eta)))
     return lda.fit(features)
 

@@ -132,13 +132,21 @@ def _pair_list(topics: DataFrame, n: int) -> DataFrame:
 
 
 def pair_cooccurrence(inc: DataFrame, topics: DataFrame, n: int = 10) -> DataFrame:
-    """Document counts per top-n pair of each topic: ``c_i``, ``c_j`` and ``c_ij``."""
-    pat = term_patterns(inc, topics, n)
-    pairs = _pair_list(topics, n).join(pat, "topic_id", "left")
-    has_i, has_j = F.array_contains("present", F.col("rank_i")), F.array_contains("present", F.col("rank_j"))
-    total = lambda cond: F.coalesce(F.sum(F.when(cond, F.col("docs"))), F.lit(0).cast("bigint"))
-    return pairs.groupBy("topic_id", "rank_i", "rank_j", "term_i", "term_j").agg(
-        total(has_i).alias("c_i"), total(has_j).alias("c_j"), total(has_i & has_j).alias("c_ij"))
+    """Document counts per top-n pair of each topic: ``c_i``, ``c_j`` and ``c_ij``.
+
+    Every pattern emits the pairs it holds with its number of documents; all joins are on at most
+    n(n+1)/2 sums per topic.
+    """
+    seen = lambda a: F.transform(F.filter("present", lambda b: b >= a), lambda b: F.struct(a.alias("i"), b.alias("j")))
+    found = term_patterns(inc, topics, n).select("topic_id", "docs", F.explode(F.flatten(F.transform("present", seen))).alias("p"))
+    counted = found.groupBy("topic_id", "p.i", "p.j").agg(F.sum("docs").alias("c"))
+    of = lambda i, j, c: counted.select("topic_id", F.col("i").alias(i), F.col("j").alias(j), F.col("c").alias(c))
+    single = lambda rank, c: counted.filter("i = j").select("topic_id", F.col("i").alias(rank), F.col("c").alias(c))
+    pairs = (_pair_list(topics, n).join(single("rank_i", "c_i"), ["topic_id", "rank_i"], "left")
+             .join(single("rank_j", "c_j"), ["topic_id", "rank_j"], "left")
+             .join(of("rank_i", "rank_j", "c_ij"), ["topic_id", "rank_i", "rank_j"], "left"))
+    none = F.lit(0).cast("bigint")
+    return pairs.select("topic_id", "rank_i", "rank_j", "term_i", "term_j", *[F.coalesce(c, none).alias(c) for c in ("c_i", "c_j", "c_ij")])
 
 
 def npmi(pairs: DataFrame, num_docs: Column) -> DataFrame:

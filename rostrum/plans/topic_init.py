@@ -69,3 +69,10 @@ def init_topics(counts: DataFrame, vocab: DataFrame, cfg: TopicConfig = TopicCon
     return TopicInit(*factors, weights, theta, topics.topic_terms(top, vocab), metrics, beta_scaled,
                      scaling.scaled_theta(theta, means),
                      scaling.topic_word(beta_scaled, F.lit(num_terms), cfg.drop_last_term))
+
+
+def init_topics_by_group(counts: DataFrame, vocab: DataFrame, groups: Sequence[str], cfg: TopicConfig = TopicConfig(),
+                         group: str = "chamber") -> dict[str, TopicInit]:
+    """Initialise the topics of each group (their vocabularies, and so their factors, are apart)."""
+    part = lambda df, g: df.filter(F.col(group) == g).drop(group)
+    return {g: init_topics(part(counts, g), part(vocab, g), cfg) for g in groups}
