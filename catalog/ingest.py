@@ -12,7 +12,7 @@ from rostrum.plans.stage import new_path, spread
 from rostrum.sources import tables, transcripts
 from rostrum.streaming import split
 
-from .fixtures import (DOCS, MIN_SPEECHES, PASS1, SPEECHES, STOP, docs, sql_safe, sql_simple, sql_tokens, sql_trim, sql_ws, speeches, table)
+from .fixtures import (DOCS, MIN_SPEECHES, SPEECHES, docs, sql_safe, sql_simple, sql_tokens, sql_trim, sql_ws, speeches, table)
 from .registry import query, with_ctes
 
 # --- JSON transcripts: one document per row of `documents`, one content item per line ----------
@@ -286,7 +286,11 @@ def split_stream(spark, sf):
             split.start_totals(body, totals, new_path(spark, "offsets"), "body")]
     for q in runs:
         q.awaitTermination()
-    return spark.read.parquet(out).select("doc_id", "chamber")
+    done = spark.read.parquet(out).select("doc_id", "chamber")
+    counted = {r.chamber: r.rows for r in spark.read.parquet(totals).collect()}
+    if any(counted.get(r.chamber) != r["count"] for r in done.groupBy("chamber").count().collect()):
+        raise ValueError(f"running totals differ from the rows written: {counted}")
+    return done
 
 
 @query("speaker_counts", with_ctes(SPEECHES, select="SELECT speaker, count(*) AS n_speeches FROM speeches GROUP BY speaker"))

@@ -12,7 +12,7 @@ from rostrum.sources import transcripts
 
 from . import fixtures, terms
 from .fixtures import BIAS, MIN_SPEECHES, MODEL, PASS1, PASS2, SPEECHES, STOP, speeches, sql_deoverlap, sql_grams, sql_safe, sql_simple, sql_tokens, sql_trim, sql_ws
-from .registry import query, r, with_ctes
+from .registry import query, with_ctes
 
 CFG = PrepareConfig(min_speeches_per_speaker=MIN_SPEECHES, min_df=0.02, max_df=0.75, min_authors_per_word=3)
 
@@ -90,8 +90,8 @@ def ingest_prepare(spark, sf):
     return named.groupBy("chamber", "term").agg(F.count_distinct("doc_id").alias("n_docs"), F.sum("cnt").cast("bigint").alias("cnt"))
 
 
-@query("topic_init", """SELECT chamber, topic_id, CAST(10 AS BIGINT) AS n_top, TRUE AS ranked, TRUE AS scaled
- FROM (VALUES ('house'), ('senate')) AS c(chamber), range(5) AS t(topic_id)""")
+@query("topic_init", with_ctes(*PREPARED, select="""SELECT chamber, topic_id, CAST(least(10, n) AS BIGINT) AS n_top, TRUE AS ranked, TRUE AS scaled
+ FROM (SELECT chamber, count(*) AS n FROM b_vocab GROUP BY chamber) AS c, range(5) AS t(topic_id)"""))
 def topic_init(spark, sf):
     """Both chambers; per topic its number of top terms, whether their weights fall, and whether scaling kept their order."""
     t = prepared(spark, sf).final

@@ -59,7 +59,7 @@ def init_topics(counts: DataFrame, vocab: DataFrame, cfg: TopicConfig = TopicCon
             model = lda.fit_em(features, k, cfg.lda_seed, cfg.lda_iterations, cfg.lda_alpha, cfg.lda_beta)
         else:
             model = lda.fit_online(features, k, cfg.lda_seed)
-        lda_result = stage(lda.topic_weights(model, num_terms), "topic_weights"), lda.doc_topics(model, features)
+        lda_result = stage(lda.topic_weights(model, num_terms), "topic_weights"), stage(lda.doc_topics(model, features), "doc_topics")
     weights, theta = lda_result
     top = stage(topics.top_terms(weights, cfg.eval_words), "top_terms")
     n_docs = counts.agg(F.count_distinct("doc_id").alias("n")).scalar()
@@ -73,6 +73,9 @@ def init_topics(counts: DataFrame, vocab: DataFrame, cfg: TopicConfig = TopicCon
 
 def init_topics_by_group(counts: DataFrame, vocab: DataFrame, groups: Sequence[str], cfg: TopicConfig = TopicConfig(),
                          group: str = "chamber") -> dict[str, TopicInit]:
-    """Initialise the topics of each group (their vocabularies, and so their factors, are apart)."""
+    """Initialise the topics of each group (their vocabularies, and so their factors, are apart).
+
+    Groups without a vocabulary are left out.
+    """
     part = lambda df, g: df.filter(F.col(group) == g).drop(group)
-    return {g: init_topics(part(counts, g), part(vocab, g), cfg) for g in groups}
+    return {g: init_topics(part(counts, g), part(vocab, g), cfg) for g in groups if not part(vocab, g).isEmpty()}
