@@ -46,7 +46,7 @@ def components(edges: DataFrame, name: str = "components", most_rounds: int = 64
     for _ in range(most_rounds):
         if not seen[0]:
             break
-        now = stage(clean(_small(clean(_large(now)))), name)
+        now = stage(clean(_small(_large(now))), name)
         before, seen = seen, print_of(now)
         if seen == before:
             break
