@@ -155,3 +155,11 @@ def test_wide_blanks_do_not_count_towards_the_length(spark):
     pad = "\x0c\x85\u2003\u00a0" * 100
     docs = spark.createDataFrame([(1, f"one{pad}two three four five six"), (2, f"I{pad} yield{pad} the floor to all"), (3, "x" * 400 + " a b")], "doc_id int, text string")
     assert {r.doc_id for r in P.short_candidates(docs, 100).collect()} == {1, 2}
+
+
+def test_ids_of_keys_with_an_outlier(spark):
+    keys = [*range(0, 3000, 3), 10**17]
+    df = spark.createDataFrame([(g, k) for g in ("a", "b") for k in keys], "g string, doc_id long").repartition(5)
+    got = sorted((r.g, r.doc_id, r.row_id) for r in ids.export_ids(df, ["g"]).collect())
+    assert got == [(g, k, i) for g in ("a", "b") for i, k in enumerate(keys)]
+    assert ids.export_ids(df.limit(0)).count() == 0

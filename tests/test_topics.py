@@ -124,3 +124,17 @@ def test_topic_order_breaks_ties_by_term(spark):
     assert [r.term_id for r in M.top_terms(w, 2).orderBy("rank").collect()] == [3, 1]
     inc = C.incidence(spark.createDataFrame([(0, 1, 0), (0, 2, 3)], "doc_id bigint, term_id bigint, cnt bigint"))
     assert inc.count() == 1
+
+
+def test_priors_of_the_online_optimizer(spark):
+    from pyspark.ml.linalg import Vectors
+
+    from rostrum.operators import lda
+
+    rows = spark.createDataFrame([(i, Vectors.sparse(7, [i % 6, i % 6 + 1], [2.0, 1.0])) for i in range(30)], ["doc_id", "features"])
+    model = lda.fit_online(rows, 3, alpha="asymmetric", subsampling_rate=0.5)
+    prior = model.getDocConcentration()
+    assert abs(sum(prior) - 1) < 1e-9 and prior[0] > prior[1] > prior[2]
+    for bad in ({"alpha": "other"}, {"eta": "auto"}):
+        with pytest.raises(ValueError, match="priors"):
+            lda.fit_online(rows, 3, **bad)
