@@ -6,6 +6,11 @@ its children, runs counted once) and of its content (all text below it). The ent
 of the logarithm of the number of pages, give its importance: menus, notices and footers look and read
 alike on every page, articles do not. Hosts with few pages borrow from the tree of all hosts, weighted by
 ``borrow`` pages. Branches below ``threshold`` are removed from each page, and the rest is its text.
+``html``, ``body``, ``main`` and the elements around an article are never removed.
+
+Copies count once: pages whose articles (without any: whose whole texts) read alike but for digits are one
+page of their host, and one page of the tree of all hosts. Else a host that mostly holds copies of one page
+would look like a host of notices.
 
 Tags and class names that state their purpose act as a prior: ``article`` and ``main`` are important
 (many pages of a host may well carry copies of one article), ``nav``, forms, adverts or comments are not.
@@ -16,7 +21,7 @@ all pages is no group of pages anywhere. A host's pages meet only the list of it
 
 Defined results: null and empty pages, and pages without main text, give an empty text. Pages without a
 host in their url share one tree. Malformed markup is read as browsers do in the common cases (missing end
-tags, stray end tags, unquoted or unclosed attributes). Repeated rows count as pages of their own.
+tags, stray end tags, unquoted or unclosed attributes). Repeated rows give repeated results.
 """
 
 from __future__ import annotations
@@ -26,6 +31,7 @@ import re
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
@@ -71,11 +77,12 @@ _DIGITS = re.compile(r"\d+")
 
 
 class Element:
-    __slots__ = ("tag", "path", "key", "noise", "content", "children", "last")
+    __slots__ = ("tag", "path", "key", "noise", "content", "children", "last", "holds")
 
     def __init__(self, tag: str, path: str, key: int, noise: bool, content: bool):
         self.tag, self.path, self.key, self.noise, self.content = tag, path, key, noise, content
         self.children, self.last = 0, ""
+        self.holds = tag in WHOLE  #: whether it must stay: its tag, or an article or main element found in it
 
 
 _NODES: dict[tuple[str, str, str], tuple[str, int, bool, str]] = {}
@@ -115,6 +122,9 @@ def events(html: str, closed: Callable[[Element], None] = lambda e: None) -> Ite
         parent = stack[-1]
         path, key, noise, signature = _node(parent.path, tag, attrs)
         inside = parent.content or tag in CONTENT
+        if tag in CONTENT:
+            for e in stack:
+                e.holds = True
         if tag == "header" and not inside:
             noise = True
         if parent.last != signature:
@@ -166,9 +176,10 @@ def events(html: str, closed: Callable[[Element], None] = lambda e: None) -> Ite
     close_from(1)
 
 
-def profile(html: str) -> dict[int, list[int]]:
-    """For each node of the page: hashes of its presentation and of its content."""
+def profile(html: str) -> tuple[int, dict[int, list[int]]]:
+    """The hash of what the page says, and for each node of the page: hashes of its presentation and of its content."""
     nodes: dict[int, list[int]] = {}
+    article = whole = 0
 
     def closed(e: Element) -> None:
         at = nodes.setdefault(e.key, [0, 0])
@@ -177,10 +188,13 @@ def profile(html: str) -> dict[int, list[int]]:
     for stack, text in events(html, closed):
         if text is not None and (words := text.split()):
             h = xxhash.xxh64_intdigest(_DIGITS.sub("0", " ".join(words)))
+            whole += h
+            if stack[-1].content and not stack[-1].noise:
+                article += h
             for key in {e.key for e in stack[1:]}:
                 at = nodes.setdefault(key, [0, 0])
                 at[1] = (at[1] + h) & 0xFFFFFFFFFFFFFFFF
-    return nodes
+    return (article or whole) & 0xFFFFFFFFFFFFFFFF, nodes
 
 
 def main_text(html: str, removed: frozenset[int] = frozenset()) -> str:
@@ -189,13 +203,13 @@ def main_text(html: str, removed: frozenset[int] = frozenset()) -> str:
     for stack, text in events(html):
         if text is None:
             if now:
-                line = " ".join(entities.unescape("".join(now)).split())
-                if line:
-                    blocks.append(line)
+                blocks.append(now)
                 now = []
-        elif not stack[-1].noise and not any(e.key in removed and not e.content for e in stack):
-            now.append(text)
-    return "\n\n".join(blocks)
+        elif not stack[-1].noise:
+            # whether an element holds an article shows later in the page
+            now.append((text, [e for e in stack if e.key in removed and not e.content] if removed else ()))
+    lines = (" ".join(entities.unescape("".join(text for text, low in block if all(e.holds for e in low))).split()) for block in blocks)
+    return "\n\n".join(line for line in lines if line)
 
 
 def host_of(url: Column) -> Column:
@@ -203,18 +217,33 @@ def host_of(url: Column) -> Column:
 
 
 def _profiles(pages: DataFrame) -> DataFrame:
-    """``(host, node, look, content)``: one row per page and node."""
+    """``(host, page, nodes)``: for each page the hash of what it says, and (node, look, content) of all its nodes, packed."""
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(0, batch.num_rows, 256):
                 part = batch.slice(i, 256)
-                rows = [(host, key, a - (1 << 63), b - (1 << 63)) for host, page in zip(part.column(0).to_pylist(), strings(part.column(1)))
-                        for key, (a, b) in profile(page).items()]
-                host, key, look, content = zip(*rows) if rows else ((), (), (), ())
-                yield pa.RecordBatch.from_arrays([pa.array(host, pa.string()), *(pa.array(x, pa.int64()) for x in (key, look, content))],
-                                                 ["host", "node", "look", "content"])
+                says, nodes = [], []
+                for page in strings(part.column(1)):
+                    h, found = profile(page)
+                    says.append(h - (1 << 63))
+                    nodes.append(np.array([(key, a - (1 << 63), b - (1 << 63)) for key, (a, b) in sorted(found.items())], np.int64).tobytes())
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(says, pa.int64()), pa.array(nodes, pa.binary())], ["host", "page", "nodes"])
+
+    return pages.mapInArrow(read, "host string, page long, nodes binary")
 
-    return pages.mapInArrow(read, "host string, node long, look long, content long")
+
+def _counts(pages: DataFrame, keys: list[str]) -> DataFrame:
+    """``(keys, kind, value, n)`` from distinct pages ``(keys without node, nodes)``."""
+    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            packed = batch.column("nodes").to_pylist()
+            rows = np.frombuffer(b"".join(packed), np.int64).reshape(-1, 3)
+            each = np.repeat(np.arange(len(packed)), [len(x) // 24 for x in packed])
+            yield pa.RecordBatch.from_arrays([batch.column("host").take(pa.array(each)), *(pa.array(rows[:, i]) for i in range(3))], ["host", "node", "look", "content"])
+
+    seen = pages.select("host", "nodes").mapInArrow(unpack, "host string, node long, look long, content long").select(*keys, F.explode(F.array(
+        F.struct(F.lit("look").alias("kind"), F.col("look").alias("value")), F.struct(F.lit("content").alias("kind"), F.col("content").alias("value")))).alias("x"))
+    return seen.groupBy(*keys, "x").agg(F.count("*").alias("n")).select(*keys, "x.*", "n")
 
 
 def _entropy(counts: DataFrame, keys: list[str]) -> DataFrame:
@@ -227,10 +256,10 @@ def _entropy(counts: DataFrame, keys: list[str]) -> DataFrame:
 
 def removed_nodes(pages: DataFrame, rules: Rules = Rules()) -> DataFrame:
     """``(host, removed array<long>)`` from ``pages(host, html)``; hosts that lose nothing are left out."""
-    seen = _profiles(pages).select("host", "node", F.explode(F.array(
-        F.struct(F.lit("look").alias("kind"), F.col("look").alias("value")), F.struct(F.lit("content").alias("kind"), F.col("content").alias("value")))).alias("x"))
-    counts = stage(seen.groupBy("host", "node", "x").agg(F.count("*").alias("n")).select("host", "node", "x.*", "n"), "site-counts")
-    everywhere = counts.groupBy("node", "kind", "value").agg(F.sum("n").alias("n"))
+    # of pages that say the same, the greatest profile stands for all
+    distinct = stage(_profiles(pages).groupBy("host", "page").agg(F.max("nodes").alias("nodes")), "site-pages")
+    counts = _counts(distinct, ["host", "node"])
+    everywhere = _counts(distinct.groupBy("page").agg(F.max("nodes").alias("nodes")).withColumn("host", F.lit("")), ["node"])
     weight = F.pow(F.lit(rules.gamma), F.col("looks"))
     importance = lambda df: df.withColumn("imp", (1 - weight) * F.col("h_look") + weight * F.col("h_content"))
     own = importance(_entropy(counts, ["host", "node"])).select("host", "node", "pages", "imp")

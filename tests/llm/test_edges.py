@@ -229,3 +229,34 @@ def test_site_tree(spark):
     assert (got[101], got[102], got[103], got[104]) == ("", "", "only text < 3 ©", "a") and len(got[105]) == 1_000_004
     assert sitetree.with_text(df.limit(0)).count() == 0
     assert df.select(sitetree.host_of(F.col("url"))).filter("page_id in (0, 105)").distinct().count() == 2
+
+
+def test_site_tree_copies(spark):
+    page = lambda body: f"<html><head><title>t</title></head><body><div class='strip'>Always the same strip</div>{body}</body></html>"
+    word = lambda i: "".join(chr(97 + int(d)) for d in str(i))
+    bodies = {
+        "same": [page("<div class='wrap'><article><p>One copy</p></article></div>")] * 31,
+        "most": [page(f"<div class='words'><p>{'The copy' if i % 10 < 7 else 'Text ' + word(i)}</p></div>") for i in range(200)],
+        # copies of an article that differ around it
+        "around": [page(f"<article><p>{'The copy' if i % 10 else 'Text ' + word(i)}</p></article><div class='box'>seen {word(i)}</div>") for i in range(60)],
+        # a wrapper that looks the same wherever it has no article
+        "wrapper": [page("<div class='frame'>Frame</div>" + f"<div class='words'><p>Text {word(i)}</p></div>") for i in range(40)] +
+                   [page("<div class='frame'>Frame<article>Inside</article></div>")],
+    }
+    rows = [(f"http://{h}.example/{i}", b) for h, all_ in bodies.items() for i, b in enumerate(all_)]
+    out = sitetree.with_text(spark.createDataFrame(rows, "url string, html string").repartition(5)).collect()
+    got = {r.url[7:].replace(".example", ""): r.main_text for r in out}
+    assert len(got) == len(rows)
+    assert all(got[f"same/{i}"].endswith("One copy") for i in range(31))
+    assert all(got[f"most/{i}"] == ("The copy" if i % 10 < 7 else "Text " + word(i)) for i in range(200))
+    assert all(got[f"around/{i}"].startswith("The copy" if i % 10 else "Text " + word(i)) for i in range(60))
+    assert all(got[f"wrapper/{i}"] == f"Text {word(i)}" for i in range(40)) and got["wrapper/40"].endswith("Inside")
+
+
+def test_site_tree_root_stays():
+    html = "<html><body><div class='a'><article>text</article></div><div class='b'>other</div></body></html>"
+    key = {}
+    for stack, _ in sitetree.events(html):
+        key |= {e.tag + e.path[-2:]: e.key for e in stack}
+    assert sitetree.main_text(html, frozenset(key.values()) - {key["div.b"]}) == "text\n\nother"
+    assert sitetree.main_text(html, frozenset(key.values())) == "text"
