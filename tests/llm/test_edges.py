@@ -3,6 +3,7 @@
 import hashlib
 import zlib
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -166,6 +167,23 @@ def test_fuzzy_lines(spark, docs, empty):
     assert fuzzylines.classes(empty).count() == 0 and fuzzylines.dedup(docs).count() == len(ROWS)
 
 
+def test_fuzzy_lines_repeats(spark):
+    import random
+    rng = random.Random(3)
+    text = "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(120))
+    # the last: 101 distinct shingles against 120 distinct ones in 141, Jaccard 0.84
+    pairs = [("=" * 80, "=" * 200), ("buy it now today " * 8, "buy it now today " * 20), (text[:105], text + text[60:85])]
+    rows = [(2 * i + j, x.strip()) for i, pair in enumerate(pairs) for j, x in enumerate(pair)]
+    true = [len({x[i:i + 5] for i in range(len(x) - 4)}) for _, x in rows]
+    assert true == [1, 1, 17, 17, 101, 120]
+    got = {r.doc_id: r.keep_doc for r in fuzzylines.classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {0: 0, 1: 0, 2: 2, 3: 2, 4: 4, 5: 4}
+    rules = fuzzylines.Rules()
+    lines = [x for _, x in rows] + ["ab", "".join(rng.choice("abcdef") for _ in range(400))]
+    n, h, owner = fuzzylines._distinct(*fuzzylines._shingle_hashes(lines, 5), len(lines), rules)
+    assert n.tolist()[:7] == [76, *true[1:], 1] and n[7] > rules.short and np.bincount(owner)[[1, 3, 5]].tolist() == true[1::2]
+
+
 def test_suffix_dedup(spark, docs, empty):
     got = sorted(tuple(r)[:4] for r in suffixdedup.remove_repeats(docs.withColumn("h", F.lit(1))).collect() if r.doc_id is not None)
     n = len(ROWS[0][1])
