@@ -184,6 +184,17 @@ def test_fuzzy_lines_repeats(spark):
     assert n.tolist()[:7] == [76, *true[1:], 1] and n[7] > rules.short and np.bincount(owner)[[1, 3, 5]].tolist() == true[1::2]
 
 
+def test_fuzzy_lines_rows_without_ids(spark):
+    rows = [(1, "known line"), (None, "known line\nfoo"), (None, "only here\nbar"), (7, "twice\nmine"), (7, "twice\nyours"), (None, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = sorted((str(r.doc_id), r.text or "") for r in fuzzylines.dedup(df).collect())
+    sevens = [t for d, t in got if d == "7"]
+    assert [x for x in got if x[0] != "7"] == [("1", "known line"), ("None", ""), ("None", "foo"), ("None", "only here\nbar")]
+    assert sevens in (["mine", "twice\nyours"], ["twice\nmine", "yours"])
+    lines = fuzzylines.classes(df)
+    assert lines.count() == 9 and lines.filter(fuzzylines.is_kept()).count() == 7
+
+
 def test_suffix_dedup(spark, docs, empty):
     got = sorted(tuple(r)[:4] for r in suffixdedup.remove_repeats(docs.withColumn("h", F.lit(1))).collect() if r.doc_id is not None)
     n = len(ROWS[0][1])
