@@ -3,7 +3,8 @@
 Repetitive text compresses far better than prose of the same length, and encoded or random text far
 worse. Short texts compress worse than long ones because of the frame and the empty history, so each
 length band has its own pair of limits. The whole-document ratio finds texts that repeat over long
-distances; the chunk ratios find documents of which a part only is repetitive or incompressible.
+distances; the chunk ratios find documents of which a part only is repetitive or incompressible. Where the
+chunks do not end with the text, a last one that does overlaps the one before, so every byte is judged.
 
 The base measures (words, symbols, repeated lines and repeated 3-word windows) come from the same pass.
 Everything is a scalar Arrow UDF on the text column: one scan, no shuffle, other columns stay in the JVM.
@@ -40,7 +41,7 @@ class Bands:
         (4096, 0.27, 0.78), (16384, 0.24, 0.75), (65536, 0.22, 0.75))
     chunk_bytes: int = 4096
     chunk_limits: tuple[float, float] = (0.27, 0.80)
-    #: Share of the full chunks that may lie outside the chunk limits.
+    #: Share of the chunks that may lie outside the chunk limits.
     chunk_share: float = 0.3
     min_words: int = 50
     max_repeat_percent: int = 50
@@ -79,7 +80,8 @@ def measure(text: str, rules: Bands, packer: zstandard.ZstdCompressor) -> tuple:
     size = len(data)
     ratio = len(packer.compress(data)) / size if size else None
     step = rules.chunk_bytes
-    chunks = [len(packer.compress(data[i:i + step])) / step for i in range(0, size - step + 1, step)] if size > step else []
+    starts = [*range(0, size - step + 1, step), *([size - step] if size % step else [])] if size > step else []
+    chunks = [len(packer.compress(data[i:i + step])) / step for i in starts]
     low, high = rules.chunk_limits
     odd = sum(not low <= x <= high for x in chunks)
     kept = False

@@ -63,6 +63,20 @@ def test_quality_verdicts():
     assert quality.repeated_words(b"a b c x a b c".split()) == 6 and quality.repeated_words(b"a a a a".split()) == 4
 
 
+def test_quality_judges_every_byte():
+    import random
+    import zstandard
+    rng, z, rules = random.Random(6), zstandard.ZstdCompressor(3), quality.Bands()
+    prose = " ".join("".join(rng.choice(SYLLABLES) for _ in range(rng.randint(1, 4))) for _ in range(3000))
+    bad = "".join(chr(rng.randint(33, 126)) for _ in range(4095))
+    good, other = prose[:4096], prose[4096:8192]
+    odd = lambda t: quality.measure(t, rules, z)[8:]
+    assert odd(good + other[:4095]) == (2, 0, True) and odd(good + other) == (2, 0, True)
+    assert odd(bad + good) == (2, 1, False) and odd(good + bad) == (2, 1, False)  # start, end
+    assert odd(good + bad + other) == (3, 1, False)  # middle
+    assert odd(good)[0] == 0 and odd(good + "x")[0] == 2
+
+
 def test_simhash(spark, docs, empty):
     got = {(r.doc_id, r.fp): r.component_id for r in simhash.groups(docs.withColumn("fp", F.lit(0)).withColumn("root", F.lit(0))).collect()}
     assert {d for d, f in got if f == 0} == {3, 4, 5} and all(got[d, 0] == 3 for d in (3, 4, 5))
