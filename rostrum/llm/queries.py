@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans.stage import stage
-from . import chat, decontaminate, fuzzylines, mixing, quality, simhash, sitetree, suffixdedup, tokens, toxicity
+from . import chat, decontaminate, fuzzylines, manifest, mixing, quality, simhash, sitetree, suffixdedup, tokens, toxicity, warc
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -153,3 +153,63 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = suffixdedup.remove_repeats(docs, digest=True)
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.lower(F.hex("kept")).alias("kept_sha256"))
+
+
+#: What the leaf of a document hashes, in this order.
+LEAF_COLUMNS = ("doc_id", "source", "lang", "n_chars", "text")
+
+
+@query("op12_interval_manifest", r"""
+WITH RECURSIVE c AS (SELECT row_number() OVER () AS r, *, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS low,
+       list_reduce(list_prepend(4294967295, list_transform(range(1, length(CAST(doc_id AS VARCHAR)) + 1), lambda i: CAST(ascii(CAST(doc_id AS VARCHAR)[i]) AS BIGINT))),
+         lambda a, b: list_reduce(list_prepend(xor(a, b), range(8)), lambda x, k: CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384) ELSE x // 2 END)) AS crc
+       FROM documents),
+e AS (SELECT *, coalesce(strlen(CAST(doc_id AS VARCHAR)) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+       || coalesce(strlen(lang) || ':' || lang, '-') || coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-') AS head FROM c),
+l AS (SELECT r, doc_id, coalesce('s' || source, '') AS t, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+       CASE WHEN xor(crc, 4294967295) % 5 = 0 THEN sha256(head || coalesce(strlen(low) || ':' || low, '-')) END AS bad FROM e),
+k AS (SELECT *, row_number() OVER (PARTITION BY t ORDER BY doc_id NULLS FIRST, leaf, r) - 1 AS i, count(*) OVER (PARTITION BY t) AS n FROM l),
+g(t, n, v, i, h) AS (SELECT t, n, 0, i, leaf FROM k UNION ALL
+       SELECT t, n, v + 1, i // 16, sha256(string_agg(h, '' ORDER BY i)) FROM g WHERE n > CAST(pow(16, v) AS BIGINT) GROUP BY t, n, v, i // 16),
+top AS (SELECT t, max_by(h, v) AS subroot, row_number() OVER (ORDER BY t) - 1 AS i, count(*) OVER () AS n FROM g GROUP BY t),
+w(n, v, i, h) AS (SELECT n, 0, i, subroot FROM top UNION ALL
+       SELECT n, v + 1, i // 16, sha256(string_agg(h, '' ORDER BY i)) FROM w WHERE n > CAST(pow(16, v) AS BIGINT) GROUP BY n, v, i // 16),
+sib AS (SELECT a.t, a.v, a.i, coalesce(string_agg(b.h, '' ORDER BY b.i) FILTER (b.i < a.i), '') AS x, coalesce(string_agg(b.h, '' ORDER BY b.i) FILTER (b.i > a.i), '') AS y
+       FROM g a JOIN g b ON a.t = b.t AND a.v = b.v AND a.i // 16 = b.i // 16 WHERE a.n > CAST(pow(16, a.v) AS BIGINT) GROUP BY a.t, a.v, a.i),
+up AS (SELECT a.v, a.i, coalesce(string_agg(b.h, '' ORDER BY b.i) FILTER (b.i < a.i), '') AS x, coalesce(string_agg(b.h, '' ORDER BY b.i) FILTER (b.i > a.i), '') AS y
+       FROM w a JOIN w b ON a.v = b.v AND a.i // 16 = b.i // 16 WHERE a.n > CAST(pow(16, a.v) AS BIGINT) GROUP BY a.v, a.i),
+steps AS (SELECT r, sib.v, x, y FROM k JOIN sib ON sib.t = k.t AND sib.i = k.i // CAST(pow(16, sib.v) AS BIGINT)
+       UNION ALL SELECT r, 100 + up.v, x, y FROM k JOIN top USING (t) JOIN up ON up.i = top.i // CAST(pow(16, up.v) AS BIGINT)),
+p AS (SELECT r, string_agg(x || y, '' ORDER BY v) AS proof, list({'x': x, 'y': y} ORDER BY v) AS s FROM steps GROUP BY r),
+f(r, j, h, s) AS (SELECT r, 1, coalesce(bad, leaf), coalesce(s, []) FROM k LEFT JOIN p USING (r) UNION ALL
+       SELECT r, j + 1, sha256(s[j].x || h || s[j].y), s FROM f WHERE j <= len(s)),
+d AS (SELECT r, h FROM f WHERE j = len(s) + 1), o AS (SELECT max_by(h, v) AS root FROM w)
+SELECT doc_id, leaf, subroot, root, sha256(coalesce(proof, '')) AS proof_sha256, h AS folded_root, h = root AS verified
+FROM k JOIN top USING (t) JOIN d USING (r) LEFT JOIN p USING (r), o""")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select(*LEAF_COLUMNS)
+    values = [F.col(c) for c in LEAF_COLUMNS]
+    lowered = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    tampered = F.when(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, manifest.leaf([*values[:-1], lowered]))
+    leaves = manifest.build(docs, values, F.col("doc_id"), F.col("source"), tampered).leaves()
+    folded = leaves.withColumn("folded_root", manifest.fold(F.col("path"), F.coalesce("presented", "leaf")))
+    return folded.select(F.col("key").alias("doc_id"), "leaf", "subroot", "root", manifest.proof(F.col("path")).alias("proof_sha256"), "folded_root",
+                         (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
+@query("op13_content_archive", r"""
+WITH p AS (SELECT row_number() OVER () AS r, page_id, coalesce(html, '') AS x FROM pages),
+k AS (SELECT *, CASE WHEN strlen(x) >= 1000 THEN max(page_id) OVER (PARTITION BY x) END AS last FROM p)
+SELECT page_id, CAST(strlen(x) AS BIGINT) AS payload_bytes, sha1(x) AS payload_digest,
+       CASE WHEN last IS NOT NULL AND page_id IS DISTINCT FROM last THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id IS DISTINCT FROM last THEN last END AS refers_to FROM k""")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    archive = warc.store(warc.of_pages(table(spark, sf_dir, "pages").select("page_id", "url", "html")))
+    of = lambda name: warc.field(F.col("header"), name)
+    # the digest named in the header must be that of the payload which the join brought
+    sha1 = F.sha1("payload")
+    wrong = F.raise_error(F.concat(F.lit("payload differs from its header's digest "), sha1)).cast("string")
+    return archive.records(spark).select(
+        warc.page_of(of("WARC-Record-ID")).alias("page_id"), F.octet_length("payload").cast("long").alias("payload_bytes"),
+        F.when(of("WARC-Payload-Digest") == F.concat(F.lit("sha1:"), sha1), sha1).otherwise(wrong).alias("payload_digest"),
+        of("WARC-Type").alias("record_type"), warc.page_of(of("WARC-Refers-To")).alias("refers_to"))
