@@ -1,4 +1,4 @@
-"""numpy helpers for Arrow batches of the factorisation. Spark partitions and shuffles the work."""
+"""numpy helpers for Arrow batches of the topic models. Spark partitions and shuffles the work."""
 
 from __future__ import annotations
 
@@ -16,6 +16,13 @@ def digamma(x):
     return np.log(y) - 0.5 / y - series - back
 
 
+def trigamma(x):
+    y = x + 6.0
+    q = 1.0 / (y * y)
+    series = 1 / y + q / 2 + q / y * (1 / 6 - q * (1 / 30 - q * (1 / 42 - q / 30)))
+    return series + sum(1.0 / ((x + i) * (x + i)) for i in range(6))
+
+
 def gammaln(x):
     y = x + 6.0
     q = 1.0 / (y * y)
@@ -128,3 +135,48 @@ def doc_update(batches, geo, topic_sum, seed_slot, k, a, hyper, prior_shape, out
          pa.nulls(n, out_schema.field("idx").type), pa.nulls(n, out_schema.field("val").type),
          lists(np.concatenate(list(totals.values())), k + 2), pa.nulls(n, out_schema.field("rate").type),
          pa.nulls(n, pa.float64())], schema=out_schema)
+
+
+def fit_mixtures(at, cnt, sizes, beta, alpha, iterations, tolerance, sums, cells=4_000_000):
+    """Variational parameters of documents under fixed topics: ``(gamma, rounds, sums by row of beta)``.
+
+    ``at`` are rows of ``beta`` for the documents' counts ``cnt``, one document after the other. Every
+    document starts at one and stops by itself; only those that still move are computed on.
+    """
+    k, n = len(alpha), len(sizes)
+    gamma, rounds = np.ones((n, k)), np.zeros(n, np.int64)
+    found = np.zeros((len(beta) if sums else 0, k))
+    ends = np.cumsum(sizes)
+    part = (ends * k) // cells
+    cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), n] if n else []
+    for lo, hi in zip(cuts, cuts[1:]):
+        mine = slice(int(ends[lo] - sizes[lo]), int(ends[hi - 1]))
+        row, b, c = np.repeat(np.arange(lo, hi), sizes[lo:hi]), beta[at[mine]], cnt[mine]
+        moving = np.zeros(n, bool)
+        moving[lo:hi] = True
+        for _ in range(iterations):
+            docs = np.flatnonzero(moving)
+            if not len(docs):
+                break
+            keep = moving[row]
+            r, bb = np.searchsorted(docs, row[keep]), b[keep]
+            theta = _mixture(gamma[docs])
+            share = c[keep] / (np.einsum("ij,ij->i", theta[r], bb) + 1e-100)
+            got = np.zeros((len(docs), k))
+            held, first = np.unique(r, return_index=True)
+            if len(held):
+                got[held] = np.add.reduceat(bb * share[:, None], first, axis=0)
+            new = alpha + theta * got
+            rounds[docs] += 1
+            moving[docs] = np.abs(new - gamma[docs]).mean(axis=1) >= tolerance
+            gamma[docs] = new
+        if sums:
+            theta = _mixture(gamma[lo:hi])[row - lo]
+            share = c / (np.einsum("ij,ij->i", theta, b) + 1e-100)
+            np.add.at(found, at[mine], theta * b * share[:, None])
+    return gamma, rounds, found
+
+
+def _mixture(gamma):
+    """exp of the expected log mixture."""
+    return np.exp(digamma(gamma) - digamma(gamma.sum(axis=1))[:, None])

@@ -36,15 +36,24 @@ def new_path(spark: SparkSession, name: str) -> str:
 
 def drop_staged(spark: SparkSession) -> None:
     """Remove this application's staged tables, once its results are written elsewhere."""
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_root(spark))
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    remove(spark, _root(spark))
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
-    spark = df.sparkSession
-    path = new_path(spark, name)
+def remove(spark: SparkSession, path: str) -> None:
+    """Remove one written table that nothing reads any more."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def written(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """``df`` as a written table, and its path for :func:`remove`."""
+    path = new_path(df.sparkSession, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def stage(df: DataFrame, name: str) -> DataFrame:
+    return written(df, name)[0]
 
 
 def spread(df: DataFrame, key: str, write: bool = False) -> DataFrame:
