@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans.stage import stage
-from . import chat, decontaminate, fuzzylines, manifest, mixing, quality, simhash, sitetree, suffixdedup, tokens, toxicity, warc
+from . import chat, decontaminate, fuzzylines, lexical, manifest, mixing, quality, simhash, sitetree, suffixdedup, tokens, toxicity, warc
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -213,3 +213,21 @@ def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
         warc.page_of(of("WARC-Record-ID")).alias("page_id"), F.octet_length("payload").cast("long").alias("payload_bytes"),
         F.when(of("WARC-Payload-Digest") == F.concat(F.lit("sha1:"), sha1), sha1).otherwise(wrong).alias("payload_digest"),
         of("WARC-Type").alias("record_type"), warc.page_of(of("WARC-Refers-To")).alias("refers_to"))
+
+
+@query("op11_blocked_lexical_search", r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''),
+       'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+s AS (SELECT count(*) FILTER (len(w) > 0) AS nd, CAST(sum(len(w)) AS BIGINT) AS l FROM d),
+b AS (SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''),
+       'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS t FROM benchmark),
+p AS (SELECT r, doc_id, n, t, count(*) AS tf FROM (SELECT r, doc_id, CAST(len(w) AS BIGINT) AS n, unnest(w) AS t FROM d)
+      WHERE t IN (SELECT t FROM b) GROUP BY r, doc_id, n, t),
+wt AS (SELECT t, CAST(floor(1000 * ln(CAST(2 * nd + 2 AS DOUBLE) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS w FROM p, s GROUP BY t, nd),
+f AS (SELECT item_id, r, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + ((50 * n * nd) // l))))) AS BIGINT) AS score
+      FROM p JOIN wt USING (t) JOIN b USING (t), s GROUP BY item_id, r, doc_id),
+k AS (SELECT *, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST, r) AS INT) AS rank FROM f WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM k WHERE rank <= 50""")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return lexical.rank(docs, table(spark, sf_dir, "benchmark").select("item_id", "text"))
