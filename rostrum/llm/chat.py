@@ -24,6 +24,8 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import fresh
+
 TURNS = "array<struct<role string, text string>>"
 
 
@@ -205,6 +207,7 @@ def chat(records: DataFrame, record: str = "record", layouts: tuple[Layout, ...]
     clash = {"layout", "formatted", "loss"} & {x.lower() for x in records.columns if x != record}
     if clash:
         raise ValueError(f"columns exist already: {sorted(clash)}")
-    turned = records.select(*rest, canonical(F.col(f"`{record}`"), layouts).alias("_canonical"))
-    return turned.select(*rest, F.col("_canonical.layout").alias("layout"), formatted(F.col("_canonical.turns")).alias("_out")).select(
-        *rest, "layout", "_out.formatted", "_out.loss")
+    mid, out = fresh(records, "canonical"), fresh(records, "out")
+    turned = records.select(*rest, canonical(F.col(f"`{record}`"), layouts).alias(mid))
+    return turned.select(*rest, F.col(f"{mid}.layout").alias("layout"), formatted(F.col(f"{mid}.turns")).alias(out)).select(
+        *rest, "layout", f"{out}.formatted", f"{out}.loss")

@@ -149,17 +149,17 @@ def with_hits(df: DataFrame, bench: DataFrame, out: str = "hits", text: str = "t
     if len(indexes) == 1:
         matched = df.select("*", _matches(source, indexes[0], rules).alias(found))
     else:  # equal texts have equal results, so rows meet their matches by text
-        key, clean = fresh(df, f"{out}_key"), fresh(df, f"{out}_clean")
+        key, clean, of = (fresh(df, f"{out}_{x}") for x in ("key", "clean", "of"))
         hashed = F.sha2(source.cast("string"), 256)
         parts = [df.select(hashed.alias(key), _matches(source, x, rules).alias(found)).filter(F.size(f"{found}.items") > 0) for x in indexes]
         merged = union_all(parts).distinct().groupBy(key).agg(
             F.max(f"{found}.n_words").alias("n"), F.array_sort(F.array_distinct(F.flatten(F.collect_list(f"{found}.items")))).alias("i"),
             F.flatten(F.collect_list(f"{found}.spans")).alias("s"))
-        merged = stage(merged.select(F.col(key).alias(f"{key}_r"), F.struct(
+        merged = stage(merged.select(F.col(key).alias(of), F.struct(
             F.col("n").alias("n_words"), _covered_column(F.col("s")).alias("n_hit"), F.col("i").alias("items"), F.col("s").alias("spans")).alias(found)),
             "benchmark-matches")
         none = _matches(source, df.sparkSession.sparkContext.broadcast({}), rules)
-        matched = df.select("*", hashed.alias(key), none.alias(clean)).join(merged, F.col(key) == F.col(f"{key}_r"), "left")
+        matched = df.select("*", hashed.alias(key), none.alias(clean)).join(merged, F.col(key) == F.col(of), "left")
         matched = matched.select(*[F.col(f"`{c}`") for c in df.columns], F.coalesce(F.col(found), F.col(clean)).alias(found))
     n_words, n_hit = F.col(f"{found}.n_words"), F.col(f"{found}.n_hit")
     verdict = (n_hit > 0) & (F.lit(rules.one_in) * n_hit >= n_words)

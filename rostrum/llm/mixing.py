@@ -129,15 +129,16 @@ def plan(df: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str
 
 def take(df: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", mix: Mix = Mix(), ordered: bool = True) -> DataFrame:
     """The mix itself: rows of ``df``, each as often as the plan takes it; with ``ordered`` range-sorted by
-    virtual finish time. Rows that agree in id, source and text share their takes evenly."""
-    h, src, rank, t = (fresh(df, x) for x in ("mix_h", "mix_src", "mix_rank", "mix_take"))
+    virtual finish time. Rows that agree in id, source and text share their takes evenly. A text moves once,
+    to number such rows."""
+    h, src, rank, t, hr, sr = (fresh(df, x) for x in ("mix_h", "mix_src", "mix_rank", "mix_take", "mix_plan_h", "mix_plan_src"))
     c = lambda name: F.col(f"`{name}`")
     keyed = df.select("*", _shuffle_key(c(doc_id), c(text), mix.seed).alias(h), _source_key(c(source)).alias(src))
-    right = plan(df, doc_id, text, source, mix).groupBy(F.col("h").alias(f"{h}r"), F.col("src").alias(f"{src}r")).agg(
+    right = plan(df, doc_id, text, source, mix).groupBy(F.col("h").alias(hr), F.col("src").alias(sr)).agg(
         F.sum("takes").alias("n_takes"), F.count("*").alias("n_rows"), F.first("finish").alias("finish"),
         F.first("source_size").alias("source_size"), F.first("target").alias("target"))
-    right = right.filter("n_takes > 0").select(f"{h}r", f"{src}r", F.struct("n_takes", "n_rows", "finish", "source_size", "target").alias(t))
-    both = keyed.join(right, (F.col(h) == F.col(f"{h}r")) & (F.col(src) == F.col(f"{src}r")))
+    right = right.filter("n_takes > 0").select(hr, sr, F.struct("n_takes", "n_rows", "finish", "source_size", "target").alias(t))
+    both = keyed.join(right, (F.col(h) == F.col(hr)) & (F.col(src) == F.col(sr)))
     both = both.withColumn(rank, F.row_number().over(Window.partitionBy(h, src).orderBy(F.xxhash64(*[c(x) for x in df.columns]))))
     own = F.floor(F.col(f"{t}.n_takes") / F.col(f"{t}.n_rows")) + (F.col(rank) <= F.pmod(F.col(f"{t}.n_takes"), F.col(f"{t}.n_rows"))).cast("int")
     out = both.withColumn(rank, own.cast("int")).filter(F.col(rank) > 0).withColumn(rank, F.explode(F.sequence(F.lit(0), F.col(rank) - 1)))

@@ -207,24 +207,26 @@ def groups(df: DataFrame, doc_id: str = "doc_id", text: str = "text", rules: Sim
 
 
 def representatives(df: DataFrame, doc_id: str = "doc_id", text: str = "text", rules: SimHash = SimHash()) -> DataFrame:
-    """One row of ``df`` per group, that of the least ``doc_id``; all columns, unchanged.
+    """Just one row of ``df`` per group, one of those with the group's least ``doc_id``; all columns, unchanged.
 
-    Rows that repeat a document id within a group are copies, and one of them stays. Rows without an id
-    stay only where no row of their group has one.
+    Rows that repeat a document id in a group are copies, and one of them stays; rows that share an id but
+    lie in different groups are judged each in its own group. Rows without an id stay only where no row of
+    their group has one, and then one of them does.
     """
-    fp = fresh(df, "fp")
     found = stage(groups(df, doc_id, text, rules), "simhash-groups")
-    again = found.groupBy("doc_id", "root").agg(F.count("*").alias("n")).filter("n > 1").select("doc_id").distinct()
-    # the common case needs ids only; repeated and missing ids are settled on whole rows
-    odd = stage(again.union(found.filter("doc_id is null").select("doc_id")).distinct(), "simhash-repeated")
-    gone = stage(found.filter("not doc_id <=> component_id").select("doc_id").distinct(), "simhash-copies")
+    # ids of a single row say which row stays; repeated and missing ids are settled on whole rows
+    ids = stage(found.groupBy("doc_id").agg(F.count("*").alias("n"), F.min("component_id").alias("least")), "simhash-ids")
+    odd = ids.filter("n > 1 or doc_id is null")
+    drop = ids.filter("n > 1 or not doc_id <=> least")  # ids that are not settled, or whose only row goes
+    fp, other, left, right, pick = (fresh(df, x) for x in ("simhash_fp", "simhash_id", "simhash_print", "simhash_root", "simhash_pick"))
     key = F.col(f"`{doc_id}`")
-    plain = df.join(odd.withColumnRenamed("doc_id", "__odd"), key.eqNullSafe(F.col("__odd")), "left_anti")
-    plain = plain.join(gone.filter("doc_id is not null").withColumnRenamed("doc_id", "__gone"), key == F.col("__gone"), "left_anti")
+    plain = df.filter(key.isNotNull()).join(drop.filter("doc_id is not null").select(F.col("doc_id").alias(other)), key == F.col(other), "left_anti")
     if odd.isEmpty():
         return plain
-    rows = df.join(odd.withColumnRenamed("doc_id", "__odd"), key.eqNullSafe(F.col("__odd")), "left_semi") \
-        .select("*", fingerprint_column(F.col(f"`{text}`"), rules).alias(fp))
-    best = found.filter("doc_id <=> component_id").select(F.col("doc_id").alias("__id"), F.col("fp").alias("__fp"), F.col("root").alias("__root")).distinct()
-    kept = rows.join(best, key.eqNullSafe(F.col("__id")) & (F.col(fp) == F.col("__fp"))).dropDuplicates([doc_id, "__root"])
-    return plain.unionByName(kept.select(*[F.col(f"`{c}`") for c in df.columns]))
+    mine = df.select(*[F.col(f"`{c}`") for c in df.columns], fingerprint_column(F.col(f"`{text}`"), rules).alias(fp))
+    best = found.filter("doc_id <=> component_id").join(odd.select(F.col("doc_id").alias("odd_id")), F.col("doc_id").eqNullSafe(F.col("odd_id")), "left_semi") \
+        .select(F.col("doc_id").alias(other), F.col("fp").alias(left), F.col("root").alias(right)).distinct()
+    rows = mine.join(best, key.eqNullSafe(F.col(other)) & (F.col(fp) == F.col(left))) \
+        .select(right, F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias(pick), F.xxhash64(F.col(f"`{text}`").cast("string")).alias(fp))
+    kept = rows.groupBy(right).agg(F.min_by(pick, fp).alias(pick))
+    return plain.unionByName(kept.select(*[F.col(f"`{pick}`.`{c}`") for c in df.columns]))

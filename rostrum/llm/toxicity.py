@@ -87,7 +87,7 @@ def _training(docs: DataFrame, labels: DataFrame, rules: Rules) -> DataFrame:
     known = stage(labels.filter("doc_id is not null and toxic is not null").filter(~held_out(F.col("doc_id"), rules))
                   .groupBy("doc_id").agg((F.max("toxic") > 0).cast("double").alias("label")), "toxicity-labels")
     few = known.count() <= rules.broadcast_labels
-    return docs.join(F.broadcast(known) if few else known, "doc_id").select("text", "label")
+    return docs.select("doc_id", "text").join(F.broadcast(known) if few else known, "doc_id").select("text", "label")
 
 
 def _counts(train: DataFrame, rules: Rules) -> DataFrame:
