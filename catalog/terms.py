@@ -8,8 +8,8 @@ from rostrum.functions import text as T
 from rostrum.operators import align, counts as C, ids, procedural as P, vocabulary as V
 from rostrum.plans.stage import stage
 
-from .fixtures import (BIAS, COUNTS, DOCS, GRAMS1, MAX_DF, MIN_AUTHORS, MIN_DF, MODEL, OVERLAP, PASS2, SHORT, STATS, STOP, VOCAB,
-                       docs, hash_unit, sql_deoverlap, sql_grams, sql_tokens)
+from .fixtures import (BIAS, COUNTS, DOCS, GRAMS1, HASH, MAX_DF, MIN_AUTHORS, MIN_DF, MODEL, OVERLAP, PASS2, SHORT, STATS, STOP, VOCAB,
+                       docs, hash_unit, sql_deoverlap, sql_grams, sql_tokens, table)
 from .registry import query, r, with_ctes
 
 # --- analysers: all n-grams of a document as one digest ----------------------------------------
@@ -208,3 +208,19 @@ def ordered_subset(spark, sf):
     # The filtered list has its own positions, as lines of a second file have.
     lines = stage(ids.export_ids(kept.select("doc_id", "text")).select(F.col("row_id").alias("pos"), "text"), "lines")
     return align.ordered_subset(d.select(F.col("doc_id").alias("pos"), "text"), lines)
+
+
+#: Short documents say one of a few things, and a hash of their id, not their text, says which of them stay.
+_SAID = "said AS (SELECT doc_id, CASE WHEN n_chars < 600 THEN lang ELSE text END AS text FROM documents)"
+_SOME = f"given AS (SELECT text, row_number() OVER (ORDER BY doc_id) AS j FROM said WHERE {HASH('CAST(doc_id AS VARCHAR)')} < 0.6)"
+
+
+@query("ordered_subset_greedy", "WITH RECURSIVE " + _SAID + ",\n" + _SOME + """,
+walk(j, pos, text) AS (SELECT j, pos, text FROM (SELECT g.j, min(s.doc_id) AS pos, g.text FROM given g JOIN said s USING (text) WHERE g.j = 1 GROUP BY g.j, g.text)
+ UNION ALL SELECT g.j, min(s.doc_id), g.text FROM walk w JOIN given g ON g.j = w.j + 1 JOIN said s ON s.text = g.text AND s.doc_id > w.pos GROUP BY g.j, g.text)
+SELECT j - 1 AS rank, pos, text FROM walk""")
+def ordered_subset_greedy(spark, sf):
+    d = table(spark, sf, "documents")
+    said = stage(d.select("doc_id", F.expr("CASE WHEN n_chars < 600 THEN lang ELSE text END").alias("text")), "said")
+    some = ids.export_ids(said.filter(hash_unit(F.col("doc_id").cast("string")) < 0.6)).select(F.col("row_id").alias("pos"), "text")
+    return align.ordered_subset_greedy(said.select(F.col("doc_id").alias("pos"), "text"), stage(some, "lines"))

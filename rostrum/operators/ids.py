@@ -66,3 +66,19 @@ def author_ids(docs: DataFrame, authors: DataFrame, group: Sequence[str] = ()) -
 def export_ids(docs: DataFrame, group: Sequence[str] = ()) -> DataFrame:
     """0-based row number in document order, for positional exports."""
     return range_ids(docs, "doc_id", "row_id", group)
+
+
+def running_sums(df: DataFrame, key: str, values: dict[str, Column]) -> DataFrame:
+    """Add, for each name in ``values``, the sum of its column over the rows up to and with this one, by the unique ``key``.
+
+    Rows are sorted into ranges that Spark samples and written with their place; one row per task gives
+    what comes before it, and a window runs over the rows of one task.
+    """
+    rows = df.withColumns({f"_{n}": c for n, c in values.items()}).repartitionByRange(key).sortWithinPartitions(key)
+    placed = stage(rows.withColumn("_place", F.monotonically_increasing_id()), "running-ranges").withColumn("_task", F.shiftright("_place", 33))
+    before = Window.partitionBy().orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
+    held = placed.groupBy("_task").agg(*[F.sum(f"_{n}").alias(f"_{n}") for n in values])
+    starts = held.select("_task", *[F.coalesce(F.sum(f"_{n}").over(before), F.lit(0)).alias(f"_{n}_before") for n in values])
+    upto = Window.partitionBy("_task").orderBy("_place").rowsBetween(Window.unboundedPreceding, 0)
+    return placed.join(stage(starts, "running-starts"), "_task").select(
+        *df.columns, *[(F.col(f"_{n}_before") + F.sum(f"_{n}").over(upto)).alias(n) for n in values])

@@ -151,6 +151,42 @@ def test_ordered_subset(spark):
             align.ordered_subset(full, lines(*wrong)).collect()
 
 
+def greedy(full, kept):
+    at, out = 0, []
+    for x in kept:
+        while at < len(full) and full[at] != x:
+            at += 1
+        if at == len(full):
+            return None
+        out.append(at)
+        at += 1
+    return out
+
+
+@pytest.mark.parametrize("block", [3, 20_000])
+def test_greedy_subset(spark, block):
+    import random
+    rng = random.Random(block)
+    for size, words in ((300, "aaaabbcd"), (60, "a")) if block == 3 else ((300, "abcdefghij"),):
+        full = [rng.choice(words) if rng.random() < 0.85 else f"only {i}" for i in range(size)] + [None, "x", None, "y", "x"]
+        kept = [x for x in full if rng.random() < 0.6]
+        lines = lambda rows, step: spark.createDataFrame([(step * i, x) for i, x in enumerate(rows)], "pos bigint, text string").repartition(4)  # noqa: B023, E731
+        rows = align.ordered_subset_greedy(lines(full, 3), lines(kept, 7), block).orderBy("rank").collect()
+        assert [(r.rank, r.pos // 3, r.text) for r in rows] == [(i, p, full[p]) for i, p in enumerate(greedy(full, kept))]
+    wrong = [*kept[5:], *kept[:5]]
+    assert greedy(full, wrong) is None
+    for bad in (wrong, [*kept, "unseen"]):
+        with pytest.raises(Exception, match="ordered subset"):
+            align.ordered_subset_greedy(lines(full, 1), lines(bad, 1), block).collect()
+
+
+def test_greedy_subset_of_a_hot_text(spark):
+    lines = lambda rows: spark.createDataFrame(list(enumerate(rows)), "pos bigint, text string")
+    got = lambda full, kept, block: [r.pos for r in align.ordered_subset_greedy(lines(full), lines(kept), block).orderBy("rank").collect()]
+    assert got("ABA", "BA", 1) == [1, 2] and got("ABAB", "AB", 20) == [0, 1] and got("AB", "", 5) == []
+    assert got("XAAAY", "XAY", 2) == [0, 1, 4] and got("AAXAA", "AXA", 1) == [0, 2, 3]
+
+
 def test_wide_blanks_do_not_count_towards_the_length(spark):
     pad = "\x0c\x85\u2003\u00a0" * 100
     docs = spark.createDataFrame([(1, f"one{pad}two three four five six"), (2, f"I{pad} yield{pad} the floor to all"), (3, "x" * 400 + " a b")], "doc_id int, text string")
