@@ -217,10 +217,11 @@ def representatives(df: DataFrame, doc_id: str = "doc_id", text: str = "text", r
     # ids of a single row say which row stays; repeated and missing ids are settled on whole rows
     ids = stage(found.groupBy("doc_id").agg(F.count("*").alias("n"), F.min("component_id").alias("least")), "simhash-ids")
     odd = ids.filter("n > 1 or doc_id is null")
-    drop = ids.filter("n > 1 or not doc_id <=> least")  # ids that are not settled, or whose only row goes
+    # ids that are not settled, or whose only row goes; written, so that its own size decides how texts meet it
+    drop = stage(ids.filter("doc_id is not null and (n > 1 or not doc_id <=> least)").select("doc_id"), "simhash-copies")
     fp, other, left, right, pick = (fresh(df, x) for x in ("simhash_fp", "simhash_id", "simhash_print", "simhash_root", "simhash_pick"))
     key = F.col(f"`{doc_id}`")
-    plain = df.filter(key.isNotNull()).join(drop.filter("doc_id is not null").select(F.col("doc_id").alias(other)), key == F.col(other), "left_anti")
+    plain = df.filter(key.isNotNull()).join(drop.select(F.col("doc_id").alias(other)), key == F.col(other), "left_anti")
     if odd.isEmpty():
         return plain
     mine = df.select(*[F.col(f"`{c}`") for c in df.columns], fingerprint_column(F.col(f"`{text}`"), rules).alias(fp))
