@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import re
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rostrum.functions import special
 from rostrum.operators import factorization as PF, scaling
-from rostrum.plans.stage import stage
+from rostrum.plans.stage import new_path, stage
 
 from .fixtures import HASH, table
 from .registry import query, r, with_ctes
@@ -183,6 +187,73 @@ def pf_fit(spark, sf):
         special.gamma_mean(F.col("shape"), F.col("rate"))).alias("topic_id", "weight"))
 
 
+def _steps_sql(steps: int) -> list[str]:
+    """The update of one step, written out ``steps`` times; the factors after step i are ``th_i`` and ``be_i``."""
+    own = {name: name + "_{0}" for name in ("gth", "gbe", "nz", "dmsg", "bsum", "th1", "tmsg", "tsum", "be1", "th", "be")} | {"nth": "th_{1}", "nbe": "be_{1}"}
+    named = lambda cte, i: re.sub(r"\b(" + "|".join(own) + r")\b", lambda m: own[m[0]].format(i, i + 1), cte)
+    return [*UNI, *[named(x, 0) for x in STATE[len(UNI):]], *[named(x, i) for i in range(steps) for x in STEP[len(STATE):]]]
+
+
+_FIT_SQL = with_ctes(*_steps_sql(3), select=_LONG_SQL.format("term_id AS id, 'topic' AS side", "be_3") + " UNION ALL " + _LONG_SQL.format("doc_id, 'document'", "th_3"))
+
+
+def _both_sides(fit):
+    side = lambda df, key, name: _long(df, key).select("seed", F.col(key).alias("id"), F.lit(name).alias("side"), "k", "shape", "rate", "prior_rate")
+    return side(fit.beta, "term_id", "topic").unionByName(side(fit.theta, "doc_id", "document"))
+
+
+@query("pf_fit_steps", _FIT_SQL)
+def pf_fit_steps(spark, sf):
+    """All factors of both seeds after three steps of the packed engine."""
+    v, counts = uni_tables(spark, sf)
+    return _both_sides(PF.fit(counts, v.agg(F.count(F.lit(1)).alias("n")).first().n, K, SEEDS, steps=3))
+
+
+class _Killed(Exception):
+    pass
+
+
+@query("pf_resume", _FIT_SQL)
+def pf_resume(spark, sf):
+    """The same factors from a fit that is killed after its second step, one step behind its last snapshot, and started again."""
+    v, counts = uni_tables(spark, sf)
+    n, path, seen = v.agg(F.count(F.lit(1)).alias("n")).first().n, new_path(spark, "factor-snapshots"), []
+
+    def kill(step):
+        if step == 1:
+            raise _Killed
+
+    settings = {"num_topics": K, "seeds": SEEDS, "steps": 3, "store": path, "store_every": 3}
+    try:
+        PF.fit(counts, n, on_step=kill, **settings)
+    except _Killed:
+        pass
+    again = PF.fit(counts, n, on_step=seen.append, **settings)
+    if seen != [1, 2]:
+        raise AssertionError(f"the second run did steps {seen}")
+    return _both_sides(again)
+
+
+@query("pf_seed_status", with_ctes(*UNI, select="""SELECT seed, CASE WHEN seed = 194 THEN 'failed' ELSE 'done' END AS status,
+ CASE WHEN seed = 194 THEN 0 ELSE (SELECT count(*) FROM uvocab) END AS n_terms,
+ CASE WHEN seed = 194 THEN 0 ELSE (SELECT count(DISTINCT doc_id) FROM uc) END AS n_docs FROM (SELECT unnest([22, 194, 164])::INT AS seed)"""))
+def pf_seed_status(spark, sf):
+    """Three seeds by themselves; one meets snapshots of another fit and fails, the others' factors are there."""
+    v, counts = uni_tables(spark, sf)
+    n, path, seeds = v.agg(F.count(F.lit(1)).alias("n")).first().n, new_path(spark, "factor-seeds"), [22, 194, 164]
+    PF.fit(counts.limit(5), n, K, [194], steps=1, store=path)
+    try:
+        fits, failures = PF.fit_seeds(counts, n, K, seeds, steps=3, store=path, parallel=2), {}
+    except PF.SeedsFailed as e:
+        fits, failures = e.fits, e.failures
+    size = lambda df: df.groupBy("seed").agg(F.count("*").alias("n"))
+    tables = [size(getattr(f, t)).withColumn("t", F.lit(t)) for f in fits.values() for t in ("beta", "theta")]
+    sums = reduce(DataFrame.unionByName, tables).groupBy("seed").pivot("t", ["beta", "theta"]).sum("n")
+    status = spark.createDataFrame([(s, "failed" if s in failures else "done") for s in seeds], "seed int, status string")
+    zero = lambda c: F.coalesce(c, F.lit(0).cast("bigint"))
+    return status.join(sums, "seed", "left").select("seed", "status", zero(F.col("beta")).alias("n_terms"), zero(F.col("theta")).alias("n_docs"))
+
+
 @query("pf_multi_seed")
 def pf_multi_seed(spark, sf):
     v, counts = uni_tables(spark, sf)

@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from rostrum.functions import text as T
 from rostrum.operators import ids, speeches as S, vocabulary as V
 from rostrum.plans import sinks
-from rostrum.plans.stage import new_path, spread
-from rostrum.sources import tables, transcripts
+from rostrum.plans.stage import new_path, spread, stage
+from rostrum.plans.versions import Versions
+from rostrum.sources import csv_blocks, tables, transcripts
 from rostrum.streaming import split
 
 from .fixtures import (DOCS, MIN_SPEECHES, SPEECHES, docs, sql_safe, sql_simple, sql_tokens, sql_trim, sql_ws, speeches, table)
@@ -118,11 +119,44 @@ def csv_na_scan(spark, sf):
     return tables.read_csv(spark, path, "doc_id bigint, speaker string, text string")
 
 
+@query("csv_chunks", f"""SELECT doc_id, CASE WHEN v NOT IN ('NA', 'null', '') THEN v END AS speaker, text, lang FROM
+ (SELECT doc_id, {_NA} AS v, concat('"', text, '", x' || chr(13) || chr(10) || 'y') AS text, lang FROM documents)""")
+def csv_chunks(spark, sf):
+    """One CSV file of all documents, read in blocks of bytes by many tasks."""
+    path = new_path(spark, "csv")
+    d = table(spark, sf, "documents").select(
+        "doc_id", F.expr(_NA).alias("speaker"), F.concat(F.lit('"'), "text", F.lit('", x\r\ny')).alias("text"), "lang")
+    sinks.write_csv(d.coalesce(1), path)
+    return csv_blocks.read_csv_blocks(spark, path, "doc_id bigint, speaker string, text string, lang string").select("doc_id", "speaker", "text", "lang")
+
+
+@query("publish_split", f"""WITH {SPEECHES},
+b AS (SELECT doc_id, speaker, text, lower({sql_trim("coalesce(body, '')")}) AS chamber FROM speeches)
+SELECT 'house' AS chamber, CAST(NULL AS BIGINT) AS doc_id, CAST(NULL AS VARCHAR) AS speaker, CAST(NULL AS VARCHAR) AS text, 0 AS n_rows
+UNION ALL SELECT chamber, doc_id, speaker, text, (SELECT CAST(count(*) AS INT) FROM b WHERE chamber = 'senate') FROM b WHERE chamber = 'senate'""")
+def publish_split(spark, sf):
+    """A run of both chambers, one without the house, and one that fails half-way: readers see the second one whole."""
+    path = new_path(spark, "published")
+    rows = S.split_chamber(speeches(spark, sf), "body").select("doc_id", "speaker", "text", "chamber")
+    sinks.publish_split(rows, path)
+    sinks.publish_split(rows.filter("chamber = 'senate'"), path)
+    bad = rows.withColumn("text", F.when(F.col("chamber") == "senate", F.raise_error(F.lit("lost"))).otherwise(F.col("text")))
+    try:
+        sinks.publish_split(bad, path)
+    except PySparkException:
+        pass
+    now = Versions(spark, path).latest()
+    sizes = {c: now.read(spark, c).count() for c in S.CHAMBERS}
+    house = now.read(spark, "house").unionByName(spark.createDataFrame([(None, None, None)], "doc_id bigint, speaker string, text string"))
+    side = lambda df, c: df.select(F.lit(c).alias("chamber"), "doc_id", "speaker", "text", F.lit(sizes[c]).cast("int").alias("n_rows"))
+    return side(house, "house").unionByName(side(now.read(spark, "senate"), "senate"))
+
+
 def _ranked_tokens(df):
     """All tokens by frequency, with their rank as line number."""
     tok = df.select(F.explode(F.array_compact(T.token_array(F.col("text"), T.FIRST_PASS_PATTERN))).alias("word"))
-    counted = tok.groupBy("word").agg(F.count(F.lit(1)).alias("c"))
-    return counted.select("word", (F.row_number().over(Window.partitionBy().orderBy(F.desc("c"), "word")) - 1).alias("line_no"))
+    counted = stage(tok.groupBy("word").agg((-F.count(F.lit(1))).alias("c")).select(F.struct("c", "word").alias("key")), "token-counts")
+    return ids.range_ids(counted, "key", "line_no").select("key.word", "line_no")
 
 
 def _write_parts(words, path, column="word"):
@@ -133,7 +167,8 @@ def _write_parts(words, path, column="word"):
 
 def _reread(words):
     """Words with their rank in file order."""
-    return words.select("word", (F.row_number().over(Window.partitionBy().orderBy("line_no")) - 1).cast("bigint").alias("line_no"))
+    held = stage(words.withColumnRenamed("line_no", "place"), "read-words")
+    return ids.range_ids(held, "place", "line_no").select("word", "line_no")
 
 
 def _top_tokens(df, n):

@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rostrum.operators import gibbs, topics as M, variational as VB
+from rostrum.operators import counts as C, gibbs, topics as M, variational as VB
 from rostrum.operators.parts import in_parts
+from rostrum.plans.stage import stage
+from rostrum.plans.topic_init import TopicConfig, init_topics
 
-from .factors import _psi
-from .fixtures import HASH
+from .factors import FACTORS, _psi, state
+from .fixtures import HASH, hash_unit
 from .registry import query, r, with_ctes
-from .topics import K as TOPICS, UNI, WEIGHTS, uni_tables, weights
+from .topics import _EDGES, _HOLD, _NPMI, _PAIRS, _SCORE, _WALK, K as TOPICS, N, TOPICS as TOPIC_LISTS, UNI, WEIGHTS, _n_docs, uni_tables, weights
 
 K = 3
 
@@ -85,3 +90,69 @@ def lda_eval_theta(spark, sf):
     beta = VB.by_term(weights(v).select("topic_id", "term_id", (F.col("weight") / sums).alias("weight")))
     found = VB.fold_in(held, beta, [ALPHA] * TOPICS, ROUNDS, TOLERANCE)
     return found.select("doc_id", F.posexplode("theta").alias("topic_id", "w"), "rounds").select("doc_id", "topic_id", r(F.col("w"), 5).alias("weight"), "rounds")
+
+
+# --- snapshots of one fit ------------------------------------------------------------------------
+
+STEPS = 6
+#: Every topic's weights move with the step; topic 0 stays as it is, so its list occurs at every step.
+_STEP_TOPICS = [*UNI, f"""topics AS (SELECT topic_id, rank, term_id FROM (SELECT topic_id, term_id, CAST(row_number() OVER (PARTITION BY topic_id
+ ORDER BY {HASH(f"concat_ws(':', CASE WHEN topic_id % {K} = 0 THEN 0 ELSE topic_id END, term)")} DESC, term_id) - 1 AS INT) AS rank
+ FROM uvocab, (SELECT unnest(range({K * STEPS}))::INT AS topic_id)) WHERE rank < {N})"""]
+
+
+@query("best_snapshot", with_ctes(*_STEP_TOPICS, _PAIRS, _NPMI, f"scores AS (SELECT topic_id // {K} AS step, avg(npmi) AS score FROM npmi GROUP BY ALL)",
+                                  "best AS (SELECT step, score FROM scores ORDER BY score DESC, step LIMIT 1)",
+                                  select=f"SELECT CAST(step AS INT) AS step, round(score, 6) AS score, CAST(topic_id % {K} AS INT) AS topic_id, rank, term_id FROM topics JOIN best ON step = topic_id // {K}"))
+def best_snapshot(spark, sf):
+    v, counts = uni_tables(spark, sf)
+    each = v.select("term_id", "term", F.explode(F.sequence(F.lit(0), F.lit(K * STEPS - 1))).alias("topic_id"))
+    name = F.when(F.col("topic_id") % K == 0, F.lit(0)).otherwise(F.col("topic_id"))
+    lists = M.top_terms(each.select("topic_id", "term_id", hash_unit(F.concat_ws(":", name, "term")).alias("weight")), N)
+    seen = stage(lists.select(F.floor(F.col("topic_id") / K).cast("int").alias("step"), (F.col("topic_id") % K).alias("topic_id"), "rank", "term_id"), "snapshots")
+    scores = stage(M.snapshot_scores(C.incidence(counts), seen, _n_docs(spark, sf), N), "scores")
+    return M.best_snapshot(seen, scores).withColumn("score", r(F.col("score")))
+
+
+# --- topic initialisation from stored factors ----------------------------------------------------
+
+_THETA = HASH("concat_ws(':', 'theta', doc_id, topic_id)")
+_HELD = [x.replace("FROM uc ", "FROM ed ").replace("SELECT count(*) AS nd FROM docs", "SELECT count(DISTINCT doc_id) AS nd FROM ed") for x in (_PAIRS, _NPMI)]
+CFG = TopicConfig(num_topics=TOPICS, eval_words=N, lda_alpha=5.0, eval_share=SHARE, eval_iterations=ROUNDS, eval_tolerance=TOLERANCE)
+INIT_SQL = [
+    *FACTORS, *TOPIC_LISTS[len(UNI):], "bw AS (SELECT term_id, topic_id AS k, weight AS b FROM weights)",
+    f"ed AS (SELECT * FROM uc WHERE CAST('0x' || substr(md5(concat_ws(':', 42, doc_id)), 1, 8) AS BIGINT) / 4294967296.0 < {SHARE})",
+    *_rounds("ed", "bw", 1.0, TOPICS, ROUNDS, TOLERANCE), *_HELD, _HOLD, _EDGES, _WALK,
+    f"ldat AS (SELECT doc_id, topic_id, {_THETA} AS x FROM (SELECT DISTINCT doc_id FROM uc), (SELECT unnest(range({TOPICS}))::INT AS topic_id))",
+    "bs AS (SELECT topic_id, term_id, weight * bm AS x FROM weights, bm)", "lastterm AS (SELECT max(term_id) AS m FROM uvocab)"]
+
+
+@query("topic_init_tables", "WITH RECURSIVE " + ",\n".join(INIT_SQL) + f"""
+SELECT 'beta_scaled' AS what, topic_id AS topic, count(*) AS n, max(term_id) AS last, round(sum(x), 3) AS total FROM bs GROUP BY topic_id
+UNION ALL SELECT 'topic_word', topic_id, count(*), max(term_id), round(sum(x + 1e-6), 3) FROM bs, lastterm WHERE term_id < m GROUP BY topic_id
+UNION ALL SELECT 'theta_scaled', topic_id, count(*), max(doc_id), round(sum(x * tm), 3) FROM ldat, tm GROUP BY topic_id
+UNION ALL SELECT 'eval_theta', k, count(*), max(doc_id), round(sum(g / a), 3) FROM w{ROUNDS} GROUP BY k
+UNION ALL SELECT 'top_terms', topic_id, count(*), max(term_id), CAST(sum(rank) AS DOUBLE) FROM topics GROUP BY topic_id
+UNION ALL SELECT 'npmi_mean', -1, 1, -1, (SELECT round(avg(npmi), 6) + 0.0::DOUBLE FROM npmi)
+UNION ALL SELECT 'tu_mean', -1, 1, -1, (SELECT round(sum(1.0::DOUBLE / h) / {N * TOPICS}, 6) FROM held)
+UNION ALL SELECT 'to', -1, 1, -1, (SELECT {_SCORE} FROM walk)
+UNION ALL SELECT 'entire_overlaps', -1, 1, -1, (SELECT CAST(count(*) FILTER (size = {N}) AS DOUBLE) FROM walk)""")
+def topic_init_tables(spark, sf):
+    """Everything that initialisation makes of stored factors and topics: sums, numbers of rows and last ids by topic, and
+    the metrics. A share of the documents is held out; the last term goes, as it does by default."""
+    v, counts, theta, beta = state(spark, sf)
+    ks = F.sequence(F.lit(0), F.lit(TOPICS - 1))
+    mixtures = counts.select("doc_id").distinct().select("doc_id", F.transform(ks, lambda k: hash_unit(F.concat_ws(":", F.lit("theta"), "doc_id", k))).alias("theta"))
+    out = init_topics(counts, v, CFG, (theta, beta), (weights(v).drop("term"), mixtures))
+    total = lambda x: (F.count("*").alias("n"), F.max("id").alias("last"), r(F.sum(x), 3).alias("total"))
+    by_topic = lambda what, df, x: df.groupBy(F.col("topic_id").alias("topic")).agg(*total(x)).select(
+        F.lit(what).alias("what"), F.col("topic").cast("bigint").alias("topic"), "n", F.col("last").cast("bigint").alias("last"), F.col("total").cast("double").alias("total"))
+    long = lambda df: df.select(F.col("doc_id").alias("id"), F.posexplode("theta").alias("topic_id", "x"))
+    word = lambda df: df.withColumnRenamed("term_id", "id")
+    rows = [by_topic("beta_scaled", word(out.beta_scaled), "weight"), by_topic("topic_word", word(out.topic_word), "weight"),
+            by_topic("theta_scaled", long(out.theta_scaled), "x"), by_topic("eval_theta", long(out.eval_theta), "x"), by_topic("top_terms", word(out.topics), "rank")]
+    metric = out.metrics.select(F.explode(F.array(*[F.struct(F.lit(c).alias("what"), r(F.col(f"`{c}`").cast("double")).alias("total"))
+                                                    for c in ("npmi_mean", "tu_mean", "to", "entire_overlaps")])).alias("m"))
+    minus = F.lit(-1).cast("bigint")
+    rows.append(metric.select("m.what", minus.alias("topic"), F.lit(1).cast("bigint").alias("n"), minus.alias("last"), "m.total"))
+    return reduce(DataFrame.unionByName, rows)

@@ -6,7 +6,9 @@ from pyspark.sql import functions as F
 
 from rostrum.functions import text as T
 from rostrum.operators import align, counts as C, ids, procedural as P, vocabulary as V
-from rostrum.plans.stage import stage
+from rostrum.plans import sinks
+from rostrum.plans.stage import new_path, stage
+from rostrum.sources import tables
 
 from .fixtures import (BIAS, COUNTS, DOCS, GRAMS1, HASH, MAX_DF, MIN_AUTHORS, MIN_DF, MODEL, OVERLAP, PASS2, SHORT, STATS, STOP, VOCAB,
                        docs, hash_unit, sql_deoverlap, sql_grams, sql_tokens, table)
@@ -82,6 +84,17 @@ def vocab_json(spark, sf):
     return V.vocab_json(vocabulary(docs(spark, sf, write=True)))
 
 
+@query("vocab_json_parts", with_ctes(*VOCAB, select="""SELECT '{' AS line, -1 AS place UNION ALL
+ SELECT '  "' || term || '": ' || term_id || CASE WHEN term_id < (SELECT max(term_id) FROM vocab) THEN ',' ELSE '' END, term_id FROM vocab
+ UNION ALL SELECT '}', max(term_id) + 1 FROM vocab"""))
+def vocab_json_parts(spark, sf):
+    """The JSON lines in the order of the part files, numbered by their place in them."""
+    path = new_path(spark, "vocab-json")
+    sinks.write_vocab_json_parts(vocabulary(docs(spark, sf, write=True), staged=True), path)
+    lines = tables._lines(spark, path).withColumnRenamed("line_no", "at")
+    return ids.range_ids(lines, "at", "place").select(F.col("value").alias("line"), (F.col("place") - 1).alias("place"))
+
+
 @query("overlap_map", with_ctes(*VOCAB, OVERLAP, select="SELECT term_id, CAST(n AS INT) AS n, sub_id, CAST(sub_n AS INT) AS sub_n, before FROM overlap"))
 def overlap_map(spark, sf):
     return C.overlap_map(vocabulary(docs(spark, sf, write=True), staged=True)).select("term_id", "n", "sub_id", "sub_n", "before")

@@ -14,7 +14,8 @@ Two engines share the same updates:
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 import numpy as np
@@ -27,6 +28,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from ..functions import kernels
 from ..functions.special import array_sum, digamma, dot, gamma_geo_mean, gamma_mean, gammaln
 from ..plans.stage import by_key, work_dir
+from ..plans.versions import Version, Versions
 from .counts import packed_docs
 
 # Workers get the helpers inside the task closure, so the package need not be installed on them.
@@ -185,25 +187,90 @@ class Fit:
         self.theta, self.beta, self.bounds = theta, beta, bounds
 
 
+class Store:
+    """Snapshots of one fit: the factor tables after a step, whole or absent (see :mod:`..plans.versions`)."""
+
+    def __init__(self, spark: SparkSession, path: str, counts: DataFrame, num_terms: int, k: int, seeds: Sequence[int], every: int):
+        got = counts.agg(F.count("*").alias("n"), F.sum(F.xxhash64("doc_id", "term_id", "cnt").cast("decimal(38,0)")).alias("s")).first()
+        self.fit = {"terms": num_terms, "topics": k, "seeds": list(seeds), "counts": [got.n, str(got.s)]}
+        self.versions, self.every = Versions(spark, f"{path}/topics-{k}-seeds-{'-'.join(map(str, seeds))}"), every
+
+    def latest(self) -> Version | None:
+        """The last whole step of this very fit; snapshots of another one raise."""
+        found = self.versions.latest()
+        if found and found.about["fit"] != self.fit:
+            raise ValueError(f"the snapshots below {self.versions.path} belong to another fit: {found.about['fit']} instead of {self.fit}")
+        return found
+
+    def save(self, step: int, theta: DataFrame, beta: DataFrame, bounds: list) -> None:
+        self.versions.publish({"theta": theta, "beta": beta}, {"fit": self.fit, "step": step, "bounds": bounds}, number=step)
+
+
 def fit(counts: DataFrame, num_terms: int, num_topics: int = 50, seeds: Sequence[int] = DEFAULT_SEEDS, steps: int = 300,
-        elbo_every: int = 50, checkpoint_every: int = 10, broadcast_limit: int = BROADCAST_LIMIT) -> Fit:
+        elbo_every: int = 50, checkpoint_every: int = 10, broadcast_limit: int = BROADCAST_LIMIT, store: str | None = None,
+        store_every: int = 50, on_step: Callable[[int], None] | None = None) -> Fit:
     """Fit all seeds; the bound is taken every ``elbo_every`` steps and at the last one.
 
     Document state stays partitioned and cached; every ``checkpoint_every`` steps it goes to the shared
-    checkpoint folder, so a lost executor recomputes a few steps at most.
+    checkpoint folder, so a lost executor recomputes a few steps at most. With ``store``, a folder that
+    outlives the session, the factors are kept every ``store_every`` steps and after the last one, and a
+    fit that finds snapshots of its own there goes on from the last of them. ``on_step`` is told every
+    step that is done.
     """
     spark = counts.sparkSession
     per_seed = num_terms * num_topics * 8
+    done = on_step or (lambda step: None)
+    kept = lambda group: Store(spark, store, counts, num_terms, num_topics, group, store_every) if store else None
     if per_seed > broadcast_limit:
-        return _fit_relational(counts, num_terms, num_topics, seeds, steps, elbo_every, checkpoint_every)
+        return _fit_relational(counts, num_terms, num_topics, seeds, steps, elbo_every, checkpoint_every, kept(seeds), done)
     width = max(1, broadcast_limit // per_seed)
     packed = packed_docs(by_key(counts, "doc_id")).persist(StorageLevel.MEMORY_AND_DISK)
-    fits = [_fit_packed(spark, packed, num_terms, num_topics, list(seeds[i:i + width]), steps, elbo_every, checkpoint_every)
-            for i in range(0, len(seeds), width)]
+    groups = [list(seeds[i:i + width]) for i in range(0, len(seeds), width)]
+    fits = [_fit_packed(spark, packed, num_terms, num_topics, g, steps, elbo_every, checkpoint_every, kept(g), done) for g in groups]
     packed.unpersist()
     return Fit(*[reduce(DataFrame.unionByName, [getattr(f, part) for f in fits]) for part in ("theta", "beta", "bounds")])
 
 
+class SeedsFailed(RuntimeError):
+    """Some seeds of :func:`fit_seeds` failed; ``failures`` has the error of each, ``fits`` the others' results."""
+
+    def __init__(self, failures: dict[int, Exception], fits: dict[int, Fit]):
+        super().__init__(f"factorisation failed for seeds {', '.join(map(str, failures))}")
+        self.failures, self.fits = failures, fits
+
+
+def fit_seeds(counts: DataFrame, num_terms: int, num_topics: int = 50, seeds: Sequence[int] = DEFAULT_SEEDS, steps: int = 300,
+              store: str | None = None, parallel: int = 2, **settings) -> dict[int, Fit]:
+    """Fit every seed by itself, at most ``parallel`` at once; further ``settings`` as for :func:`fit`.
+
+    Each seed's jobs form a group in a scheduler pool of their own, so seeds share the cluster evenly under
+    the fair scheduler. A seed that fails does not stop the others; failures are raised together at the
+    end. With ``store``, seeds go on from their last snapshot, and those that are finished are only read.
+    """
+    from pyspark import inheritable_thread_target
+
+    spark = counts.sparkSession
+    fits: dict[int, Fit] = {}
+    failures: dict[int, Exception] = {}
+
+    def one(seed: int) -> None:
+        sc = spark.sparkContext
+        sc.setJobGroup(f"factorisation-seed-{seed}", f"factorisation, seed {seed}", interruptOnCancel=True)
+        sc.setLocalProperty("spark.scheduler.pool", f"seed-{seed}")
+        try:
+            fits[seed] = fit(counts, num_terms, num_topics, [seed], steps, store=store, **settings)
+        except Exception as e:
+            failures[seed] = e
+            sc.cancelJobGroup(f"factorisation-seed-{seed}")
+
+    with ThreadPoolExecutor(max_workers=parallel) as pool:
+        for running in [pool.submit(inheritable_thread_target(spark)(one), s) for s in dict.fromkeys(seeds)]:
+            running.result()
+    if failures:
+        raise SeedsFailed({s: failures[s] for s in seeds if s in failures}, fits)
+    return fits
+
+
 def _terms(spark: SparkSession, num_terms: int) -> DataFrame:
     return spark.range(num_terms).withColumnRenamed("id", "term_id")
 
@@ -220,17 +287,23 @@ def _term_arrays(beta: DataFrame, seeds: list[int], num_terms: int, k: int):
     return shape, rate, prior
 
 
-def _fit_packed(spark, packed, num_terms, k, seeds, steps, elbo_every, checkpoint_every) -> Fit:
+def _fit_packed(spark, packed, num_terms, k, seeds, steps, elbo_every, checkpoint_every, store, done) -> Fit:
     work_dir(spark)
     s0 = prior_shape(k)
     slot = {s: i for i, s in enumerate(seeds)}
     per_seed = lambda m: m.reshape(len(seeds), num_terms, k)
-    start = init_state(packed.withColumnRenamed("doc_id", "id"), "id", "document", seeds, k)
-    state = start.select(F.lit(0).cast("tinyint").alias("kind"), *_STATE.fieldNames()[1:]).persist(StorageLevel.MEMORY_AND_DISK)
-    shape, rate, prior = _term_arrays(init_state(_terms(spark, num_terms), "term_id", "topic", seeds, k), seeds, num_terms, k)
+    old = store.latest() if store else None
+    if old:
+        begin = packed.withColumnRenamed("doc_id", "id").join(old.read(spark, "theta").withColumnRenamed("doc_id", "id"), "id")
+        topics, bounds, first = old.read(spark, "beta"), [tuple(x) for x in old.about["bounds"]], old.about["step"] + 1
+    else:
+        begin = init_state(packed.withColumnRenamed("doc_id", "id"), "id", "document", seeds, k)
+        topics, bounds, first = init_state(_terms(spark, num_terms), "term_id", "topic", seeds, k), [], 0
+    state = begin.select(F.lit(0).cast("tinyint").alias("kind"), *_STATE.fieldNames()[1:]).persist(StorageLevel.MEMORY_AND_DISK)
+    shape, rate, prior = _term_arrays(topics, seeds, num_terms, k)
     schema = to_arrow_schema(_STATE)
-    bounds, held = [], []
-    for step in range(steps):
+    held = []
+    for step in range(first, steps):
         with_elbo = step % elbo_every == 0 or step == steps - 1
         geo = np.exp(kernels.digamma(shape)) / rate
         bc = spark.sparkContext.broadcast((geo, per_seed(shape / rate).sum(axis=1)))
@@ -272,11 +345,17 @@ def _fit_packed(spark, packed, num_terms, k, seeds, steps, elbo_every, checkpoin
         else:
             state.unpersist()
             state = new
-    theta = state.select("seed", F.col("id").alias("doc_id"), "shape", "rate", "prior_rate")
-    return Fit(theta, _beta_table(spark, seeds, num_terms, shape, rate, prior),
+        if store and (last or step % store.every == 0):
+            store.save(step, _documents(state), _beta_table(spark, seeds, num_terms, shape, rate, prior), bounds)
+        done(step)
+    return Fit(_documents(state), _beta_table(spark, seeds, num_terms, shape, rate, prior),
                spark.createDataFrame(bounds, "seed int, step int, elbo double"))
 
 
+def _documents(state: DataFrame) -> DataFrame:
+    return state.filter("kind = 0").select("seed", F.col("id").alias("doc_id"), "shape", "rate", "prior_rate")
+
+
 def _beta_table(spark, seeds, num_terms, shape, rate, prior) -> DataFrame:
     import pyarrow as pa
 
@@ -291,16 +370,20 @@ def _beta_table(spark, seeds, num_terms, shape, rate, prior) -> DataFrame:
     return spark.createDataFrame(table)
 
 
-def _fit_relational(counts, num_terms, k, seeds, steps, elbo_every, checkpoint_every) -> Fit:
+def _fit_relational(counts, num_terms, k, seeds, steps, elbo_every, checkpoint_every, store, done) -> Fit:
     spark = counts.sparkSession
     work_dir(spark)
     keep = StorageLevel.MEMORY_AND_DISK
-    theta = init_state(counts.select("doc_id").distinct(), "doc_id", "document", seeds, k).select(
-        "seed", "doc_id", "shape", "rate", "prior_rate").persist(keep)
-    beta = init_state(_terms(spark, num_terms), "term_id", "topic", seeds, k).select(
-        "seed", "term_id", "shape", "rate", "prior_rate").persist(keep)
-    bounds = None
-    for step in range(steps):
+    old = store.latest() if store else None
+    if old:
+        theta, beta, bounds, first = old.read(spark, "theta"), old.read(spark, "beta"), [tuple(x) for x in old.about["bounds"]], old.about["step"] + 1
+    else:
+        columns = ("shape", "rate", "prior_rate")
+        theta = init_state(counts.select("doc_id").distinct(), "doc_id", "document", seeds, k).select("seed", "doc_id", *columns)
+        beta = init_state(_terms(spark, num_terms), "term_id", "topic", seeds, k).select("seed", "term_id", *columns)
+        bounds, first = [], 0
+    theta, beta = theta.persist(keep), beta.persist(keep)
+    for step in range(first, steps):
         nz = with_normalizer(counts, theta, beta).persist(keep)
         new_theta = doc_step(nz, theta, beta, k).persist(keep)
         new_beta = topic_step(nz, beta, new_theta, k).persist(keep)
@@ -309,10 +392,12 @@ def _fit_relational(counts, num_terms, k, seeds, steps, elbo_every, checkpoint_e
             new_theta, new_beta = new_theta.checkpoint(), new_beta.checkpoint()
         else:
             new_beta.count()
-        if step % elbo_every == 0 or last:
-            b = elbo(nz, new_theta, new_beta, k).select("seed", F.lit(step).alias("step"), "elbo").checkpoint()
-            bounds = b if bounds is None else bounds.unionByName(b)
-        for old in (nz, theta, beta):
-            old.unpersist()
+        if step % elbo_every == 0 or last:  # one number for each seed
+            bounds += [(x.seed, step, x.elbo) for x in elbo(nz, new_theta, new_beta, k).collect()]
+        for before in (nz, theta, beta):
+            before.unpersist()
         theta, beta = new_theta, new_beta
-    return Fit(theta, beta, bounds)
+        if store and (last or step % store.every == 0):
+            store.save(step, theta, beta, bounds)
+        done(step)
+    return Fit(theta, beta, spark.createDataFrame(bounds, "seed int, step int, elbo double"))

@@ -20,6 +20,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -29,8 +30,9 @@ from pyspark.sql import functions as F
 
 from ..functions import draws
 from ..functions.special import digamma
-from ..plans.stage import remove, written
+from ..plans.stage import remove, stage, written
 from .parts import PART_CELLS, Parts, in_parts
+from .topics import top_terms
 
 cloudpickle.register_pickle_by_value(draws)
 
@@ -50,6 +52,9 @@ class Sampler:
     burn_in: int = 200
     #: Fixed-point steps of each fit of the prior.
     prior_steps: int = 3
+    #: Passes between two snapshots of the topics' first terms (0: none), and the number of those.
+    topics_every: int = 0
+    topic_words: int = 20
 
 
 @dataclass(frozen=True)
@@ -61,6 +66,8 @@ class GibbsFit:
     alpha: list[float]
     beta: float
     num_terms: int
+    #: ``(step, topic_id, rank, term_id)`` of the snapshots, for :func:`..topics.best_snapshot`.
+    snapshots: DataFrame | None = None
 
     def topic_weights(self) -> DataFrame:
         """``(topic_id, term_id, weight)`` for every topic and term; each topic's weights sum to one."""
@@ -187,7 +194,7 @@ def fit(counts: DataFrame, num_terms: int, rules: Sampler = Sampler(), seed: int
     alpha = [rules.alpha / k] * k
     state, state_at = written(start(parts, k, seed), "gibbs-state")
     table, table_at = written(count_tokens(state), "gibbs-counts")
-    totals = _totals(table, k)
+    totals, seen = _totals(table, k), []
     for number in range(1, rules.passes + 1):
         tune = rules.optimize_every and number > rules.burn_in and number % rules.optimize_every == 0
         new, new_at = written(one_pass(parts, state, table, totals, alpha, rules.beta, num_terms, seed, number, bool(tune)), "gibbs-state")
@@ -196,7 +203,11 @@ def fit(counts: DataFrame, num_terms: int, rules: Sampler = Sampler(), seed: int
             histogram = _listed(new, 2).groupBy(F.col("topics").alias("topic"), F.col("terms").alias("size")).agg(F.sum("n").alias("docs"))
             alpha = fit_prior(alpha, histogram, rules.prior_steps)
         totals = _totals(after, k)
+        if rules.topics_every and number % rules.topics_every == 0:
+            heads = top_terms(after.select(F.col("topic").alias("topic_id"), F.col("term_id").cast("bigint").alias("term_id"), F.col("n").alias("weight")), rules.topic_words)
+            seen.append(stage(heads.select(F.lit(number).alias("step"), "topic_id", "rank", "term_id"), "gibbs-topics"))
         for path in (state_at, table_at):
             remove(spark, path)
         state, state_at, table, table_at = new, new_at, after, after_at
-    return GibbsFit(state.filter("kind = 0").select("doc_id", "terms", "topics"), table, alpha, rules.beta, num_terms)
+    return GibbsFit(state.filter("kind = 0").select("doc_id", "terms", "topics"), table, alpha, rules.beta, num_terms,
+                    reduce(DataFrame.unionByName, seen) if seen else None)

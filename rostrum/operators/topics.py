@@ -14,8 +14,9 @@ from pyspark.sql import functions as F
 def top_terms(weights: DataFrame, n: int = 10) -> DataFrame:
     """The n heaviest terms of each topic; equal weights go by term id."""
     w = Window.partitionBy("topic_id").orderBy(F.desc("weight"), "term_id")
-    ranked = weights.withColumn("rank", F.row_number().over(w) - 1)
-    return ranked.filter(F.col("rank") < n).select("topic_id", "rank", "term_id", "weight")
+    # filtered in this form, each task keeps its own n best before terms are shuffled by topic
+    ranked = weights.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= n)
+    return ranked.select("topic_id", (F.col("rank") - 1).alias("rank"), "term_id", "weight")
 
 
 def topic_terms(topics: DataFrame, vocab: DataFrame) -> DataFrame:
@@ -181,6 +182,26 @@ def best_run(metrics: DataFrame, score: Column) -> DataFrame:
     return s.agg(F.max_by("seed", F.struct("score", -F.col("seed"))).alias("seed"), F.max("score").alias("score"))
 
 
+def snapshot_scores(inc: DataFrame, snapshots: DataFrame, num_docs: Column, n: int = 10) -> DataFrame:
+    """``(step, score)``: mean coherence of the topics of every step of a fit.
+
+    ``snapshots(step, topic_id, rank, term_id)``. Lists that occur at several steps are scored once, and all of
+    them in one pass over the incidence rows.
+    """
+    lists = snapshots.filter(F.col("rank") < n).groupBy("step", "topic_id").agg(F.sort_array(F.collect_list(F.struct("rank", "term_id"))).alias("terms"))
+    span = F.lit(snapshots.agg(F.max("topic_id")).first()[0] or 0).cast("bigint") + 1
+    distinct = lists.groupBy("terms").agg(F.min(F.col("step") * span + F.col("topic_id")).alias("list_id"))
+    topics = distinct.select(F.col("list_id").alias("topic_id"), F.explode("terms").alias("t")).select("topic_id", "t.rank", "t.term_id")
+    scores = npmi(pair_cooccurrence(inc, topics, n), num_docs).withColumnRenamed("topic_id", "list_id")
+    return lists.join(distinct, "terms").join(scores, "list_id").groupBy("step").agg(F.avg("npmi").alias("score"))
+
+
+def best_snapshot(snapshots: DataFrame, scores: DataFrame) -> DataFrame:
+    """The topics ``(step, score, topic_id, rank, term_id)`` of the step with the highest score, the first of equal ones."""
+    best = scores.agg(F.max_by("step", F.struct("score", -F.col("step"))).alias("step"), F.max("score").alias("score"))
+    return snapshots.join(F.broadcast(best), "step").select("step", "score", "topic_id", "rank", "term_id")
+
+
 def eval_split(docs: DataFrame, share: float, seed: int = 42) -> DataFrame:
     """Add ``is_eval``: a random but repeatable share of the documents, by a hash of seed and id."""
     h = F.md5(F.concat_ws(":", F.lit(seed), F.col("doc_id")).cast("binary"))

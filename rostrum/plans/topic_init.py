@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import factorization as PF
-from ..operators import lda, scaling, topics
+from ..operators import gibbs, lda, scaling, topics
+from ..operators import variational as VB
 from ..operators.counts import incidence
 from .stage import stage
 
@@ -24,8 +25,14 @@ class TopicConfig:
     lda_beta: float = 0.01
     lda_seed: int = 42
     eval_words: int = 10
+    #: ``em``; ``gibbs``, the collapsed sampler; or ``online``, variational steps on topics cut by term.
     optimizer: str = "em"
     drop_last_term: bool = True
+    #: Share of the documents that the topics are not fitted on: their mixtures are inferred, and coherence is taken over them.
+    eval_share: float = 0.0
+    eval_seed: int = 42
+    eval_iterations: int = 50
+    eval_tolerance: float = 1e-3
 
 
 @dataclass
@@ -39,6 +46,25 @@ class TopicInit:
     beta_scaled: DataFrame
     theta_scaled: DataFrame
     topic_word: DataFrame
+    #: ``(doc_id, theta, rounds)`` of the held-out documents; none without an evaluation share.
+    eval_theta: DataFrame | None = None
+
+
+def _fit_lda(counts: DataFrame, num_terms: int, cfg: TopicConfig) -> tuple[DataFrame, DataFrame]:
+    """``(topic_id, term_id, weight)`` and ``(doc_id, theta)`` of the fitted documents."""
+    k = cfg.num_topics
+    if cfg.optimizer == "gibbs":
+        rules = gibbs.Sampler(k, cfg.lda_alpha, cfg.lda_beta, cfg.lda_iterations)
+        fit = gibbs.fit(counts, num_terms, rules, cfg.lda_seed)
+        return fit.topic_weights(), fit.doc_topics()
+    if cfg.optimizer == "online":
+        fit = VB.fit(counts, num_terms, VB.Online(k), cfg.lda_seed)
+        return fit.topic_weights(), fit.doc_topics(counts).select("doc_id", "theta")
+    if cfg.optimizer != "em":
+        raise ValueError(f"no such optimizer: {cfg.optimizer!r}")
+    features = lda.vectors(counts, num_terms)
+    model = lda.fit_em(features, k, cfg.lda_seed, cfg.lda_iterations, cfg.lda_alpha, cfg.lda_beta)
+    return lda.topic_weights(model, num_terms), lda.doc_topics(model, features)
 
 
 def init_topics(counts: DataFrame, vocab: DataFrame, cfg: TopicConfig = TopicConfig(),
@@ -46,29 +72,34 @@ def init_topics(counts: DataFrame, vocab: DataFrame, cfg: TopicConfig = TopicCon
                 lda_result: tuple[DataFrame, DataFrame] | None = None) -> TopicInit:
     """Initialise topics of one group's ``counts`` and ``vocab``.
 
-    Pass stored ``factors (theta, beta)`` or ``lda_result (weights, theta)`` to skip that stage.
+    Pass stored ``factors (theta, beta)`` or ``lda_result (weights, theta)`` to skip that stage. With an
+    evaluation share, the topics are fitted on the other documents only.
     """
     num_terms = vocab.agg(F.count(F.lit(1)).alias("n")).first().n
     k = cfg.num_topics
     if factors is None:
         fit = PF.fit(counts, num_terms, k, cfg.seeds, cfg.pf_steps)
         factors = fit.theta, fit.beta
+    train = held = counts
+    if cfg.eval_share:
+        split = topics.eval_split(counts, cfg.eval_share, cfg.eval_seed)
+        train, held = (split.filter(c).drop("is_eval") for c in ("not is_eval", "is_eval"))
     if lda_result is None:
-        features = lda.vectors(counts, num_terms)
-        if cfg.optimizer == "em":
-            model = lda.fit_em(features, k, cfg.lda_seed, cfg.lda_iterations, cfg.lda_alpha, cfg.lda_beta)
-        else:
-            model = lda.fit_online(features, k, cfg.lda_seed)
-        lda_result = stage(lda.topic_weights(model, num_terms), "topic_weights"), stage(lda.doc_topics(model, features), "doc_topics")
+        weights, theta = _fit_lda(train, num_terms, cfg)
+        lda_result = stage(weights, "topic_weights"), stage(theta, "doc_topics")
     weights, theta = lda_result
+    eval_theta = None
+    if cfg.eval_share:
+        alpha = [cfg.lda_alpha / k] * k
+        eval_theta = stage(VB.fold_in(held, VB.by_term(weights), alpha, cfg.eval_iterations, cfg.eval_tolerance), "eval_topics")
     top = stage(topics.top_terms(weights, cfg.eval_words), "top_terms")
-    n_docs = counts.agg(F.count_distinct("doc_id").alias("n")).scalar()
-    metrics = topics.topic_metrics(incidence(counts), top, n_docs, k, cfg.eval_words)
+    n_docs = held.agg(F.count_distinct("doc_id").alias("n")).scalar()
+    metrics = topics.topic_metrics(incidence(held), top, n_docs, k, cfg.eval_words)
     means = stage(scaling.scale_factors(*factors), "means")
     beta_scaled = scaling.scaled_beta(weights, means, F.lit(num_terms))
     return TopicInit(*factors, weights, theta, topics.topic_terms(top, vocab), metrics, beta_scaled,
                      scaling.scaled_theta(theta, means),
-                     scaling.topic_word(beta_scaled, F.lit(num_terms), cfg.drop_last_term))
+                     scaling.topic_word(beta_scaled, F.lit(num_terms), cfg.drop_last_term), eval_theta)
 
 
 def init_topics_by_group(counts: DataFrame, vocab: DataFrame, groups: Sequence[str], cfg: TopicConfig = TopicConfig(),

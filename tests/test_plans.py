@@ -134,3 +134,20 @@ def test_dominant_key_still_gives_whole_results(spark):
     st = {r.term: (r.df, r.n_authors) for r in V.term_stats(V.first_pass(d, [], 2)).collect()}
     assert st["same words"] == (1000, 1) and st["again"] == (3000, 51)
     assert S.active_speakers(d, 100).count() == 1000
+
+
+@pytest.mark.parametrize("optimizer", ["gibbs", "online"])
+def test_held_out_share(spark, optimizer):
+    rows = [(d, (d % 2) * 5 + t, 1 + (d + t) % 3) for d in range(60) for t in range(5)]
+    counts = spark.createDataFrame(rows, "doc_id bigint, term_id bigint, cnt bigint")
+    vocab = spark.createDataFrame([(t, f"t{t}", 1) for t in range(10)], "term_id bigint, term string, n int")
+    cfg = TopicConfig(num_topics=2, seeds=(1,), pf_steps=2, lda_iterations=12, lda_alpha=1.0, eval_words=4, optimizer=optimizer, eval_share=0.4)
+    out = init_topics(counts, vocab, cfg)
+    train, held = {r.doc_id for r in out.theta.collect()}, {r.doc_id: r.theta for r in out.eval_theta.collect()}
+    assert 5 < len(held) < 55 and train | set(held) == set(range(60)) and not train & set(held)
+    assert out.weights.count() == 20 and out.topic_word.count() == 18
+    if optimizer == "gibbs":  # the two vocabularies part, and so do the documents never seen
+        side = {d: t[0] > t[1] for d, t in held.items()}
+        assert len({(d % 2, s) for d, s in side.items()}) == 2
+    with pytest.raises(ValueError):
+        init_topics(counts, vocab, TopicConfig(num_topics=2, seeds=(1,), pf_steps=1, optimizer="none"))
