@@ -296,6 +296,33 @@ def test_site_tree_copies(spark):
     assert all(got[f"wrapper/{i}"] == f"Text {word(i)}" for i in range(40)) and got["wrapper/40"].endswith("Inside")
 
 
+def test_site_tree_names_are_a_weight(spark):
+    page = lambda body: f"<html><head><title>t</title></head><body>{body}</body></html>"
+    word = lambda i: "".join(chr(97 + int(d)) for d in str(i))
+    art = lambda i: f"<article><h1>Head {word(i)}</h1><p>Text {word(i)} {word(i * 7)}</p></article>"
+    want = lambda i: f"Head {word(i)}\n\nText {word(i)} {word(i * 7)}"
+    hosts = {
+        # names that mislead: a wrapper, a setting, a paragraph
+        "wrapper": [page(f"<div class='layout with-sidebar'>{art(i)}</div><aside><article><p>Teaser {word(i)}</p></article></aside>") for i in range(20)],
+        "sidebar": [page(f"<div id='sidebar-left' class='widget'>{art(i)}<p class='share'>Share this</p></div>") for i in range(20)],
+        "open": [page(art(i).replace("<article>", "<article class='post comments-open'>") + f"<ol class='commentlist'><li>me {word(i)}</li></ol>"
+                      f"<article class='comment-body' id='comment-{i}'><p>you {word(i)}</p></article>") for i in range(20)],
+        "legal": [page(art(i).replace("<p>", "<p class='legal'>").replace("</article>", "<p class='copyright note'>All rights reserved</p></article>")) for i in range(20)],
+        # names that say nothing: the tree alone finds the article
+        "main": [page(f"<main><div class='ba'>The same strip</div><div class='bb'><h2>Head {word(i)}</h2><p>Text {word(i)} {word(i * 7)}</p></div><div class='bc'>Call 555-{i}</div></main>") for i in range(20)],
+        "plain": [page(f"<div class='xa'><ul><li>One</li><li>Two</li></ul></div><div class='xb'><h2>Head {word(i)}</h2><p>Text {word(i)} {word(i * 7)}</p></div>"
+                       f"<div class='xc'><span>All of it {'here' if i % 9 else 'there'}</span></div>") for i in range(40)],
+        # inside articles: a box that repeats goes, dates and emphasis that repeat stay
+        "inside": [page(art(i).replace("</article>", f"<div class='k'>Read our news</div><p><i>Note</i> {word(i * 3)}</p><div>2024-{i}</div></article>")) for i in range(40)],
+    }
+    rows = [(f"http://{h}.example/{i}", b) for h, all_ in hosts.items() for i, b in enumerate(all_)]
+    got = {r.url[7:].replace(".example", ""): r.main_text for r in sitetree.with_text(spark.createDataFrame(rows, "url string, html string").repartition(5)).collect()}
+    for h, all_ in hosts.items():
+        for i in range(len(all_)):
+            more = {"main": f"\n\nCall 555-{i}", "inside": f"\n\nNote {word(i * 3)}\n\n2024-{i}"}.get(h, "")
+            assert got[f"{h}/{i}"] in (want(i) + more, want(i)) if h == "main" else got[f"{h}/{i}"] == want(i) + more, (h, i, got[f"{h}/{i}"])
+
+
 def test_site_tree_root_stays():
     html = "<html><body><div class='a'><article>text</article></div><div class='b'>other</div></body></html>"
     key = {}
