@@ -59,6 +59,20 @@ def scan_json(spark, sf):
     return transcripts.scan_json(spark, path, "*.txt", lines=True).agg(F.count("raw").alias("n_records"))
 
 
+@query("scan_json_tree", """SELECT 'source=' || source || '/lang=' || lang AS folder, row_number() OVER (PARTITION BY source, lang ORDER BY doc_id) - 1 AS record,
+ md5('{"n": ' || doc_id || ', "text": "' || md5(text) || '"}') AS raw_md5 FROM documents""")
+def scan_json_tree(spark, sf):
+    """Every record of nested folders: where it lies, its place among the records there, and what it says."""
+    path = new_path(spark, "raw-tree")
+    raw = F.concat(F.lit('{"n": '), "doc_id", F.lit(', "text": "'), F.md5(F.col("text").cast("binary")), F.lit('"}')).alias("raw")
+    table(spark, sf, "documents").select("source", "lang", "doc_id", raw).repartitionByRange("source", "lang", "doc_id") \
+        .sortWithinPartitions("source", "lang", "doc_id").select("source", "lang", "raw").write.partitionBy("source", "lang").text(path)
+    rows = transcripts.scan_json(spark, path, "*.txt", lines=True)
+    place = rows.select(F.regexp_extract("file_path", "(source=[^/]+/lang=[^/]+)/", 1).alias("folder"), F.struct("file_path", "record").alias("at"),
+                        F.md5(F.col("raw").cast("binary")).alias("raw_md5"))
+    return ids.range_ids(stage(place, "scanned"), "at", "record", ["folder"]).select("folder", "record", "raw_md5")
+
+
 @query("json_good", f"SELECT 'doc' || doc_id AS file_path FROM documents WHERE NOT ({_BAD})")
 def json_good(spark, sf):
     return transcripts.good_records(_raw(spark, sf)).select("file_path")

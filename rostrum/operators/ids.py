@@ -10,17 +10,20 @@ from pyspark.sql import functions as F
 from ..plans.stage import stage
 
 
-def dense_ids(df: DataFrame, key: str, bucket: Column, out: str, group: Sequence[str] = ()) -> DataFrame:
+def dense_ids(df: DataFrame, key: str, bucket: Column, out: str, group: Sequence[str] = (), bucket_rows: int = 1_000_000) -> DataFrame:
     """Add ``out`` = 0-based rank of the unique ``key`` within ``group``.
 
     ``bucket`` must rise with ``key`` (a prefix of a string, the high part of a number). Rows are
-    ranked inside each bucket; the offsets come from a running sum over one row per bucket. ``df`` is
-    read for the sizes and for the ranks, so stage it first when it is costly.
+    ranked inside each bucket; the offsets come from a running sum over one row per bucket. Where one
+    bucket holds more than ``bucket_rows`` (ids with one prefix), keys are ranked in sampled ranges
+    instead. ``df`` is read for the sizes and for the ranks, so stage it first when it is costly.
     """
     g = list(group)
     b = "__bucket"
+    sizes = stage(df.withColumn(b, bucket).groupBy(*g, b).agg(F.count(F.lit(1)).alias("__n")), "bucket-sizes")
+    if (sizes.agg(F.max("__n")).first()[0] or 0) > bucket_rows:
+        return range_ids(df, key, out, group)
     df = df.withColumn(b, bucket)
-    sizes = df.groupBy(*g, b).agg(F.count(F.lit(1)).alias("__n"))
     before = Window.partitionBy(*g).orderBy(b).rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(*g, b, F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off"))
     ranked = df.withColumn("__rn", F.row_number().over(Window.partitionBy(*g, b).orderBy(key)) - 1)

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import asdict, dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -12,7 +12,9 @@ from ..operators import factorization as PF
 from ..operators import gibbs, lda, scaling, topics
 from ..operators import variational as VB
 from ..operators.counts import incidence
+from ..sources.tables import require_columns
 from .stage import stage
+from .versions import Versions
 
 
 @dataclass(frozen=True)
@@ -102,6 +104,48 @@ def init_topics(counts: DataFrame, vocab: DataFrame, cfg: TopicConfig = TopicCon
                      scaling.topic_word(beta_scaled, F.lit(num_terms), cfg.drop_last_term), eval_theta)
 
 
+def _print(df: DataFrame) -> list:
+    """Rows and a sum of row hashes: the same for the same rows in any order."""
+    got = df.agg(F.count("*").alias("n"), F.sum(F.xxhash64(*df.columns).cast("decimal(38,0)")).alias("s")).first()
+    return [got.n, str(got.s)]
+
+
+def init_topics_stored(counts: DataFrame, vocab: DataFrame, path: str, cfg: TopicConfig = TopicConfig()) -> tuple[TopicInit, list[str]]:
+    """:func:`init_topics` with its two long stages kept below ``path``, and the names of the stages that ran.
+
+    A stage's manifest tells the settings and inputs it was made from. A stage whose manifest agrees is read,
+    any other runs and replaces it; changing the topics' prior leaves the factorisation as it is. Missing
+    columns and empty inputs fail before any stage begins.
+    """
+    require_columns(counts, ("doc_id", "term_id", "cnt"))
+    require_columns(vocab, ("term_id", "term"))
+    inputs = {"counts": _print(counts.select("doc_id", "term_id", "cnt")), "vocab": _print(vocab.select("term_id", "term"))}
+    if not inputs["counts"][0] or not inputs["vocab"][0]:
+        raise ValueError("topics need counts and a vocabulary with rows")
+    spark, ran = counts.sparkSession, []
+    every = {k: list(v) if isinstance(v, (tuple, list)) else v for k, v in asdict(cfg).items()}
+
+    def stored(name: str, settings: tuple[str, ...], tables: tuple[str, str], run) -> tuple[DataFrame, DataFrame]:
+        versions, about = Versions(spark, f"{path}/{name}"), {"settings": {k: every[k] for k in settings}, "inputs": inputs}
+        found = versions.latest()
+        if found is None or found.about != about:
+            found = versions.publish(dict(zip(tables, run())), about)
+            ran.append(name)
+        return tuple(found.read(spark, t) for t in tables)
+
+    def factorise():
+        fit = PF.fit(counts, inputs["vocab"][0], cfg.num_topics, cfg.seeds, cfg.pf_steps)
+        return fit.theta, fit.beta
+
+    def topics_of():
+        train = topics.eval_split(counts, cfg.eval_share, cfg.eval_seed).filter("not is_eval").drop("is_eval") if cfg.eval_share else counts
+        return _fit_lda(train, inputs["vocab"][0], cfg)
+
+    factors = stored("factors", ("num_topics", "seeds", "pf_steps"), ("theta", "beta"), factorise)
+    fitted = stored("topics", ("num_topics", "lda_iterations", "lda_alpha", "lda_beta", "lda_seed", "optimizer", "eval_share", "eval_seed"), ("weights", "theta"), topics_of)
+    return init_topics(counts, vocab, cfg, factors, fitted), ran
+
+
 def init_topics_by_group(counts: DataFrame, vocab: DataFrame, groups: Sequence[str], cfg: TopicConfig = TopicConfig(),
                          group: str = "chamber") -> dict[str, TopicInit]:
     """Initialise the topics of each group (their vocabularies, and so their factors, are apart).

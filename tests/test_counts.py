@@ -193,6 +193,14 @@ def test_wide_blanks_do_not_count_towards_the_length(spark):
     assert {r.doc_id for r in P.short_candidates(docs, 100).collect()} == {1, 2}
 
 
+def test_ids_of_one_prefix(spark):
+    keys = sorted(f"same prefix {i}" for i in range(500))
+    df = spark.createDataFrame([("a", k) for k in keys] + [("b", "zz"), ("b", "same prefix 3")], "g string, speaker string").repartition(4)
+    for rows in (10, 1_000_000):
+        got = sorted((r.g, r.i, r.speaker) for r in ids.dense_ids(df, "speaker", ids.string_bucket("speaker"), "i", ["g"], rows).collect())
+        assert got == [("a", i, k) for i, k in enumerate(keys)] + [("b", 0, "same prefix 3"), ("b", 1, "zz")]
+
+
 def test_ids_of_keys_with_an_outlier(spark):
     keys = [*range(0, 3000, 3), 10**17]
     df = spark.createDataFrame([(g, k) for g in ("a", "b") for k in keys], "g string, doc_id long").repartition(5)

@@ -151,3 +151,24 @@ def test_held_out_share(spark, optimizer):
         assert len({(d % 2, s) for d, s in side.items()}) == 2
     with pytest.raises(ValueError):
         init_topics(counts, vocab, TopicConfig(num_topics=2, seeds=(1,), pf_steps=1, optimizer="none"))
+
+
+def test_stored_stages(spark, tmp_path):
+    from dataclasses import replace
+
+    from rostrum.plans.topic_init import init_topics_stored
+
+    rows = [(d, (d % 2) * 3 + t, 1 + (d + t) % 3) for d in range(20) for t in range(3)]
+    counts = spark.createDataFrame(rows, "doc_id bigint, term_id bigint, cnt bigint")
+    vocab = spark.createDataFrame([(t, f"t{t}", 1) for t in range(6)], "term_id bigint, term string, n int")
+    cfg, path = TopicConfig(num_topics=2, seeds=(1, 2), pf_steps=2, lda_iterations=3, eval_words=3, optimizer="gibbs"), str(tmp_path / "stages")
+    out, ran = init_topics_stored(counts, vocab, path, cfg)
+    assert ran == ["factors", "topics"]
+    again, ran = init_topics_stored(counts.repartition(3), vocab, path, replace(cfg, eval_words=2))
+    assert ran == [] and sorted(map(str, again.beta_scaled.collect())) == sorted(map(str, out.beta_scaled.collect()))
+    assert init_topics_stored(counts, vocab, path, replace(cfg, lda_beta=0.1))[1] == ["topics"]
+    assert init_topics_stored(counts.filter("doc_id > 0"), vocab, path, cfg)[1] == ["factors", "topics"]
+    with pytest.raises(ValueError, match="lacks: cnt"):
+        init_topics_stored(counts.drop("cnt"), vocab, path, cfg)
+    with pytest.raises(ValueError, match="rows"):
+        init_topics_stored(counts, vocab.limit(0), path, cfg)
