@@ -2,16 +2,17 @@
 
 Features are hashed n-grams inside words (with the word's edges), counted once per document. One pass over
 all labelled training rows gives each feature's document counts by class, and from them the log-count
-ratio r = log(p(f|1) / p(f|0)). The ``features`` with the most significant ratios are kept, every document
-becomes the sparse vector of r over the features it has, and logistic regression is fitted on all training
-rows by Spark's distributed optimizer. Scoring is one Arrow pass with a table of weight * r per hash.
+ratio r = log(p(f|1) / p(f|0)). Every feature whose ratio is significant (``least_z`` of its standard
+deviations; no number of features is set) is used, every document becomes the sparse vector of r over the
+features it has, and logistic regression is fitted on all training rows by Spark's distributed optimizer.
+Scoring is one Arrow pass with a table of weight * r per hash.
 
-What goes through the driver is bounded by parameters: ``features`` counts and weights. Labels join the
-texts by broadcast while they are few (``broadcast_labels`` rows, counted first) and by shuffle beyond that.
+What goes through the driver is bounded by the number of buckets, ``2 ** hash_bits`` counts and weights.
+Labels join the texts by broadcast while they are few (``broadcast_labels`` rows, counted first) and by shuffle beyond that.
 
 Defined results: null and empty texts have no features and get the score of the intercept. Rows without a
 label are only scored. If a document has several labels the highest counts; repeated rows count repeatedly.
-Without a training row of each class every score is the smoothed share of class 1. Texts of any length are
+Without a training row of each class, or without a significant feature, every score is the smoothed share of class 1. Texts of any length are
 read whole, in slices.
 """
 
@@ -24,8 +25,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..plans.stage import stage
+from ..plans.stage import new_path, stage
 from .common import strings
 
 
@@ -33,7 +35,8 @@ from .common import strings
 class Rules:
     orders: tuple[int, ...] = (3, 4, 5)
     hash_bits: int = 20
-    features: int = 20_000
+    #: A feature is used where its log-count ratio is at least so many of its standard deviations.
+    least_z: float = 2.0
     reg: float = 1e-4
     steps: int = 60
     folds: int = 5
@@ -106,18 +109,32 @@ def _counts(train: DataFrame, rules: Rules) -> DataFrame:
     return train.mapInArrow(count, "feature long, n1 long, n0 long").groupBy("feature").agg(F.sum("n1").alias("n1"), F.sum("n0").alias("n0"))
 
 
-def _indexed(train: DataFrame, hashes: np.ndarray, rules: Rules) -> DataFrame:
-    """``(label, has)``: positions in ``hashes`` of each row's features; written, since the optimizer reads it often."""
-    known = train.sparkSession.sparkContext.broadcast(hashes)
+def _vectors(train: DataFrame, hashes: np.ndarray, ratios: np.ndarray, rules: Rules) -> DataFrame:
+    """``(label, x)``: each row's features scaled by their ratios; written, since the optimizer reads them often.
+
+    A sparse vector is stored as (type 0, size, indices, values); rows are written in that layout and read back
+    under the vector type, so none of them is built by itself in Python.
+    """
+    from pyspark.ml.linalg import VectorUDT
+
+    spark = train.sparkSession
+    known = spark.sparkContext.broadcast((hashes, ratios))
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        used, scale = known.value
         wanted = np.zeros(1 << rules.hash_bits, bool)
-        wanted[known.value] = True
+        wanted[used] = True
         for batch in batches:
-            has = [np.searchsorted(known.value, features_of(t, rules, wanted)).astype(np.int32) for t in strings(batch.column(0))]
-            yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(has, pa.list_(pa.int32()))], ["label", "has"])
+            has = [np.searchsorted(used, features_of(t, rules, wanted)).astype(np.int32) for t in strings(batch.column(0))]
+            ends = pa.array(np.concatenate(([0], np.cumsum([len(x) for x in has]))).astype(np.int32))
+            flat = np.concatenate([np.zeros(0, np.int32), *has])
+            yield pa.RecordBatch.from_arrays([batch.column(1), pa.ListArray.from_arrays(ends, pa.array(flat)), pa.ListArray.from_arrays(ends, pa.array(scale[flat]))],
+                                             ["label", "indices", "values"])
 
-    return stage(train.mapInArrow(index, "label double, has array<int>"), "toxicity-features")
+    layout = F.struct(F.lit(0).cast("tinyint").alias("type"), F.lit(len(hashes)).alias("size"), "indices", "values")
+    path = new_path(spark, "toxicity-features")
+    train.mapInArrow(index, "label double, indices array<int>, values array<double>").select("label", layout.alias("x")).write.parquet(path)
+    return spark.read.schema(T.StructType([T.StructField("label", T.DoubleType()), T.StructField("x", VectorUDT())])).parquet(path)
 
 
 def fit(docs: DataFrame, labels: DataFrame, rules: Rules = Rules()) -> Model:
@@ -132,27 +149,16 @@ def fit(docs: DataFrame, labels: DataFrame, rules: Rules = Rules()) -> Model:
         return Model(rules, np.zeros(0, np.int64), np.zeros(0), float(np.log((n1 + 1) / (n0 + 1))))
     ratio = F.log((F.col("n1") + 1) / F.lit(total.n1 + 2)) - F.log((F.col("n0") + 1) / F.lit(total.n0 + 2))
     noise = F.sqrt(1 / (F.col("n1") + 1) + 1 / (F.col("n0") + 1))
-    best = (counts.filter("feature >= 0").select("feature", ratio.alias("r"), F.abs(ratio / noise).alias("z"))
-            .orderBy(F.desc("z"), "feature").limit(rules.features).orderBy("feature").collect())
-    hashes, ratios = np.array([x.feature for x in best], np.int64), np.array([x.r for x in best])
-    sparse = _sparse(_indexed(train, hashes, rules), ratios)
-    model = LogisticRegression(maxIter=rules.steps, regParam=rules.reg, standardization=False, featuresCol="x", labelCol="label").fit(sparse)
+    # of 2 ** hash_bits buckets at most
+    used = counts.filter("feature >= 0").select("feature", ratio.alias("r")).filter(F.abs(ratio / noise) >= rules.least_z).orderBy("feature").toArrow()
+    hashes, ratios = (used[c].to_numpy().copy() for c in ("feature", "r"))
+    if not len(hashes):
+        return Model(rules, hashes, ratios, float(np.log((total.n1 + 1) / (total.n0 + 1))))
+    vectors = _vectors(train, hashes, ratios, rules)
+    model = LogisticRegression(maxIter=rules.steps, regParam=rules.reg, standardization=False, featuresCol="x", labelCol="label").fit(vectors)
     return Model(rules, hashes, np.asarray(model.coefficients.toArray()) * ratios, float(model.intercept))
 
 
-def _sparse(data: DataFrame, ratios: np.ndarray) -> DataFrame:
-    """Sparse vectors of the ratios at each row's features."""
-    from pyspark.ml.linalg import SparseVector, VectorUDT
-
-    known = data.sparkSession.sparkContext.broadcast(ratios)
-
-    @F.udf(VectorUDT())
-    def vector(has):
-        return SparseVector(len(known.value), has, known.value[has])
-
-    return data.select("label", vector("has").alias("x"))
-
-
 def score(text: Column, model: Model, spark) -> Column:
     """Probability of label 1."""
     known = spark.sparkContext.broadcast(model)

@@ -3,6 +3,7 @@
 import collections
 import hashlib
 import html
+import math
 import os
 import re
 import zlib
@@ -12,9 +13,10 @@ import numpy as np
 import pytest
 import xxhash
 import zstandard
+from pyspark.sql import functions as F
 
 import corpus_pipeline
-from rostrum.llm import quality
+from rostrum.llm import quality, toxicity
 from rostrum.llm.queries import ORACLES, QUERIES, byte_bpe
 from tools.compare import canonical, database
 
@@ -65,6 +67,35 @@ def test_op1(spark, docs):
         assert not (r.kept and r.base_failed)
 
 
+def judged(raw, z, rules):
+    """Whether the compression bands keep a text, chunk by chunk."""
+    band = [b for b in rules.limits if len(raw) >= b[0]][-1]
+    if not raw or not band[1] <= len(z.compress(raw)) / len(raw) <= band[2]:
+        return False
+    chunks, n = [], rules.chunk_bytes
+    if len(raw) > n:
+        chunks = [raw[i:i + n] for i in range(0, len(raw), n) if i + n <= len(raw)]
+        if len(raw) % n:
+            chunks.append(raw[-n:])
+    odd = [c for c in chunks if not rules.chunk_limits[0] <= len(z.compress(c)) / n <= rules.chunk_limits[1]]
+    return len(odd) <= rules.chunk_share * len(chunks)
+
+
+def test_op1_verdict(spark, docs):
+    """Ratios and verdicts from zstandard alone: the whole text, and chunks of which the last ends at the text's end."""
+    rules, z = quality.Bands(), zstandard.ZstdCompressor(level=quality.Bands().level)
+    rows = {r.doc_id: r for r in QUERIES["op1_compression_bands"](spark, SF).collect()}
+    seen = collections.Counter()
+    for d, text, _ in docs:
+        r, raw = rows[d], text.encode()
+        ratio = len(z.compress(raw)) / len(raw) if raw else None
+        assert r.ratio == ratio if ratio is None else abs(r.ratio - ratio) < 1e-12
+        verdict = not r.base_failed and judged(raw, z, rules)
+        seen[r.kept] += 1
+        assert r.kept == verdict, d
+    assert len(seen) == 2
+
+
 def classes(items, similar):
     parent = list(range(len(items)))
 
@@ -123,6 +154,51 @@ def test_op4(spark, con):
     assert sum(a == b for a, b in held) >= 0.95 * len(held) and {b for _, b in held} == {0, 1}
 
 
+def grams(text, orders=(3, 4, 5), bits=20):
+    """The buckets of a text's character n-grams in Python's own integers; none reaches over white space inside."""
+    m, out = (1 << 64) - 1, set()
+    codes = [32 if ord(c) <= 32 else ord(c) for c in f" {text.lower()} "]
+    for n in orders:
+        for i in range(len(codes) - n + 1):
+            if 32 in codes[i + 1:i + n - 1]:
+                continue
+            h = codes[i]
+            for c in codes[i + 1:i + n]:
+                h = (h * 0x9E3779B97F4A7C15 + c) & m
+            out.add((((h ^ (h >> 29)) * 0xBF58476D1CE4E5B9 + n) & m) >> (64 - bits))
+    return out
+
+
+def test_op4_by_brute_force(spark, docs, con):
+    """Counts, ratios, the choice of features, and scores, document by document."""
+    labels = dict(con.execute("SELECT doc_id, toxic FROM labels WHERE toxic IS NOT NULL").fetchall())
+    has = {d: grams(text or "") for d, text, _ in docs}
+    train = [d for d, _, _ in docs if d in labels and zlib.crc32(str(d).encode()) % 5]
+    counts = [collections.Counter(f for d in train if labels[d] == c for f in has[d]) for c in (0, 1)]
+    size = [sum(labels[d] == c for d in train) for c in (0, 1)]
+    rules, want = toxicity.Rules(least_z=1.5), {}
+    for f in counts[0].keys() | counts[1].keys():
+        n0, n1 = counts[0][f], counts[1][f]
+        r = math.log((n1 + 1) / (size[1] + 2)) - math.log((n0 + 1) / (size[0] + 2))
+        if abs(r) / math.sqrt(1 / (n1 + 1) + 1 / (n0 + 1)) >= rules.least_z:
+            want[f] = r
+    df = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    model = toxicity.fit(df, spark.read.parquet(f"{SF}/labels.parquet").select("doc_id", "toxic"), rules)
+    assert model.hashes.tolist() == sorted(want) and len(want) > 10
+    weights = dict(zip(model.hashes.tolist(), model.weights))
+    # the optimizer's own optimum: the gradient of the penalised loss in each coefficient (weight / ratio) is near nought
+    rows = [(labels[d], [f for f in has[d] if f in want]) for d in train]
+    errors = [1 / (1 + math.exp(-(model.intercept + sum(weights[f] for f in fs)))) - y for y, fs in rows]
+    slope = collections.Counter()
+    for e, (_, fs) in zip(errors, rows):
+        for f in fs:
+            slope[f] += e * want[f] / len(rows)
+    assert max(abs(slope[f] + rules.reg * weights[f] / want[f]) for f in want) < 1e-3 and abs(sum(errors)) / len(rows) < 1e-3
+    got = {r.doc_id: r.s for r in df.select("doc_id", toxicity.score(F.col("text"), model, spark).alias("s")).collect()}
+    for d, _, _ in docs:
+        assert abs(got[d] - 1 / (1 + math.exp(-(model.intercept + sum(weights.get(f, 0.0) for f in has[d]))))) < 1e-9
+
+
 def token_rows(rows):
     from tokenizers import Tokenizer
 
