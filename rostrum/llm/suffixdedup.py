@@ -14,7 +14,8 @@ A byte goes if it lies in a string of ``length`` bytes that also starts in a doc
   document), and the exact comparison of windows answers which of them a smaller document has.
 
 Suffixes that more than ``hot_slices`` slices hold are compared window by window instead of by suffix, which
-spreads them. Windows are compared by 64-bit hashes of their bytes.
+spreads them; beyond ``broadcast_rows`` of them, those of the most slices are. Windows are found by 64-bit hashes
+and compared byte by byte before any is removed, copies of whole texts by their sha256.
 
 Defined results: null and empty texts have no bytes; texts below ``length`` bytes lose nothing. Rows that
 share an id do not remove each other's strings. A null id counts as larger than all others. Of exact copies
@@ -46,8 +47,10 @@ class Rules:
     slice_bytes: int = 8_000_000
     batches: int = 4
     hot_slices: int = 2_000
-    #: Hot suffixes, and hashes of copied texts, that may be broadcast; more are joined or stay unsplit.
+    #: Hot suffixes, and digests of copied texts, that may be broadcast; more digests are joined.
     broadcast_rows: int = 1_000_000
+    #: Most partitions that slices are dealt to; each slice is a group of its own in any case.
+    slice_tasks: int = 50_000
 
 
 NO_ID = (1 << 63) - 1
@@ -277,14 +280,14 @@ class IndexFamily:
         return out.filter("not indexed").select("slice", "shard", "keys")
 
     def hot(self) -> DataFrame:
-        """``(id)`` of suffixes that more than ``hot_slices`` slices hold; call when all batches are kept."""
+        """``(id, n)`` of suffixes that more than ``hot_slices`` slices hold; call when all batches are kept."""
         most = self.rules.hot_slices
 
         def count(batch: pa.Table) -> pa.Table:
             keys, n = np.unique(np.concatenate([_unpack(x.as_py(), np.uint32) for x in batch["keys"]]), return_counts=True)
-            return pa.table({"id": pa.array(keys[n > most].astype(np.int64) | (batch["shard"][0].as_py() << 32))})
+            return pa.table({"id": pa.array(keys[n > most].astype(np.int64) | (batch["shard"][0].as_py() << 32)), "n": pa.array(n[n > most])})
 
-        return union_all([t for _, t in self.levels]).groupBy("shard").applyInArrow(count, "id long")
+        return union_all([t for _, t in self.levels]).groupBy("shard").applyInArrow(count, "id long, n long")
 
 
 # ---- contexts, answers, results
@@ -317,24 +320,55 @@ def _send(folder: str, hot, shards: int, rules: Rules):
     return send
 
 
+def _window_classes(data: np.ndarray, at: np.ndarray, h: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """An order of the windows of ``data`` that begin ``at``, and where in it windows differ from the one before.
+
+    Windows are ordered by their hash ``h``, and neighbours of one hash are compared by their bytes. Where a
+    hash stands for several strings, its windows are ordered by their bytes.
+    """
+    order = np.argsort(h, kind="stable")
+    new = np.concatenate(([True], h[order][1:] != h[order][:-1]))[:len(order)]
+    every = np.lib.stride_tricks.sliding_window_view(data, size) if len(data) >= size else np.zeros((0, size), np.uint8)
+
+    def differ(pairs: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(pairs), bool)
+        for i in range(0, len(pairs), 200_000):
+            p = pairs[i:i + 200_000]
+            out[i:i + 200_000] = (every[at[order[p]]] != every[at[order[p - 1]]]).any(axis=1)
+        return out
+
+    same = np.flatnonzero(~new)
+    odd = same[differ(same)]
+    if len(odd):
+        group = np.cumsum(new) - 1
+        for g in np.unique(group[odd]).tolist():  # one hash of several strings
+            members = np.flatnonzero(group == g)
+            order[members] = order[members][sorted(range(len(members)), key=lambda i: every[at[order[members[i]]]].tobytes())]
+            new[members[1:]] = differ(members[1:])
+    return order, new
+
+
 def _answer(rules: Rules):
     """For every context a bit per window: does a document smaller than the context's least one have it?"""
     def answer(batch: pa.Table) -> pa.Table:
-        hashes, docs, bit, first, cuts = [], [], [], [], [0]
+        hashes, docs, bit, first, cuts, places, shift = [], [], [], [], [0], [], 0
         for sizes, doc, data in zip(*(batch[c].to_pylist() for c in ("sizes", "docs", "data"))):
             sizes = np.frombuffer(sizes, np.uint8).astype(np.int64)
             windows = sizes - rules.length + 1
             h = _string_hashes(np.frombuffer(data, np.uint8), rules.length)
             ends = np.cumsum(windows)
             k = np.arange(ends[-1]) - np.repeat(ends - windows, windows)
-            hashes.append(h[np.repeat(np.cumsum(sizes) - sizes, windows) + k])
+            at = np.repeat(np.cumsum(sizes) - sizes, windows) + k
+            hashes.append(h[at])
+            places.append(at + shift)
+            shift += len(data)
             docs.append(np.repeat(np.frombuffer(doc, np.int64), windows))
             bit.append(k.astype(np.uint32))
             first.append(cuts[-1] + ends - windows)
             cuts.append(cuts[-1] + int(ends[-1]))
         h, d = np.concatenate(hashes), np.concatenate(docs)
-        order = np.argsort(h, kind="stable")
-        new = np.concatenate(([True], h[order][1:] != h[order][:-1]))
+        text = np.frombuffer(b"".join(batch["data"].to_pylist()), np.uint8)
+        order, new = _window_classes(text, np.concatenate(places), h, rules.length)
         least = np.minimum.reduceat(d[order], np.flatnonzero(new))
         smaller = np.empty(len(h), bool)
         smaller[order] = least[np.cumsum(new) - 1] < d[order]
@@ -398,7 +432,7 @@ def remove_repeats(df: DataFrame, doc_id: str = "doc_id", text: str = "text", ru
     shards = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     folder = new_path(spark, "suffix-slices")
     docs = df.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").cast("string").alias("text"), )
-    docs = docs.withColumn("h", F.xxhash64("text"))
+    docs = docs.withColumn("h", F.unhex(F.sha2("text", 256)))
     last = F.coalesce("doc_id", F.lit(NO_ID))
     copies = stage(docs.groupBy("h").agg(F.min(last).alias("least"), F.count("*").alias("n")).filter("n > 1").select("h", "least"), "suffix-copies")
     few = copies.count() <= rules.broadcast_rows
@@ -410,14 +444,13 @@ def remove_repeats(df: DataFrame, doc_id: str = "doc_id", text: str = "text", ru
     number = F.pmod(F.xxhash64("slice"), F.lit(rules.batches))
     n = own.count()
     many = n > rules.hot_slices
-    # reports are few bytes but stand for a slice's work, so every slice gets a partition of its own
-    by_slice = lambda df: df.repartition(max(1, n), "slice").groupBy("slice")
+    # reports are few bytes but stand for a slice's work, so every slice gets a partition of its own while there are not too many
+    by_slice = lambda df: df.repartition(max(1, min(n, rules.slice_tasks)), "slice").groupBy("slice")
     reports = [family.add(suffixes.filter(number == b), keep=many or b + 1 < rules.batches) for b in range(rules.batches)]
     hot = np.zeros(0, np.uint64)
     if many:
-        found = stage(family.hot(), "suffix-hot")
-        if found.count() <= rules.broadcast_rows:
-            hot = np.array([r.id for r in found.collect()], np.int64).astype(np.uint64)
+        heaviest = stage(family.hot(), "suffix-hot").orderBy(F.desc("n"), "id").limit(rules.broadcast_rows)
+        hot = heaviest.select("id").toArrow()["id"].to_numpy().astype(np.uint64)
     hot = spark.sparkContext.broadcast(np.sort(hot))
 
     told = union_all([own, *reports])

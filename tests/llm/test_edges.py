@@ -330,3 +330,54 @@ def test_site_tree_root_stays():
         key |= {e.tag + e.path[-2:]: e.key for e in stack}
     assert sitetree.main_text(html, frozenset(key.values()) - {key["div.b"]}) == "text\n\nother"
     assert sitetree.main_text(html, frozenset(key.values())) == "text"
+
+
+def test_windows_are_compared_by_bytes(monkeypatch):
+    """Hashes of a few bits only: windows that collide are told apart by their bytes."""
+    import pyarrow as pa
+
+    rng = np.random.RandomState(6)
+    rules = suffixdedup.Rules(length=5)
+    whole = suffixdedup._string_hashes
+    monkeypatch.setattr(suffixdedup, "_string_hashes", lambda data, size: whole(data, size) & np.uint64(3))
+    rows, want = [], []
+    windows: dict = {}
+    parts = []
+    for part in range(4):
+        contexts = [bytes(rng.randint(97, 99, rng.randint(5, 12)).astype(np.uint8)) for _ in range(30)]
+        docs = rng.randint(0, 50, 30)
+        parts.append((contexts, docs))
+        for c, d in zip(contexts, docs.tolist()):
+            for i in range(len(c) - 4):
+                windows[c[i:i + 5]] = min(windows.get(c[i:i + 5], d), d)
+        rows.append((np.array([len(c) for c in contexts], np.uint8).tobytes(), docs.astype(np.int64).tobytes(), b"".join(contexts)))
+    for contexts, docs in parts:
+        want.append([sum((windows[c[i:i + 5]] < d) << i for i in range(len(c) - 4)) for c, d in zip(contexts, docs.tolist())])
+    sizes, docs, data = zip(*rows)
+    batch = pa.table({"route": [0] * 4, "slice": list(range(4)), "sizes": list(sizes), "docs": list(docs), "data": list(data)})
+    got = suffixdedup._answer(rules)(batch)
+    assert [np.frombuffer(x, np.uint32).tolist() for x in got["masks"].to_pylist()] == want
+
+
+def test_suffix_levels_with_hot_suffixes(spark):
+    """Small slices, hot suffixes beyond the broadcast limit and few tasks give what plain Python gives."""
+    rng = np.random.RandomState(9)
+    passages = [bytes(rng.randint(97, 123, 120).astype(np.uint8)).decode() for _ in range(6)]
+    texts = [" ".join(passages[rng.randint(0, 6)] if rng.rand() < 0.4 else bytes(rng.randint(97, 123, 90).astype(np.uint8)).decode() for _ in range(rng.randint(1, 6)))
+             for _ in range(150)] + [passages[0]] * 3
+    rows = list(enumerate(texts))
+    first: dict = {}
+    for d, t in rows:
+        for i in range(len(t) - 49):
+            first.setdefault(t[i:i + 50], d)
+    want = {}
+    for d, t in rows:
+        gone = [False] * len(t)
+        for i in range(len(t) - 49):
+            if first[t[i:i + 50]] < d:
+                gone[i:i + 50] = [True] * 50
+        want[d] = "".join(c for c, g in zip(t, gone) if not g)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    for rules in (suffixdedup.Rules(slice_bytes=3000), suffixdedup.Rules(slice_bytes=2000, hot_slices=2, broadcast_rows=5, slice_tasks=3)):
+        got = {r.doc_id: bytes(r.kept).decode() for r in suffixdedup.remove_repeats(df, rules=rules).collect()}
+        assert got == want
