@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from rostrum.functions import text as T
-from rostrum.operators import counts as C, lda, topics as M, vocabulary as V
+from rostrum.operators import counts as C, lda, topics as M, variational as VB, vocabulary as V
 from rostrum.plans.stage import stage
 
 from .fixtures import DOCS, HASH, PASS1, PASS2, STOP, docs, hash_unit, sql_tokens, table
@@ -211,13 +211,19 @@ def lda_em(spark, sf):
     return _top(lda.fit_em(f, K, iterations=20, alpha=5.0, beta=0.01), n, v)
 
 
+def _by_parts(spark, sf):
+    v, counts = uni_tables(spark, sf)
+    n = v.agg(F.count(F.lit(1)).alias("n")).first().n
+    return VB.fit(counts, n, VB.Online(num_topics=K, batches=4)), counts
+
+
 @query("lda_topics")
 def lda_topics(spark, sf):
-    f, n, _ = _features(spark, sf)
-    return lda.topic_weights(lda.fit_online(f, K), n)
+    """Topic weights from the table cut by term; no matrix passes through the driver."""
+    return _by_parts(spark, sf)[0].topic_weights()
 
 
 @query("lda_theta")
 def lda_theta(spark, sf):
-    f, _, _ = _features(spark, sf)
-    return lda.doc_topics(lda.fit_online(f, K), f).select("doc_id", F.posexplode("theta").alias("topic_id", "weight"))
+    fit, counts = _by_parts(spark, sf)
+    return fit.doc_topics(counts).select("doc_id", F.posexplode("theta").alias("topic_id", "weight"))
