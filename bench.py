@@ -20,6 +20,7 @@ HEADLINE = [
     "topic_top_terms", "pair_cooccurrence", "npmi", "topic_overlap_score", "topic_metrics",
     "pf_init", "pf_doc_step", "pf_topic_step", "pf_elbo", "pf_fit", "pf_multi_seed", "scaled_theta",
     "lda_online", "lda_em", "topic_init",
+    "csv_chunks", "ordered_subset_greedy", "lda_gibbs", "lda_eval_theta",
 ]
 
 
