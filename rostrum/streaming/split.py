@@ -12,6 +12,11 @@ from ..functions import text as T
 from ..sources.tables import require_columns
 
 
+def one_table(path: str) -> str:
+    """A glob that matches ``path`` alone, be the table one file or a folder of files; streams take no single file."""
+    return f"{path[:-1]}[{path[-1]}]"
+
+
 def speech_stream(spark: SparkSession, path: str, schema: StructType, fmt: str = "parquet", pattern: str | None = None,
                   required: tuple[str, ...] | None = None, max_files: int | None = None) -> DataFrame:
     """Stream of speech files; the schema is checked for the needed columns before it starts."""
