@@ -9,18 +9,29 @@ from pyspark.sql import functions as F
 
 from .vocabulary import explode_grams, second_pass
 
+#: Characters of text whose counts one task holds: a few hundred thousand rows.
+PART_CHARS = 4_000_000
+
+
+def text_parts(docs: DataFrame) -> int:
+    """Partitions for the counts of ``docs``, by the length of the texts; those of few texts use the cores."""
+    chars = docs.agg(F.sum(F.length("text"))).first()[0] or 0
+    cores = docs.sparkSession.sparkContext.defaultParallelism
+    return max(1, -(-chars // PART_CHARS), min(cores, chars // (PART_CHARS // 16)))
+
 
 def document_term_counts(docs: DataFrame, vocab: DataFrame, n_max: int = 3, group: Sequence[str] = ()) -> DataFrame:
     """``(doc_id, term_id, n, cnt)`` of the vocabulary terms, by the counting analyser.
 
     Rows are placed by document once; everything that follows per document (counting, de-overlap,
     sums, packing) keeps that placement and needs no further shuffle while the vocabulary is
-    broadcast.
+    broadcast. The number of partitions follows the length of the texts, not the shuffled bytes: counts pack
+    so well that few bytes are many rows, and all those sums hold them at once.
     """
     grams = second_pass(docs.select(*group, "doc_id", "text"), n_max)
     rows = explode_grams(grams, [*group, "doc_id"])
     hits = rows.join(vocab.select(*group, "term", "term_id", "n"), [*group, "term"])
-    placed = hits.select(*group, "doc_id", "term_id", "n").repartition("doc_id")
+    placed = hits.select(*group, "doc_id", "term_id", "n").repartition(text_parts(docs), "doc_id")
     return placed.groupBy(*group, "doc_id", "term_id", "n").agg(F.count(F.lit(1)).alias("cnt"))
 
 

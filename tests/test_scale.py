@@ -30,3 +30,24 @@ def test_csv_files_are_written_by_many_tasks(spark, folder, monkeypatch):
     got = {r.doc_id: r.text for r in QUERIES["csv_chunks"](spark, sf).collect()}
     assert got == {i: f'"{text}", x\r\ny' for i, text, *_ in rows}
     assert tasks[0] > 1
+
+
+def test_ids_work_their_keys_out_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("long")
+    def key(x):
+        seen.add(1)
+        return 7 * x
+
+    got = sorted((r.doc_id, r.row_id) for r in ids.export_ids(spark.range(200).select(key("id").alias("doc_id"))).collect())
+    assert got == [(7 * i, i) for i in range(200)] and seen.value == 200
+
+
+def test_counts_are_placed_by_the_length_of_the_texts(spark, monkeypatch):
+    monkeypatch.setattr(C, "PART_CHARS", 1000)
+    d = spark.createDataFrame([(i, "some words said again " * 10) for i in range(100)], "doc_id long, text string")
+    vocab = spark.createDataFrame([(0, "said again", 2), (1, "words", 1)], "term_id long, term string, n int")
+    counts = C.document_term_counts(d, vocab)
+    assert counts.rdd.getNumPartitions() == 22 and {r.cnt for r in counts.collect()} == {10}
+    assert counts.count() == 200
