@@ -45,7 +45,10 @@ def range_ids(df: DataFrame, key: str, out: str, group: Sequence[str] = ()) -> D
     group) give the ranks, which go back to the rows by key.
     """
     g, low = list(group), (1 << 33) - 1
-    keys = df.select(*g, key).repartitionByRange(*g, key).sortWithinPartitions(*g, key)
+    keys = df.select(*g, key)
+    if set(df.columns) == {*g, key}:  # nothing but keys: they are worked out once for the sample, the ranges and the join
+        df = keys = stage(keys, "keys")
+    keys = keys.repartitionByRange(*g, key).sortWithinPartitions(*g, key)
     placed = stage(keys.withColumn("_place", F.monotonically_increasing_id()), "key-ranges").withColumn("_task", F.shiftright("_place", 33))
     before = Window.partitionBy().orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
     starts = placed.groupBy("_task").agg(F.count(F.lit(1)).alias("_n")).select("_task", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
