@@ -134,7 +134,9 @@ def _vectors(train: DataFrame, hashes: np.ndarray, ratios: np.ndarray, rules: Ru
     layout = F.struct(F.lit(0).cast("tinyint").alias("type"), F.lit(len(hashes)).alias("size"), "indices", "values")
     path = new_path(spark, "toxicity-features")
     train.mapInArrow(index, "label double, indices array<int>, values array<double>").select("label", layout.alias("x")).write.parquet(path)
-    return spark.read.schema(T.StructType([T.StructField("label", T.DoubleType()), T.StructField("x", VectorUDT())])).parquet(path)
+    rows = spark.read.schema(T.StructType([T.StructField("label", T.DoubleType()), T.StructField("x", VectorUDT())])).parquet(path)
+    # every step of the optimizer sends one gradient of all features per partition, so there are no more of them than cores
+    return rows.coalesce(spark.sparkContext.defaultParallelism)
 
 
 def fit(docs: DataFrame, labels: DataFrame, rules: Rules = Rules()) -> Model:
