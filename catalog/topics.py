@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from rostrum.functions import text as T
-from rostrum.operators import counts as C, lda, topics as M, variational as VB, vocabulary as V
+from rostrum.operators import counts as C, em, lda, topics as M, variational as VB, vocabulary as V
 from rostrum.plans.stage import stage
 
 from .fixtures import DOCS, HASH, PASS1, PASS2, STOP, docs, hash_unit, sql_tokens, table
@@ -207,8 +207,9 @@ def lda_online(spark, sf):
 
 @query("lda_em")
 def lda_em(spark, sf):
-    f, n, v = _features(spark, sf)
-    return _top(lda.fit_em(f, K, iterations=20, alpha=5.0, beta=0.01), n, v)
+    v, counts = uni_tables(spark, sf)
+    fit = em.fit(counts, v.agg(F.count(F.lit(1)).alias("n")).first().n, K, iterations=20, alpha=5.0, beta=0.01)
+    return M.topic_terms(M.top_terms(fit.topic_weights(), N), v)
 
 
 def _by_parts(spark, sf):

@@ -180,3 +180,51 @@ def fit_mixtures(at, cnt, sizes, beta, alpha, iterations, tolerance, sums, cells
 def _mixture(gamma):
     """exp of the expected log mixture."""
     return np.exp(digamma(gamma) - digamma(gamma.sum(axis=1))[:, None])
+
+
+#: Numbers of one block of shares (counts times topics).
+_BLOCK = 4_000_000
+
+
+def _doc_blocks(sizes: np.ndarray, k: int):
+    """``(first document, end, first count, end)`` of runs of documents with a bounded number of shares."""
+    ends, lo = np.cumsum(sizes), 0
+    while lo < len(sizes):
+        at = int(ends[lo] - sizes[lo])
+        hi = max(lo + 1, int(np.searchsorted(ends, at + _BLOCK // k, side="right")))
+        yield lo, hi, at, int(ends[hi - 1])
+        lo = hi
+
+
+def first_shares(ids, sizes, k, uniform):
+    """A function of a block of documents that gives random shares, from ``uniform(topic, documents, places)``."""
+    def share(lo, hi, a, b):
+        own = sizes[lo:hi]
+        docs = np.repeat(ids[lo:hi], own)
+        places = np.arange(b - a) - np.repeat(np.cumsum(own) - own, own)
+        x = np.column_stack([uniform(j, docs, places) for j in range(k)])
+        return x / x.sum(axis=1)[:, None]
+    share.k = k
+    return share
+
+
+def share_sums(share, cnt, at, sizes, num_terms):
+    """Counts dealt by ``share`` (a function of a block of documents), summed by document and by term."""
+    k = share.k
+    by_doc, by_term = np.zeros((len(sizes), k)), np.zeros((num_terms, k))
+    for lo, hi, a, b in _doc_blocks(sizes, k):
+        x = share(lo, hi, a, b) * cnt[a:b, None]
+        doc = np.repeat(np.arange(hi - lo), sizes[lo:hi])
+        for j in range(k):
+            by_doc[lo:hi, j] = np.bincount(doc, x[:, j], hi - lo)
+            by_term[:, j] += np.bincount(at[a:b], x[:, j], num_terms)
+    return by_doc, by_term
+
+
+def em_step(at, cnt, sizes, docs, terms):
+    """One step of expectation-maximisation: ``docs`` and ``terms`` are the smoothed counts by topic."""
+    def share(lo, hi, a, b):
+        x = terms[at[a:b]] * np.repeat(docs[lo:hi], sizes[lo:hi], axis=0)
+        return x / x.sum(axis=1)[:, None]
+    share.k = docs.shape[1]
+    return share_sums(share, cnt, at, sizes, len(terms))

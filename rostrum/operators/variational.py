@@ -102,20 +102,21 @@ def mixtures(parts: Parts, beta: DataFrame, alpha: Sequence[float], iterations:
     def work(docs: pa.Table, rows: pa.Table) -> pa.Table:
         docs, rows = docs.combine_chunks(), rows.combine_chunks()
         if not docs.num_rows or not rows.num_rows:  # none of the terms has topics: the prior stands
-            ids, gamma, rounds = docs["doc_id"].to_numpy(), np.tile(prior, (docs.num_rows, 1)), np.zeros(docs.num_rows)
+            gamma, rounds = np.tile(prior, (docs.num_rows, 1)), np.zeros(docs.num_rows)
             known, found = np.zeros(0, np.int64), np.zeros((0, len(prior)))
         else:
             known = rows["term_id"].to_numpy()
             order = np.argsort(known)
             known, table = known[order], rows["beta"].chunk(0).flatten().to_numpy().reshape(-1, len(prior))[order]
-            idx, val, ids = docs["idx"].chunk(0), docs["val"].chunk(0), docs["doc_id"].to_numpy()
+            idx, val = docs["idx"].chunk(0), docs["val"].chunk(0)
             terms, sizes = idx.flatten().to_numpy(), np.diff(idx.offsets.to_numpy()).astype(np.int64)
             at = np.minimum(np.searchsorted(known, terms), len(known) - 1)
             cnt = np.where(known[at] == terms, val.flatten().to_numpy(), 0.0)  # terms without topics say nothing
             gamma, rounds, found = kernels.fit_mixtures(at, cnt, sizes, table, prior, iterations, tolerance, sums)
-        out = [(0, ids, gamma, rounds)] + ([(1, known, found, np.zeros(len(known)))] if sums else [])
+        ids = docs["doc_id"].chunk(0) if docs.num_rows else pa.array([], pa.int64())  # may hold a null
+        out = [(0, ids, gamma, rounds)] + ([(1, pa.array(known), found, np.zeros(len(known)))] if sums else [])
         return pa.concat_tables([pa.Table.from_arrays(
-            [pa.array(np.full(len(i), kind, np.int8)), pa.array(i.astype(np.int64)), _vectors(v), pa.array(r.astype(np.int32))], ["kind", "id", "vec", "rounds"])
+            [pa.array(np.full(len(i), kind, np.int8)), i.cast(pa.int64()), _vectors(v), pa.array(r.astype(np.int32))], ["kind", "id", "vec", "rounds"])
             for kind, i, v, r in out])
 
     docs = parts.docs if batch is None else parts.docs.filter(F.col("batch") == batch)

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import factorization as PF
-from ..operators import gibbs, lda, scaling, topics
+from ..operators import em, gibbs, scaling, topics
 from ..operators import variational as VB
 from ..operators.counts import incidence
 from ..sources.tables import require_columns
@@ -64,9 +64,8 @@ def _fit_lda(counts: DataFrame, num_terms: int, cfg: TopicConfig) -> tuple[DataF
         return fit.topic_weights(), fit.doc_topics(counts).select("doc_id", "theta")
     if cfg.optimizer != "em":
         raise ValueError(f"no such optimizer: {cfg.optimizer!r}")
-    features = lda.vectors(counts, num_terms)
-    model = lda.fit_em(features, k, cfg.lda_seed, cfg.lda_iterations, cfg.lda_alpha, cfg.lda_beta)
-    return lda.topic_weights(model, num_terms), lda.doc_topics(model, features)
+    fit = em.fit(counts, num_terms, k, cfg.lda_seed, cfg.lda_iterations, cfg.lda_alpha, cfg.lda_beta)
+    return fit.topic_weights(), fit.doc_topics(counts).select("doc_id", "theta")
 
 
 def init_topics(counts: DataFrame, vocab: DataFrame, cfg: TopicConfig = TopicConfig(),
