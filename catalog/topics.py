@@ -26,7 +26,7 @@ UNI = [DOCS, sql_tokens("tok1", "docs", PASS1, "doc_id, speaker"),
 def uni_vocab(spark, sf, d=None):
     d = docs(spark, sf) if d is None else d
     chosen = V.author_spread(V.df_band(V.term_stats(V.first_pass(d, STOP, 1)), V.doc_total(d), 0.05, 0.75), 5)
-    return stage(V.select_vocabulary(chosen), "vocab")
+    return stage(V.select_vocabulary(stage(chosen, "chosen")), "vocab")
 
 
 def uni_tables(spark, sf):

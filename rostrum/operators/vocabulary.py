@@ -9,12 +9,23 @@ from __future__ import annotations
 import re
 from collections.abc import Callable, Mapping, Sequence
 
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types
 
+from ..functions import grams as G
 from ..functions import text as T
 from .ids import dense_ids, string_bucket
 
+# Workers get the helpers inside the task closure, so the package need not be installed on them.
+cloudpickle.register_pickle_by_value(G)
+
+#: Characters of text whose n-grams one task sums: some two million rows of authors and terms.
+PART_CHARS = 4_000_000
+#: Where the texts are not at hand: characters of text for each n-gram of one to three tokens.
+PARTS_CHARS_A_GRAM = 2
+
 Words = Sequence[str] | Mapping[str, Sequence[str]]
 
 
@@ -77,10 +88,30 @@ def ngrams_from_rows(tokens: DataFrame, n_max: int, sep: str = " ") -> DataFrame
     return explode_grams(tokens.select("doc_id", F.array(*cols).alias("grams")), ["doc_id"])
 
 
+def _placed(grams: DataFrame, group: Sequence[str], distinct: bool) -> DataFrame:
+    """Counts by author and term, combined in each batch of rows and placed by the term: the one shuffle of the statistics.
+
+    Rows are ``(part, *group, speaker, terms, sizes, counts)``. The number of partitions follows the length of the texts, so
+    what a task holds does not grow with the corpus.
+    """
+    keys = [*group, "speaker"]
+    size = F.length("text") if "text" in grams.columns else F.size("grams") * PARTS_CHARS_A_GRAM
+    chars = grams.agg(F.sum(size)).first()[0] or 0
+    parts = max(grams.sparkSession.sparkContext.defaultParallelism if chars > PART_CHARS else 1, -(-chars // PART_CHARS))
+    rows = grams.select(*keys, "grams")
+    out = _schema("part int", rows, keys, "terms string, sizes array<int>, counts array<int>")
+    return rows.mapInArrow(lambda batches: G.combine(batches, keys, distinct, parts), out).repartition(parts, "part")
+
+
+def _schema(before: str, df: DataFrame, columns: Sequence[str], after: str) -> types.StructType:
+    fields = lambda ddl: types.StructType.fromDDL(ddl).fields if ddl else []
+    return types.StructType([*fields(before), *[df.schema[c] for c in columns], *fields(after)])
+
+
 def author_term_counts(grams: DataFrame, group: Sequence[str] = ()) -> DataFrame:
     """Occurrences per author and term (long form)."""
-    rows = explode_grams(grams, [*group, "speaker"])
-    return rows.groupBy(*group, "speaker", "term").agg(F.count(F.lit(1)).alias("cnt"))
+    placed, keys = _placed(grams, group, False), [*group, "speaker"]
+    return placed.mapInArrow(lambda batches: G.by_author(batches, keys), _schema("", placed, keys, "term string, cnt bigint"))
 
 
 def _stats(rows: DataFrame, group: Sequence[str]) -> DataFrame:
@@ -91,10 +122,11 @@ def _stats(rows: DataFrame, group: Sequence[str]) -> DataFrame:
 def term_stats(grams: DataFrame, group: Sequence[str] = ()) -> DataFrame:
     """``(term, df, n_authors)``.
 
-    Terms are made distinct inside each row, so the first shuffle already carries one partial count
-    per author and term and the second one per term.
+    Terms are made distinct inside each row. One shuffle carries them in arrays, with one count per author and
+    term of a batch of rows; documents and authors of a term are summed where it lies.
     """
-    return _stats(explode_grams(grams, [*group, "speaker"], distinct=True), group)
+    placed, group = _placed(grams, group, True), list(group)
+    return placed.mapInArrow(lambda batches: G.by_term(batches, group, "speaker"), _schema("", placed, group, "term string, df bigint, n_authors bigint"))
 
 
 def total_of(sizes: DataFrame, group: Sequence[str] = (), column: str = "n") -> Column:

@@ -1,8 +1,10 @@
 """Vocabulary, counts and de-overlap against small sequential models."""
 
 import random
+import re
 from collections import Counter
 
+import pyarrow.compute  # noqa: F401
 import pytest
 from pyspark.sql import functions as F
 
@@ -62,6 +64,53 @@ def test_level_wise_statistics_equal_one_pass(spark):
     assert one == levels and any(" " in t for t, _, _ in one) and sum(t.count(" ") == 2 for t, _, _ in one)
 
 
+def test_term_statistics_by_group_take_one_shuffle(spark):
+    rng = random.Random(5)
+    rows = [(rng.choice(["h", "s", None]), rng.choice(["x", "y", None, ""]), rng.choice([None, "", " ".join(rng.choice(["al", "be", "al be", "é" * 9, "longer" * 5])
+             for _ in range(rng.randint(1, 30)))])) for _ in range(300)]
+    rows += rows[:40]
+    d = spark.createDataFrame(rows, "chamber string, speaker string, text string")
+    # Tokens may hold the blank that joins n-grams: one term then comes from several lengths, and counts once a row.
+    pattern = "al be|[a-zé]+"
+    tokens = [(c, s, re.findall(pattern, t or "")) for c, s, t in rows]
+    by_author, df, authors = Counter(), Counter(), {}
+    for c, s, tok in tokens:
+        by_author.update((c, s, g) for g in grams(tok, 3))
+        for g in set(grams(tok, 3)):
+            df[c, g] += 1
+            authors.setdefault((c, g), set()).add(s)
+    g = V.first_pass(d, (), 3, pattern)
+    stats, counts = V.term_stats(g, ["chamber"]), V.author_term_counts(g, ["chamber"])
+    got = [tuple(r) for r in stats.collect()]
+    assert sorted(got, key=str) == sorted(((*k, n, len(authors[k])) for k, n in df.items()), key=str)
+    assert sorted((tuple(r) for r in counts.collect()), key=str) == sorted(((*k, n) for k, n in by_author.items()), key=str)
+    for out in (stats, counts):
+        plan = out._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("RepartitionByExpression") == 1 and "Aggregate" not in plan
+    assert V.term_stats(g.filter("text = 'none'")).count() == 0
+
+
+def test_pieces_and_batches_do_not_change_counts():
+    import pyarrow as pa
+
+    from rostrum.functions import grams as G
+
+    rows = [["a", "b", "a", None], None, [], ["a", "ab" * 40], ["b"] * 7]
+    whole = pa.RecordBatch.from_arrays([pa.array(["x", "x", None, "y", "x"]), pa.array(rows, pa.list_(pa.string()))], names=["speaker", "grams"])
+    want = {("x", "a"): 2, ("x", "b"): 8, ("y", "a"): 1, ("y", "ab" * 40): 1}
+    for cut in (1, 3, 100):
+        G.PIECE_GRAMS, before = cut, G.PIECE_GRAMS
+        try:
+            placed = [b for at in range(0, 5, 2) for b in G.combine([whole.slice(at, 2)], ["speaker"], False, 3)]
+        finally:
+            G.PIECE_GRAMS = before
+        got = {}
+        for part in range(3):
+            mine = [b.filter(pa.compute.equal(b["part"], part)) for b in placed]
+            got |= {(r["speaker"], r["term"]): r["cnt"] for b in G.by_author(mine, ["speaker"]) for r in b.to_pylist()}
+        assert got == want
+
+
 def test_results_do_not_depend_on_partitions(spark):
     d = corpus(spark)
     run = lambda df: sorted((r.term, r.df, r.n_authors) for r in V.term_stats(V.first_pass(df, ["al"])).collect())
