@@ -29,7 +29,12 @@ def key_codes(columns: list[pa.Array], n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def buckets(terms: pa.Array, n: int) -> np.ndarray:
-    """A number below ``n`` from the bytes of each term, eight at a time, the same in every task."""
+    """A number below ``n`` for each term, the same in every task."""
+    return (hashes(terms) % np.uint64(n)).astype(np.int64)
+
+
+def hashes(terms: pa.Array) -> np.ndarray:
+    """64 bits from the bytes of each term, eight at a time."""
     terms = pa.concat_arrays([terms]).cast(pa.large_string())
     _, ends, data = terms.buffers()
     ends = np.frombuffer(ends, np.int64, len(terms) + 1)
@@ -47,7 +52,85 @@ def buckets(terms: pa.Array, n: int) -> np.ndarray:
         more = left > 8
         some, at, left = some[more], at[more] + 8, left[more] - 8
     out *= _MIX[0]
-    return ((out ^ (out >> np.uint64(32))) % np.uint64(n)).astype(np.int64)
+    return out ^ (out >> np.uint64(32))
+
+
+def _next(h: np.ndarray, token: np.ndarray) -> np.ndarray:
+    """Hashes of n-grams from those of the (n-1)-grams at the same places and of the tokens behind them."""
+    h = (h * _MIX[0] ^ token) * _MIX[1]
+    return h ^ (h >> np.uint64(31))
+
+
+def term_hashes(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The hash of each term, made of those of its tokens."""
+    for batch in batches:
+        tokens = pc.split_pattern(batch.column(0), " ")
+        size = pc.list_value_length(tokens).to_numpy()
+        for n in np.unique(size):
+            of = tokens.filter(pa.array(size == n)).flatten()
+            each = hashes(of).reshape(-1, n)
+            h = each[:, 0]
+            for i in range(1, n):
+                h = _next(h, each[:, i])
+            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64))], names=["h"])
+
+
+def _among(h: np.ndarray, known: np.ndarray) -> np.ndarray:
+    if not len(known):
+        return np.zeros(len(h), bool)
+    return known[np.minimum(np.searchsorted(known, h), len(known) - 1)] == h
+
+
+def known_grams(batches: Iterable[pa.RecordBatch], keys: list[str], lengths: tuple[int, int], known: np.ndarray | None, parts: bool) -> Iterator[pa.RecordBatch]:
+    """Rows ``(*keys, term, cnt)`` of each row's n-grams, from rows ``(*keys, tokens)``; every term once a row.
+
+    Left out are n-grams whose hash is not among the sorted ``known`` ones or, with ``parts``, that of one of their two
+    (n-1)-grams is not. Equal hashes let some others through, so who calls this compares the terms.
+    """
+    for batch in batches:
+        ends = np.concatenate([[0], np.cumsum(pc.fill_null(pc.list_value_length(batch.column(len(keys))), 0).to_numpy().astype(np.int64))])
+        at = 0
+        while at < len(batch):
+            upto = max(at + 1, int(np.searchsorted(ends, ends[at] + PIECE_GRAMS // lengths[1], "right")) - 1)
+            for columns in _known(batch.slice(at, upto - at), ends[at:upto + 1] - ends[at], keys, lengths, known, parts):
+                yield from _output([*keys, "term", "cnt"], columns)
+            at = upto
+
+
+def _known(batch: pa.RecordBatch, ends: np.ndarray, keys: list[str], lengths: tuple[int, int], known: np.ndarray | None, parts: bool) -> Iterator[list[pa.Array]]:
+    e = batch.column(len(keys)).flatten().dictionary_encode()
+    code = e.indices.to_numpy().astype(np.int64)
+    doc = np.repeat(np.arange(len(batch)), np.diff(ends))
+    token = hashes(e.dictionary)[code]
+    h = before = token
+    for n in range(1, lengths[1] + 1):
+        if n > len(code):
+            return
+        if n > 1:
+            before, h = h, _next(h[:-1], token[n - 1:])
+        if n < lengths[0]:
+            continue
+        there = doc[:len(h)] == doc[n - 1:]
+        if known is not None and parts:
+            sub = _among(before, known)
+            there &= sub[:-1] & sub[1:]
+        elif known is not None:
+            there &= _among(h, known)
+        at = np.flatnonzero(there)
+        if not len(at):
+            continue
+        gram = code[at]
+        for i in range(1, n):
+            gram = np.unique(gram, return_inverse=True)[1] * len(e.dictionary) + code[at + i]
+        _, first, gram = np.unique(gram, return_index=True, return_inverse=True)
+        pair = np.sort(gram * len(batch) + doc[at])
+        starts = np.flatnonzero(np.append(True, pair[1:] != pair[:-1]))
+        counts = np.diff(np.append(starts, len(pair)))
+        pair = pair[starts]
+        words = [e.dictionary.take(pa.array(code[at[first] + i])) for i in range(n)]
+        terms = pc.binary_join_element_wise(*words, " ") if n > 1 else words[0]
+        of = pa.array(pair % len(batch))
+        yield [*[batch.column(i).take(of) for i in range(len(keys))], terms.take(pa.array(pair // len(batch))), pa.array(counts.astype(np.int64))]
 
 
 def _lists(values: np.ndarray, starts: np.ndarray) -> pa.Array:

@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .vocabulary import explode_grams, second_pass
+from ..functions.text import SECOND_PASS_PATTERN
+from .vocabulary import known_grams, with_tokens
 
 #: Characters of text whose counts one task holds: a few hundred thousand rows.
 PART_CHARS = 4_000_000
@@ -28,11 +29,11 @@ def document_term_counts(docs: DataFrame, vocab: DataFrame, n_max: int = 3, grou
     broadcast. The number of partitions follows the length of the texts, not the shuffled bytes: counts pack
     so well that few bytes are many rows, and all those sums hold them at once.
     """
-    grams = second_pass(docs.select(*group, "doc_id", "text"), n_max)
-    rows = explode_grams(grams, [*group, "doc_id"])
+    tokens = with_tokens(docs.select(*group, "doc_id", "text"), SECOND_PASS_PATTERN)
+    rows = known_grams(tokens, [*group, "doc_id"], (1, n_max), vocab)
     hits = rows.join(vocab.select(*group, "term", "term_id", "n"), [*group, "term"])
-    placed = hits.select(*group, "doc_id", "term_id", "n").repartition(text_parts(docs), "doc_id")
-    return placed.groupBy(*group, "doc_id", "term_id", "n").agg(F.count(F.lit(1)).alias("cnt"))
+    placed = hits.select(*group, "doc_id", "term_id", "n", "cnt").repartition(text_parts(docs), "doc_id")
+    return placed.groupBy(*group, "doc_id", "term_id", "n").agg(F.sum("cnt").alias("cnt"))
 
 
 def overlap_map(vocab: DataFrame, group: Sequence[str] = ()) -> DataFrame:

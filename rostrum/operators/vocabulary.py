@@ -25,6 +25,8 @@ cloudpickle.register_pickle_by_value(G)
 PART_CHARS = 4_000_000
 #: Where the texts are not at hand: characters of text for each n-gram of one to three tokens.
 PARTS_CHARS_A_GRAM = 2
+#: Hashes of terms that a task holds; with more terms n-grams are not looked up before they leave the task.
+MAX_KNOWN = 4_000_000
 
 Words = Sequence[str] | Mapping[str, Sequence[str]]
 
@@ -108,6 +110,19 @@ def _schema(before: str, df: DataFrame, columns: Sequence[str], after: str) -> t
     return types.StructType([*fields(before), *[df.schema[c] for c in columns], *fields(after)])
 
 
+def known_grams(docs: DataFrame, keys: Sequence[str], lengths: tuple[int, int], terms: DataFrame, parts: bool = False) -> DataFrame:
+    """``(*keys, term, cnt)`` of the n-grams in ``tokens`` that can be among ``terms``, or with ``parts`` made of two of them.
+
+    Tasks hold eight bytes of hash for each term. Where there are more than ``MAX_KNOWN`` terms nothing is left out here;
+    the result then is larger and what follows, which compares terms, the same.
+    """
+    keys = list(keys)
+    found = terms.select("term").mapInArrow(G.term_hashes, "h bigint").distinct().limit(MAX_KNOWN + 1).toArrow()
+    known = None if len(found) > MAX_KNOWN else G.np.sort(found["h"].to_numpy().view("uint64"))
+    rows = docs.select(*keys, "tokens")
+    return rows.mapInArrow(lambda batches: G.known_grams(batches, keys, lengths, known, parts), _schema("", rows, keys, "term string, cnt bigint"))
+
+
 def author_term_counts(grams: DataFrame, group: Sequence[str] = ()) -> DataFrame:
     """Occurrences per author and term (long form)."""
     placed, keys = _placed(grams, group, False), [*group, "speaker"]
@@ -169,31 +184,21 @@ def build_stats(docs: DataFrame, stopwords: Words, n_max: int, pattern: str, min
     Without ``stage`` it is one pass over all n-grams. With ``stage`` (a function that writes a small
     table) it goes length by length: an n-gram is counted only where both of its (n-1)-grams passed,
     since neither its document frequency nor its author spread can be larger than theirs. The surviving
-    terms are few (at most distinct terms per document / min_df), so each lookup is a broadcast chosen
-    from the staged size, and the wide n-gram shuffle of rare terms never happens.
+    terms are few (at most distinct terms per document / min_df), so tasks look up their hashes, and the
+    wide n-gram shuffle of rare terms never happens. Hashes may be equal by chance; bounds are then tested on counts.
     """
     if stage is None or " " in "".join(re.findall(pattern, "a b")):
         return term_stats(first_pass(docs, stopwords, n_max, pattern), group)
     total = doc_total(docs, group) if total is None else total
     keep = lambda s: author_spread(df_band(s, total, min_df, float("inf")), min_authors)
-    df = with_tokens(docs.select(*group, "speaker", "text"), pattern, stopwords).drop("text")
-    keys = [*group, "speaker"]
-    rows = explode_grams(df, keys, True, "tokens")
-    level = stage(keep(_stats(rows, group)), "terms1")
+    df = with_tokens(docs.select(*group, "speaker", "text"), pattern, stopwords)
+    level = stage(keep(term_stats(df.withColumnRenamed("tokens", "grams"), group)), "terms1")
     out = level
-    prev = "tokens"
     for n in range(2, n_max + 1):
-        name = f"__g{n}"
-        df = df.withColumn(name, T.join_next(F.col(prev), F.col("tokens"), n, " "))
-        rows = explode_grams(df, keys, True, name)
-        # Its two (n-1)-grams: all but the last token, and all but the first.
-        rows = (rows.withColumn("head", F.substring_index("term", " ", n - 1))
-                .withColumn("tail", F.substring_index("term", " ", 1 - n)))
-        for side in ("head", "tail"):
-            rows = rows.join(level.select(*group, F.col("term").alias(side)), [*group, side], "left_semi")
-        level = stage(keep(_stats(rows.drop("head", "tail"), group)), f"terms{n}")
+        # An n-gram's two (n-1)-grams: all but the last token, and all but the first.
+        rows = known_grams(df, [*group, "speaker"], (n, n), level, parts=True)
+        level = stage(keep(_stats(rows, group)), f"terms{n}")
         out = out.unionByName(level)
-        prev = name
     return out
 
 
