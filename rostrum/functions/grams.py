@@ -154,19 +154,48 @@ def _parted(strings: pa.Array, sizes: np.ndarray) -> pa.Array:
     return pa.LargeStringArray.from_buffers(len(sizes), pa.py_buffer(start + np.append(0, np.cumsum(sizes))), data)
 
 
-def combine(batches: Iterable[pa.RecordBatch], keys: list[str], distinct: bool, parts: int) -> Iterator[pa.RecordBatch]:
-    """Rows ``(part, *keys, terms, sizes, counts)`` from rows ``(*keys, grams)``; ``distinct`` counts a term once per row."""
+def combine(batches: Iterable[pa.RecordBatch], keys: list[str], distinct: bool, parts: int, n_max: int = 1, sep: str = " ") -> Iterator[pa.RecordBatch]:
+    """Rows ``(part, *keys, terms, sizes, counts)`` from rows ``(*keys, grams)``; ``distinct`` counts a term once per row.
+
+    With ``n_max`` the rows hold tokens, and their n-grams up to that length are formed here.
+    """
     for batch in batches:
         grams = batch.column(len(keys))
         ends = np.concatenate([[0], np.cumsum(pc.fill_null(pc.list_value_length(grams), 0).to_numpy().astype(np.int64))])
         at = 0
         while at < len(batch):
-            upto = max(at + 1, int(np.searchsorted(ends, ends[at] + PIECE_GRAMS, "right")) - 1)
-            yield from _piece(batch.slice(at, upto - at), ends[at:upto + 1] - ends[at], keys, distinct, parts)
+            upto = max(at + 1, int(np.searchsorted(ends, ends[at] + PIECE_GRAMS // n_max, "right")) - 1)
+            yield from _piece(batch.slice(at, upto - at), ends[at:upto + 1] - ends[at], keys, distinct, parts, n_max, sep)
             at = upto
 
 
-def _piece(batch: pa.RecordBatch, ends: np.ndarray, keys: list[str], distinct: bool, parts: int) -> Iterator[pa.RecordBatch]:
+def _formed(tokens: pa.Array, code: np.ndarray, doc: np.ndarray, n_max: int, sep: str) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """Terms, and the term and row of each n-gram, from those of each token."""
+    terms, codes, docs, gram = [tokens], [code], [doc], code
+    total = len(tokens)
+    for n in range(2, n_max + 1):
+        there = doc[:-1][:max(0, len(code) - n + 1)] == doc[n - 1:]
+        # Pieces of one row hold together, so an n-gram's first n-1 tokens are an (n-1)-gram: `gram` at the same place.
+        mixed = (gram[:len(there)] * len(tokens) + code[n - 1:])[there]
+        if not len(mixed):
+            break
+        _, first, found = np.unique(mixed, return_index=True, return_inverse=True)
+        at = np.flatnonzero(there)
+        words = [tokens.take(pa.array(code[at[first] + i])) for i in range(n)]
+        terms.append(pc.binary_join_element_wise(*words, sep))
+        codes.append(found + total)
+        docs.append(doc[:len(there)][there])
+        total += len(first)
+        gram = np.zeros(len(there), np.int64)
+        gram[at] = found
+    all_terms, code = pa.concat_arrays(terms), np.concatenate(codes)
+    if pc.any(pc.match_substring(tokens, sep)).as_py():  # a term may then come from several lengths
+        e = all_terms.dictionary_encode()
+        all_terms, code = e.dictionary, e.indices.to_numpy().astype(np.int64)[code]
+    return all_terms, code, np.concatenate(docs)
+
+
+def _piece(batch: pa.RecordBatch, ends: np.ndarray, keys: list[str], distinct: bool, parts: int, n_max: int, sep: str) -> Iterator[pa.RecordBatch]:
     n = len(batch)
     key, first = key_codes([batch.column(i) for i in range(len(keys))], n)
     e = batch.column(len(keys)).flatten().dictionary_encode()
@@ -175,12 +204,15 @@ def _piece(batch: pa.RecordBatch, ends: np.ndarray, keys: list[str], distinct: b
     code, doc = e.indices.drop_null().to_numpy().astype(np.int64), doc[there]
     if not len(code):
         return
+    words = e.dictionary
+    if n_max > 1:
+        words, code, doc = _formed(words, code, doc, n_max, sep)
     if distinct:
         pair = np.sort(code * n + doc)
         pair = pair[np.append(True, pair[1:] != pair[:-1])]
         code, doc = pair // n, pair % n
-    place = buckets(e.dictionary, parts)
-    rank = np.empty(len(e.dictionary), np.int64)
+    place = buckets(words, parts)
+    rank = np.empty(len(words), np.int64)
     rank[np.argsort(place, kind="stable")] = np.arange(len(rank))
     # One sort for the order of rows (part, key) and the sums by term in it.
     k, width = len(first), len(rank)
@@ -191,7 +223,7 @@ def _piece(batch: pa.RecordBatch, ends: np.ndarray, keys: list[str], distinct: b
     row = both // width
     back = np.empty(width, np.int64)
     back[rank] = np.arange(width)
-    terms = e.dictionary.take(pa.array(back[both % width]))
+    terms = words.take(pa.array(back[both % width]))
     heads = np.flatnonzero(np.append(True, row[1:] != row[:-1]))
     of = pa.array(first[row[heads] % k])
     yield pa.RecordBatch.from_arrays(

@@ -21,6 +21,8 @@ from .ids import dense_ids, string_bucket
 # Workers get the helpers inside the task closure, so the package need not be installed on them.
 cloudpickle.register_pickle_by_value(G)
 
+#: Column of :func:`first_pass` with the tokens of its n-grams.
+FIRST_TOKENS = "__first_tokens"
 #: Characters of text whose n-grams one task sums: some two million rows of authors and terms.
 PART_CHARS = 4_000_000
 #: Where the texts are not at hand: characters of text for each n-gram of one to three tokens.
@@ -52,7 +54,8 @@ def with_ngrams(df: DataFrame, n_max: int, sep: str = " ", tokens: str = "tokens
         name = f"__g{n}"
         df = df.withColumn(name, T.join_next(F.col(cols[-1]), F.col(tokens), n, sep))
         cols.append(name)
-    return df.withColumn(out, F.concat(*cols)).drop(*cols[1:])
+    made = {"ngrams": {"of": tokens, "n_max": n_max, "sep": sep}}
+    return df.withColumn(out, F.concat(*cols).alias(out, metadata=made)).drop(*cols[1:])
 
 
 def explode_grams(df: DataFrame, keep: Sequence[str], distinct: bool = False, grams: str = "grams") -> DataFrame:
@@ -66,8 +69,12 @@ def explode_grams(df: DataFrame, keep: Sequence[str], distinct: bool = False, gr
 
 
 def first_pass(docs: DataFrame, stopwords: Words = (), n_max: int = 3, pattern: str = T.FIRST_PASS_PATTERN) -> DataFrame:
-    """Vocabulary-building analyser: stopwords go first, so n-grams bridge removed words."""
-    return with_ngrams(with_tokens(docs, pattern, stopwords), n_max).drop("tokens")
+    """Vocabulary-building analyser: stopwords go first, so n-grams bridge removed words.
+
+    ``FIRST_TOKENS`` stays beside ``grams``: statistics form the same n-grams from it in their batches, at less cost
+    than moving them there. A plan that does not read it does not make it.
+    """
+    return with_ngrams(with_tokens(docs, pattern, stopwords, FIRST_TOKENS), n_max, tokens=FIRST_TOKENS)
 
 
 def second_pass(docs: DataFrame, n_max: int = 3) -> DataFrame:
@@ -100,9 +107,12 @@ def _placed(grams: DataFrame, group: Sequence[str], distinct: bool) -> DataFrame
     size = F.length("text") if "text" in grams.columns else F.size("grams") * PARTS_CHARS_A_GRAM
     chars = grams.agg(F.sum(size)).first()[0] or 0
     parts = max(grams.sparkSession.sparkContext.defaultParallelism if chars > PART_CHARS else 1, -(-chars // PART_CHARS))
-    rows = grams.select(*keys, "grams")
+    made = grams.schema["grams"].metadata.get("ngrams") or {}
+    made = made if made.get("of") == FIRST_TOKENS and FIRST_TOKENS in grams.columns else {}
+    n_max, sep = made.get("n_max", 1), made.get("sep", " ")
+    rows = grams.select(*keys, FIRST_TOKENS if made else "grams")
     out = _schema("part int", rows, keys, "terms string, sizes array<int>, counts array<int>")
-    return rows.mapInArrow(lambda batches: G.combine(batches, keys, distinct, parts), out).repartition(parts, "part")
+    return rows.mapInArrow(lambda batches: G.combine(batches, keys, distinct, parts, n_max, sep), out).repartition(parts, "part")
 
 
 def _schema(before: str, df: DataFrame, columns: Sequence[str], after: str) -> types.StructType:

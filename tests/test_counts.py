@@ -80,6 +80,8 @@ def test_term_statistics_by_group_take_one_shuffle(spark):
             df[c, g] += 1
             authors.setdefault((c, g), set()).add(s)
     g = V.first_pass(d, (), 3, pattern)
+    # The n-grams as they are, without the tokens beside them, count the same.
+    assert sorted(V.term_stats(g.drop(V.FIRST_TOKENS), ["chamber"]).collect(), key=str) == sorted(V.term_stats(g, ["chamber"]).collect(), key=str)
     stats, counts = V.term_stats(g, ["chamber"]), V.author_term_counts(g, ["chamber"])
     got = [tuple(r) for r in stats.collect()]
     assert sorted(got, key=str) == sorted(((*k, n, len(authors[k])) for k, n in df.items()), key=str)
@@ -90,6 +92,23 @@ def test_term_statistics_by_group_take_one_shuffle(spark):
     assert V.term_stats(g.filter("text = 'none'")).count() == 0
 
 
+def test_only_known_ngrams_leave_the_task(spark, monkeypatch):
+    rows = [(1, "aa bb cc aa bb"), (1, "aa bb"), (None, "cc cc"), (3, None), (4, ""), (5, "é1 aa")]
+    d = spark.createDataFrame(rows, "doc_id bigint, text string")
+    v = spark.createDataFrame([(0, "aa bb", 2), (1, "bb cc aa", 3), (2, "cc", 1), (3, "é1", 1)], "term_id bigint, term string, n int")
+    want = [(None, 2, 1, 2), (1, 0, 2, 3), (1, 1, 3, 1), (1, 2, 1, 1), (5, 3, 1, 1)]
+    order = lambda x: str(x)
+    tokens = V.with_tokens(d, T.SECOND_PASS_PATTERN)
+    left = V.known_grams(tokens, ["doc_id"], (1, 3), v)
+    assert sorted((r.doc_id, r.term, r.cnt) for r in left.filter("doc_id = 1").collect()) == [(1, "aa bb", 1), (1, "aa bb", 2), (1, "bb cc aa", 1), (1, "cc", 1)]
+    pairs = spark.createDataFrame([("aa",), ("bb",)], "term string")
+    assert {r.term for r in V.known_grams(tokens, ["doc_id"], (2, 2), pairs, parts=True).collect()} == {"aa bb"}
+    assert sorted(map(tuple, C.document_term_counts(d, v).collect()), key=order) == sorted(want, key=order)
+    monkeypatch.setattr(V, "MAX_KNOWN", 0)
+    assert V.known_grams(tokens, ["doc_id"], (1, 3), v).count() > left.count()
+    assert sorted(map(tuple, C.document_term_counts(d, v).collect()), key=order) == sorted(want, key=order)
+
+
 def test_pieces_and_batches_do_not_change_counts():
     import pyarrow as pa
 
