@@ -65,8 +65,8 @@ two AS (SELECT * FROM raw WHERE (chamber, doc_id) NOT IN (SELECT chamber, doc_id
  JOIN b_vocab USING (chamber, term_id) JOIN two USING (chamber, doc_id) JOIN b_auth USING (chamber, speaker)"""))
 def prepare_tables(spark, sf):
     t = prepared(spark, sf).final
-    named = t.counts.select("chamber", "doc_id", "term_id", "cnt").join(t.vocab.select("chamber", "term_id", "term"), ["chamber", "term_id"])
-    return named.join(t.docs.select("chamber", "doc_id", "author_id"), ["chamber", "doc_id"]).select(
+    placed = t.counts.select("chamber", "doc_id", "term_id", "cnt").join(t.docs.select("chamber", "doc_id", "author_id"), ["chamber", "doc_id"])
+    return placed.join(t.vocab.select("chamber", "term_id", "term"), ["chamber", "term_id"]).select(
         "chamber", "doc_id", "author_id", "term_id", "term", "cnt")
 
 

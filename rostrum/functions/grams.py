@@ -101,7 +101,19 @@ def _known(batch: pa.RecordBatch, ends: np.ndarray, keys: list[str], lengths: tu
     e = batch.column(len(keys)).flatten().dictionary_encode()
     code = e.indices.to_numpy().astype(np.int64)
     doc = np.repeat(np.arange(len(batch)), np.diff(ends))
-    token = hashes(e.dictionary)[code]
+    for terms, gram, of in _among_known(e.dictionary, code, doc, lengths, known, parts):
+        pair = np.sort(gram * len(batch) + of)
+        starts = np.flatnonzero(np.append(True, pair[1:] != pair[:-1]))
+        counts = np.diff(np.append(starts, len(pair)))
+        pair = pair[starts]
+        of = pa.array(pair % len(batch))
+        yield [*[batch.column(i).take(of) for i in range(len(keys))], terms.take(pa.array(pair // len(batch))), pa.array(counts.astype(np.int64))]
+
+
+def _among_known(tokens: pa.Array, code: np.ndarray, doc: np.ndarray, lengths: tuple[int, int], known: np.ndarray | None,
+                 parts: bool) -> Iterator[tuple[pa.Array, np.ndarray, np.ndarray]]:
+    """For each length the distinct n-grams that may be known, and the term and the row of each place of one."""
+    token = hashes(tokens)[code]
     h = before = token
     for n in range(1, lengths[1] + 1):
         if n > len(code):
@@ -121,16 +133,263 @@ def _known(batch: pa.RecordBatch, ends: np.ndarray, keys: list[str], lengths: tu
             continue
         gram = code[at]
         for i in range(1, n):
-            gram = np.unique(gram, return_inverse=True)[1] * len(e.dictionary) + code[at + i]
+            gram = np.unique(gram, return_inverse=True)[1] * len(tokens) + code[at + i]
         _, first, gram = np.unique(gram, return_index=True, return_inverse=True)
-        pair = np.sort(gram * len(batch) + doc[at])
-        starts = np.flatnonzero(np.append(True, pair[1:] != pair[:-1]))
-        counts = np.diff(np.append(starts, len(pair)))
-        pair = pair[starts]
-        words = [e.dictionary.take(pa.array(code[at[first] + i])) for i in range(n)]
-        terms = pc.binary_join_element_wise(*words, " ") if n > 1 else words[0]
-        of = pa.array(pair % len(batch))
-        yield [*[batch.column(i).take(of) for i in range(len(keys))], terms.take(pa.array(pair // len(batch))), pa.array(counts.astype(np.int64))]
+        words = [tokens.take(pa.array(code[at[first] + i])) for i in range(n)]
+        yield pc.binary_join_element_wise(*words, " ") if n > 1 else words[0], gram, doc[at]
+
+
+#: Bytes of text whose words are split at once.
+PIECE_BYTES = 5_000_000
+
+
+def table_of(bits: bytes) -> np.ndarray:
+    return np.unpackbits(np.frombuffer(bits, np.uint8)).astype(bool)
+
+
+def split_words(texts: pa.Array, table: np.ndarray, least: int) -> tuple[pa.Array, np.ndarray]:
+    """The runs of ``least`` or more characters that ``table`` (a bit for each code point) holds, and the row of each."""
+    texts = pa.concat_arrays([pc.fill_null(texts, "")]).cast(pa.large_string())
+    _, ends, data = texts.buffers()
+    ends = np.frombuffer(ends, np.int64, len(texts) + 1 + texts.offset)[texts.offset:]
+    data = np.frombuffer(data, np.uint8, ends[-1])[ends[0]:] if ends[-1] else np.zeros(0, np.uint8)
+    ends = ends - ends[0]
+    plain = np.zeros(256, bool)
+    plain[:128] = table[:128]
+    word = plain[data]
+    high = np.flatnonzero(data >= 0xC0)
+    if len(high):  # characters of several bytes
+        lead = data[high].astype(np.int64)
+        tail = [data[np.minimum(high + i, len(data) - 1)].astype(np.int64) & 63 for i in (1, 2, 3)]
+        size = 2 + (lead >= 0xE0) + (lead >= 0xF0)
+        code = np.where(size == 2, (lead & 31) << 6 | tail[0], np.where(
+            size == 3, (lead & 15) << 12 | tail[0] << 6 | tail[1], (lead & 7) << 18 | tail[0] << 12 | tail[1] << 6 | tail[2]))
+        held = table[np.minimum(code, len(table) - 1)]
+        for i in range(4):
+            at = high[held & (size > i)] + i
+            word[at[at < len(data)]] = True
+    edge = ends[ends < len(data)]
+    before = np.append(False, word[:-1])[:len(word)]
+    before[edge] = False
+    start = np.flatnonzero(word & ~before)
+    after = np.append(word[1:], False)[:len(word)]
+    after[edge[edge > 0] - 1] = False
+    stop = np.flatnonzero(word & ~after) + 1
+    size = stop - start
+    if least > 1:
+        short = np.flatnonzero(size <= 4 * (least - 1))
+        chars = sum(((start[short] + i < stop[short]) & ((data[np.minimum(start[short] + i, len(data) - 1)] & 0xC0) != 0x80)).astype(np.int64)
+                    for i in range(4 * (least - 1)))
+        short = short[chars < least]
+        for i in range(4 * (least - 1)):
+            word[start[short[size[short] > i]] + i] = False
+        start, size = np.delete(start, short), np.delete(size, short)
+    tokens = pa.LargeStringArray.from_buffers(len(size), pa.py_buffer(np.append(0, np.cumsum(size))), pa.py_buffer(data[word]))
+    return tokens, np.searchsorted(ends, start, side="right") - 1
+
+
+def _split(batches: Iterable[pa.RecordBatch], text: int, table: np.ndarray, least: int) -> Iterator[tuple[pa.RecordBatch, pa.Array, np.ndarray, np.ndarray]]:
+    """Pieces of batches with the distinct words of column ``text``, and the word and the row of each place."""
+    for batch in batches:
+        ends = np.concatenate([[0], np.cumsum(pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy().astype(np.int64))])
+        at = 0
+        while at < len(batch):
+            upto = max(at + 1, int(np.searchsorted(ends, ends[at] + PIECE_BYTES, "right")) - 1)
+            piece = batch.slice(at, upto - at)
+            tokens, doc = split_words(piece.column(text), table, least)
+            e = tokens.dictionary_encode()
+            if len(tokens):
+                yield piece, e.dictionary.cast(pa.string()), e.indices.to_numpy().astype(np.int64), doc
+            at = upto
+
+
+def word_stats(batches: Iterable[pa.RecordBatch], keys: list[str], words: list[str] | dict[str, list[str]], by: str, table: np.ndarray, least: int,
+               n: int, known: np.ndarray | None, parts: int) -> Iterator[pa.RecordBatch]:
+    """Rows ``(part, *keys, terms, sizes, counts)`` from rows ``(*keys, text)``: in how many rows each n-gram of ``n`` words is.
+
+    The stop list goes out first; it is one list, or one for each value of the key ``by``. Longer n-grams are left out
+    where the hash of one of their two (n-1)-grams is not among ``known``.
+    """
+    for batch, tokens, code, doc in _split(batches, len(keys), table, least):
+        lists = words.items() if isinstance(words, dict) else [(None, words)]
+        gone = np.zeros(len(code), bool)
+        for value, stop in lists:
+            out = pc.is_in(tokens, pa.array(list(stop), pa.string())).to_numpy(zero_copy_only=False)[code]
+            if value is not None:
+                out &= pc.fill_null(pc.equal(batch.column(keys.index(by)), value), False).to_numpy(zero_copy_only=False)[doc]
+            gone |= out
+        code, doc = code[~gone], doc[~gone]
+        key, first = key_codes([batch.column(i) for i in range(len(keys))], len(batch))
+        found = [(tokens, code, doc)] if n == 1 else _among_known(tokens, code, doc, (n, n), known, True)
+        for terms, gram, of in found:
+            if len(gram):
+                yield from _by_part(batch, key, first, keys, terms, gram, of, True, parts)
+
+
+class Vocabulary:
+    """Terms of all groups, held in a task: the number of a term is its place in ``ids`` and ``sizes``."""
+
+    def __init__(self, table: pa.Table, group: list[str]):
+        table = table.combine_chunks()
+        self.group, self.ids, self.sizes = group, table["term_id"].to_numpy().astype(np.int64), table["n"].to_numpy().astype(np.int64)
+        e = pa.concat_arrays([pa.array([], pa.string()), *table["term"].chunks]).dictionary_encode()
+        rows = list(zip(*[table[c].to_pylist() for c in group])) if group else [()] * len(table)
+        self.groups = {g: i for i, g in enumerate(dict.fromkeys(r for r in rows if None not in r))}
+        self.terms = e.dictionary
+        self.number = np.full((len(self.groups) + 1, len(self.terms) + 1), -1, np.int64)
+        of = np.array([self.groups.get(r, -1) for r in rows], np.int64)
+        at = e.indices.to_numpy().astype(np.int64)
+        there = np.flatnonzero(of >= 0)
+        self.number[of[there], at[there]] = there
+        self.unique = int((self.number >= 0).sum()) == len(there)
+
+    def group_of(self, columns: list[pa.Array], n: int) -> np.ndarray:
+        """The number of each row's group, -1 for others."""
+        key, first = key_codes(columns, n)
+        names = zip(*[c.take(pa.array(first)).to_pylist() for c in columns]) if columns else [()] * len(first)
+        return np.array([self.groups.get(x, -1) for x in names], np.int64)[key]
+
+
+def count_words(batches: Iterable[pa.RecordBatch], keys: list[str], table: np.ndarray, least: int, n_max: int, known: np.ndarray,
+                vocab: Vocabulary) -> Iterator[pa.RecordBatch]:
+    """Rows ``(*keys, terms, counts)`` from rows ``(*keys, text)``: the numbers of the vocabulary's terms in each row's text."""
+    for batch, tokens, code, doc in _split(batches, len(keys), table, least):
+        group = vocab.group_of([batch.column(keys.index(c)) for c in vocab.group], len(batch))
+        found = []
+        for terms, gram, of in _among_known(tokens, code, doc, (1, n_max), known, False):
+            at = pc.fill_null(pc.index_in(terms, value_set=vocab.terms), -1).to_numpy().astype(np.int64)
+            number = vocab.number[group[of], at[gram]]
+            there = number >= 0
+            found.append(of[there] * len(vocab.ids) + number[there])
+        if found and sum(map(len, found)):
+            pair = np.sort(np.concatenate(found))
+            starts = np.flatnonzero(np.append(True, pair[1:] != pair[:-1]))
+            counts = np.diff(np.append(starts, len(pair)))
+            pair = pair[starts]
+            row = pair // len(vocab.ids)
+            heads = np.flatnonzero(np.append(True, row[1:] != row[:-1]))
+            of = pa.array(row[heads])
+            yield pa.RecordBatch.from_arrays([*[batch.column(i).take(of) for i in range(len(keys))], _lists(pair % len(vocab.ids), heads), _lists(counts, heads)],
+                                             names=[*keys, "terms", "counts"])
+
+
+#: Counts that a task holds before it sums those of equal keys.
+HELD_COUNTS = 20_000_000
+
+
+def _merged(batches: list[pa.RecordBatch], keys: list[str], width: int) -> tuple[pa.Table, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Rows of the keys, and of each sum the key, the term's number and the count."""
+    table = pa.Table.from_batches(batches).combine_chunks()
+    column = lambda c: table.column(c).chunk(0)
+    key, first = key_codes([column(c) for c in keys], len(table))
+    size = pc.list_value_length(column("terms")).to_numpy().astype(np.int64)
+    pair = np.repeat(key, size) * width + column("terms").flatten().to_numpy().astype(np.int64)
+    pair, n = _sum_by(pair, column("counts").flatten().to_numpy().astype(np.int64))
+    return table.select(keys), first, pair // width, pair % width, n
+
+
+def merge_counts(batches: Iterable[pa.RecordBatch], keys: list[str], vocab: Vocabulary) -> Iterator[pa.RecordBatch]:
+    """Rows ``(*keys, term_id, n, cnt)`` of a partition that holds all rows of its documents."""
+    held, cells, most = [], 0, HELD_COUNTS
+    for batch in batches:
+        if not len(batch):
+            continue
+        held.append(batch)
+        cells += len(batch.column(len(keys)).flatten())
+        if cells > most:
+            table, first, key, number, n = _merged(held, keys, len(vocab.ids))
+            heads = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+            at = pa.array(first[key[heads]])
+            lists = pa.LargeListArray.from_arrays(np.append(heads, len(key)), pa.array(n)).cast(batch.schema.field("counts").type)
+            held = [pa.RecordBatch.from_arrays([*[table.column(c).chunk(0).take(at) for c in keys], _lists(number, heads), lists], names=batch.schema.names)]
+            cells = len(key)
+            most = max(HELD_COUNTS, 2 * cells)
+    if held:
+        table, first, key, number, n = _merged(held, keys, len(vocab.ids))
+        at = pa.array(first[key])
+        yield from _output([*keys, "term_id", "n", "cnt"], [
+            *[table.column(c).chunk(0).take(at) for c in keys], pa.array(vocab.ids[number]), pa.array(vocab.sizes[number].astype(np.int32)), pa.array(n)])
+
+
+class Overlaps:
+    """The terms inside each n-gram, held in a task."""
+
+    def __init__(self, table: pa.Table, group: list[str]):
+        self.group = group
+        rows = list(zip(*[table[c].to_pylist() for c in group])) if group else [()] * len(table)
+        self.groups = {g: i for i, g in enumerate(dict.fromkeys(r for r in rows if None not in r))}
+        owners = [(self.groups[r], t) if r in self.groups and t is not None else None for r, t in zip(rows, table["term_id"].to_pylist())]
+        lists = [[(o, x) for o, xs in zip(owners, table[c].to_pylist()) if o for x in xs or ()] for c in ("pairs", "singles")]
+        self.pairs = self._index([(*o, x["sub_id"], x["before"]) for o, x in lists[0]])
+        self.singles = self._index([(*o, x["sub_id"], False) for o, x in lists[1]])
+
+    @staticmethod
+    def _index(rows: list[tuple]) -> dict[int, tuple[np.ndarray, ...]]:
+        """For each group the sorted n-grams with the place of their first entry, and the entries."""
+        a = np.array(rows, np.int64).reshape(-1, 4)
+        a = a[np.lexsort((a[:, 1], a[:, 0]))]
+        out = {}
+        for g in np.unique(a[:, 0]).tolist():
+            mine = a[a[:, 0] == g]
+            terms, first, size = np.unique(mine[:, 1], return_index=True, return_counts=True)
+            out[g] = terms, first, size, mine[:, 2], mine[:, 3].astype(bool)
+        return out
+
+    group_of = Vocabulary.group_of
+
+
+def _inside(index: dict, group: np.ndarray, term: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For every entry of the rows' n-grams the row, the term inside, and whether the n-gram comes before it."""
+    rows, subs, before = [], [], []
+    for g, (terms, first, size, sub, early) in index.items():
+        mine = np.flatnonzero(group == g)
+        at = np.minimum(np.searchsorted(terms, term[mine]), len(terms) - 1)
+        there = terms[at] == term[mine]
+        mine, at = mine[there], at[there]
+        n = size[at]
+        entry = np.repeat(first[at] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        rows.append(np.repeat(mine, n))
+        subs.append(sub[entry])
+        before.append(early[entry])
+    none = [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, bool)]
+    return tuple(np.concatenate([x, *y]) for x, y in zip(none, (rows, subs, before)))
+
+
+def take_off(batches: Iterable[pa.RecordBatch], keys: list[str], overlaps: Overlaps) -> Iterator[pa.RecordBatch]:
+    """Rows ``(*keys, term_id, n, cnt)`` less the counts of the n-grams around them, of a partition that holds all rows of its documents."""
+    table = [b for b in batches if len(b)]
+    if not table:
+        return
+    table = pa.Table.from_batches(table).combine_chunks()
+    column = lambda c: table.column(c).chunk(0)
+    key, first = key_codes([column(c) for c in keys], len(table))
+    of_key = overlaps.group_of([column(c).take(pa.array(first)) for c in overlaps.group], len(first))
+    term, n, cnt = (column(c).to_numpy().astype(np.int64) for c in ("term_id", "n", "cnt"))
+
+    def sums(key, term, n, *values):
+        ids, code = np.unique(term, return_inverse=True)
+        wide = int(n.max()) + 1
+        mixed = (key * len(ids) + code) * wide + n
+        order = np.argsort(mixed, kind="stable")
+        mixed = mixed[order]
+        starts = np.flatnonzero(np.append(True, mixed[1:] != mixed[:-1]))
+        mixed = mixed[starts]
+        return mixed // wide // len(ids), ids[mixed // wide % len(ids)], mixed % wide, *[np.add.reduceat(v[order], starts) for v in values]
+
+    row, sub, early = _inside(overlaps.pairs, of_key[key], term)
+    none = np.zeros(len(term), np.int64)
+    key, term, n, c, off, soon = sums(
+        np.append(key, key[row]), np.append(term, sub), np.append(n, np.full(len(row), 2)), np.append(cnt, np.zeros(len(row), np.int64)),
+        np.append(none, cnt[row]), np.append(none, np.where(early, cnt[row], 0)))
+    own = c > 0
+    key, term, n, left, eff = key[own], term[own], n[own], (c - off)[own], (c - soon)[own]
+    if not len(key):
+        return
+    row, sub, _ = _inside(overlaps.singles, of_key[key], term)
+    key, term, n, c = sums(np.append(key, key[row]), np.append(term, sub), np.append(n, np.full(len(row), 1)), np.append(left, -eff[row]))
+    own = c > 0
+    at = pa.array(first[key[own]])
+    yield from _output([*keys, "term_id", "n", "cnt"], [*[column(k).take(at) for k in keys], pa.array(term[own]), pa.array(n[own].astype(np.int32)), pa.array(c[own])])
 
 
 def _lists(values: np.ndarray, starts: np.ndarray) -> pa.Array:
@@ -207,6 +466,13 @@ def _piece(batch: pa.RecordBatch, ends: np.ndarray, keys: list[str], distinct: b
     words = e.dictionary
     if n_max > 1:
         words, code, doc = _formed(words, code, doc, n_max, sep)
+    yield from _by_part(batch, key, first, keys, words, code, doc, distinct, parts)
+
+
+def _by_part(batch: pa.RecordBatch, key: np.ndarray, first: np.ndarray, keys: list[str], words: pa.Array, code: np.ndarray, doc: np.ndarray,
+             distinct: bool, parts: int) -> Iterator[pa.RecordBatch]:
+    """Rows ``(part, *keys, terms, sizes, counts)`` of the terms ``code`` in the rows ``doc``, which have the keys numbered ``key``."""
+    n = len(batch)
     if distinct:
         pair = np.sort(code * n + doc)
         pair = pair[np.append(True, pair[1:] != pair[:-1])]

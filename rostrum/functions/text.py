@@ -9,7 +9,8 @@ import re
 import string
 from collections.abc import Iterable
 
-from pyspark.sql import Column
+import numpy as np
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 # The characters Unicode-aware `\s` and str.strip() treat as white space.
@@ -53,7 +54,7 @@ def normalize_ws(c: Column) -> Column:
 
 
 def flatten_newlines(c: Column) -> Column:
-    return F.translate(c, "\n\r", "  ")
+    return F.replace(F.replace(c, F.lit("\n"), F.lit(" ")), F.lit("\r"), F.lit(" "))
 
 
 def normalize_body(c: Column) -> Column:
@@ -97,6 +98,28 @@ def token_array(text: Column, pattern: str) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(pattern), F.lit(groups))
 
 
+def word_class(pattern: str) -> tuple[str, int] | None:
+    """``(class, least length)`` of a pattern that matches runs of one class of characters, else None."""
+    found = re.fullmatch(r"(\[[^\[\]^&][^\[\]&]*\])(?:\+|\{([1-9]\d?),\})", pattern)
+    return (found[1], int(found[2] or 1)) if found else None
+
+
+_CLASSES: dict[str, bytes] = {}
+
+
+def class_bits(spark: SparkSession, cls: str) -> bytes:
+    """One bit for each code point: whether the engine's regular expressions count it to ``cls``."""
+    if cls not in _CLASSES:
+        step = 4096
+        rows = [(at, "".join(map(chr, range(at, at + step)))) for at in range(0, 0x110000, step) if not 0xD800 <= at < 0xE000]
+        marked = spark.createDataFrame(rows, "at int, s string").select("at", "s", F.regexp_replace("s", cls, "\0").alias("m")).toArrow()
+        bits = np.zeros(0x110000, bool)
+        for at, s, m in zip(*[marked[c].to_pylist() for c in ("at", "s", "m")]):
+            bits[at:at + step] = [x != y for x, y in zip(s, m, strict=True)]
+        _CLASSES[cls] = np.packbits(bits).tobytes()
+    return _CLASSES[cls]
+
+
 def without_words(tokens: Column, words: Iterable[str]) -> Column:
     """Tokens in order, less the given words. A long literal list is a hash-set test in the plan."""
     words = list(words)

@@ -7,11 +7,14 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import SECOND_PASS_PATTERN
-from .vocabulary import known_grams, with_tokens
+from ..functions import grams as G
+from ..functions.text import SECOND_PASS_PATTERN, class_bits, word_class
+from .vocabulary import _known_hashes, _schema, known_grams, with_tokens
 
 #: Characters of text whose counts one task holds: a few hundred thousand rows.
 PART_CHARS = 4_000_000
+#: Terms of a vocabulary, and n-grams with terms inside, that a task holds; more are joined.
+MAX_HELD = 500_000
 
 
 def text_parts(docs: DataFrame) -> int:
@@ -29,6 +32,16 @@ def document_term_counts(docs: DataFrame, vocab: DataFrame, n_max: int = 3, grou
     broadcast. The number of partitions follows the length of the texts, not the shuffled bytes: counts pack
     so well that few bytes are many rows, and all those sums hold them at once.
     """
+    held, keys = _held(vocab, group), [*group, "doc_id"]
+    known = _known_hashes(vocab) if held is not None else None
+    if known is not None:
+        cls, least = word_class(SECOND_PASS_PATTERN)
+        bits = class_bits(docs.sparkSession, cls)
+        rows = docs.select(*keys, F.lower("text").alias("text"))
+        out = _schema("", rows, keys, "terms array<int>, counts array<int>")
+        placed = rows.mapInArrow(lambda batches: G.count_words(batches, keys, G.table_of(bits), least, n_max, known, held), out)
+        placed = placed.repartition(text_parts(docs), "doc_id")
+        return placed.mapInArrow(lambda batches: G.merge_counts(batches, keys, held), _schema("", rows, keys, "term_id bigint, n int, cnt bigint"))
     tokens = with_tokens(docs.select(*group, "doc_id", "text"), SECOND_PASS_PATTERN)
     rows = known_grams(tokens, [*group, "doc_id"], (1, n_max), vocab)
     hits = rows.join(vocab.select(*group, "term", "term_id", "n"), [*group, "term"])
@@ -36,6 +49,15 @@ def document_term_counts(docs: DataFrame, vocab: DataFrame, n_max: int = 3, grou
     return placed.groupBy(*group, "doc_id", "term_id", "n").agg(F.sum("cnt").alias("cnt"))
 
 
+def _held(vocab: DataFrame, group: Sequence[str]) -> G.Vocabulary | None:
+    """The vocabulary for tasks to hold; None where it is too large, or lists a term twice."""
+    rows = vocab.select(*group, "term", F.col("term_id").cast("bigint").alias("term_id"), "n").filter("term is not null").limit(MAX_HELD + 1).toArrow()
+    if len(rows) > MAX_HELD:
+        return None
+    held = G.Vocabulary(rows, list(group))
+    return held if held.unique else None
+
+
 def overlap_map(vocab: DataFrame, group: Sequence[str] = ()) -> DataFrame:
     """``(term_id, n, sub_id, sub_n, before)``: which vocabulary terms lie inside an n-gram.
 
@@ -60,16 +82,24 @@ def pack_overlaps(overlaps: DataFrame, group: Sequence[str] = ()) -> DataFrame:
         F.collect_list(F.when(F.col("sub_n") == 1, F.struct("sub_id"))).alias("singles"))
 
 
-def deoverlap(counts: DataFrame, packed: DataFrame, group: Sequence[str] = ()) -> DataFrame:
+def deoverlap(counts: DataFrame, packed: DataFrame, group: Sequence[str] = (), placed: bool = False) -> DataFrame:
     """Counts with each n-gram's occurrences taken off the terms inside it, clamped at zero.
 
     n-grams are applied in vocabulary order, each with its current value. Terms of 3+ tokens never
     change, so two sweeps give the result: pairs first, where ``eff`` is a pair's value at its own
     turn, then tokens. Each row sends its share to its sub-terms by an in-place explode and a sum per
     document and term.
+
+    ``placed`` says that ``counts`` are just those of :func:`document_term_counts`, where all rows of a document lie in one
+    bounded partition: tasks that can hold the overlaps then do both sweeps there.
     """
     g = list(group)
     keys = [*g, "doc_id"]
+    if placed:
+        found = packed.select(*g, "term_id", "pairs", "singles").limit(MAX_HELD + 1).toArrow()
+        if len(found) <= MAX_HELD:
+            held, rows = G.Overlaps(found, g), counts.select(*keys, "term_id", "n", "cnt")
+            return rows.mapInArrow(lambda batches: G.take_off(batches, keys, held), _schema("", rows, keys, "term_id bigint, n int, cnt bigint"))
     joined = counts.join(packed, [*g, "term_id"], "left")
     none = F.array().cast("array<struct<id:bigint,n:int,c:bigint,all:bigint,before:bigint>>")
     zero = F.lit(0).cast("bigint")

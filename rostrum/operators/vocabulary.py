@@ -126,13 +126,23 @@ def known_grams(docs: DataFrame, keys: Sequence[str], lengths: tuple[int, int],
     Tasks hold eight bytes of hash for each term. Where there are more than ``MAX_KNOWN`` terms nothing is left out here;
     the result then is larger and what follows, which compares terms, the same.
     """
-    keys = list(keys)
-    found = terms.select("term").mapInArrow(G.term_hashes, "h bigint").distinct().limit(MAX_KNOWN + 1).toArrow()
-    known = None if len(found) > MAX_KNOWN else G.np.sort(found["h"].to_numpy().view("uint64"))
+    keys, known = list(keys), _known_hashes(terms)
     rows = docs.select(*keys, "tokens")
     return rows.mapInArrow(lambda batches: G.known_grams(batches, keys, lengths, known, parts), _schema("", rows, keys, "term string, cnt bigint"))
 
 
+def _known_hashes(terms: DataFrame) -> G.np.ndarray | None:
+    """Sorted hashes of the terms; None for more than ``MAX_KNOWN``."""
+    found = terms.select("term").mapInArrow(G.term_hashes, "h bigint").distinct().limit(MAX_KNOWN + 1).toArrow()
+    return None if len(found) > MAX_KNOWN else G.np.sort(found["h"].to_numpy().view("uint64"))
+
+
+def text_parts(docs: DataFrame) -> int:
+    """Partitions for the statistics of ``docs``, by the length of the texts."""
+    chars = docs.agg(F.sum(F.length("text"))).first()[0] or 0
+    return max(docs.sparkSession.sparkContext.defaultParallelism if chars > PART_CHARS else 1, -(-chars // PART_CHARS))
+
+
 def author_term_counts(grams: DataFrame, group: Sequence[str] = ()) -> DataFrame:
     """Occurrences per author and term (long form)."""
     placed, keys = _placed(grams, group, False), [*group, "speaker"]
@@ -201,17 +211,34 @@ def build_stats(docs: DataFrame, stopwords: Words, n_max: int, pattern: str, min
         return term_stats(first_pass(docs, stopwords, n_max, pattern), group)
     total = doc_total(docs, group) if total is None else total
     keep = lambda s: author_spread(df_band(s, total, min_df, float("inf")), min_authors)
-    df = with_tokens(docs.select(*group, "speaker", "text"), pattern, stopwords)
-    level = stage(keep(term_stats(df.withColumnRenamed("tokens", "grams"), group)), "terms1")
-    out = level
-    for n in range(2, n_max + 1):
+    in_batches = T.word_class(pattern) is not None and (not isinstance(stopwords, Mapping) or "chamber" in group)
+    parts = text_parts(docs) if in_batches else 0
+    df = None if in_batches else with_tokens(docs.select(*group, "speaker", "text"), pattern, stopwords)
+    level = out = None
+    for n in range(1, n_max + 1):
         # An n-gram's two (n-1)-grams: all but the last token, and all but the first.
-        rows = known_grams(df, [*group, "speaker"], (n, n), level, parts=True)
-        level = stage(keep(_stats(rows, group)), f"terms{n}")
-        out = out.unionByName(level)
+        known = _known_hashes(level) if level is not None and in_batches else None
+        if in_batches and (n == 1 or known is not None):
+            stats = _word_stats(docs, stopwords, pattern, n, known, parts, group)
+        else:
+            df = with_tokens(docs.select(*group, "speaker", "text"), pattern, stopwords) if df is None else df
+            stats = term_stats(df.withColumnRenamed("tokens", "grams"), group) if n == 1 else _stats(known_grams(df, [*group, "speaker"], (n, n), level, parts=True), group)
+        level = stage(keep(stats), f"terms{n}")
+        out = level if out is None else out.unionByName(level)
     return out
 
 
+def _word_stats(docs: DataFrame, stopwords: Words, pattern: str, n: int, known: G.np.ndarray | None, parts: int, group: Sequence[str]) -> DataFrame:
+    """:func:`term_stats` of the n-grams of ``n`` words: texts are split in the batches, where their n-grams are counted."""
+    cls, least = T.word_class(pattern)
+    bits, keys, group = T.class_bits(docs.sparkSession, cls), [*group, "speaker"], list(group)
+    words = {k: list(v) for k, v in stopwords.items()} if isinstance(stopwords, Mapping) else list(stopwords)
+    rows = docs.select(*keys, F.lower("text").alias("text"))
+    out = _schema("part int", rows, keys, "terms string, sizes array<int>, counts array<int>")
+    placed = rows.mapInArrow(lambda batches: G.word_stats(batches, keys, words, "chamber", G.table_of(bits), least, n, known, parts), out).repartition(parts, "part")
+    return placed.mapInArrow(lambda batches: G.by_term(batches, group, "speaker"), _schema("", placed, group, "term string, df bigint, n_authors bigint"))
+
+
 def vocab_json(vocab: DataFrame) -> DataFrame:
     """The vocabulary as one JSON object term -> id, in id order. One bounded row."""
     pairs = F.sort_array(F.collect_list(F.struct("term_id", "term")))

@@ -77,7 +77,7 @@ def corpus_tables(docs: DataFrame, stopwords: V.Words, cfg: PrepareConfig) -> Co
     if vocab.isEmpty():
         raise ValueError("no term lies within the document-frequency and speaker bounds")
     overlaps = stage(C.pack_overlaps(C.overlap_map(vocab, g), g), "overlaps")
-    counts = stage(C.deoverlap(C.document_term_counts(docs, vocab, cfg.ngram_max, g), overlaps, g), "counts")
+    counts = stage(C.deoverlap(C.document_term_counts(docs, vocab, cfg.ngram_max, g), overlaps, g, placed=True), "counts")
     # Few documents end up empty: list those and leave the texts of all others where they are.
     empty = docs.select(*g, "doc_id").join(C.nonempty_docs(counts, g), [*g, "doc_id"], "left_anti")
     kept = docs.join(stage(empty, "empty"), [*g, "doc_id"], "left_anti")
