@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 # The characters Unicode-aware `\s` and str.strip() treat as white space.
 WS = r"[\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
 
+_WS_NO_BLANK = WS.replace(r"\x1c-\x20", r"\x1c-\x1f")
+
 # Month names and their numbers.
 MONTHS = {
     "january": 1, "february": 2, "march": 3, "april": 4, "may": 5, "june": 6,
@@ -49,8 +51,8 @@ def safe_str(c: Column) -> Column:
 
 
 def normalize_ws(c: Column) -> Column:
-    """White-space runs become one blank; both ends are trimmed."""
-    return trim_ws(F.regexp_replace(c, f"{WS}+", " "))
+    """White-space runs become one blank; both ends are trimmed. Runs that are one blank already stay as they are."""
+    return F.trim(F.regexp_replace(c, f"{_WS_NO_BLANK}{WS}*| {WS}+", " "))
 
 
 def flatten_newlines(c: Column) -> Column:
